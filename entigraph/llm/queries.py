@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, packing, pieces
+from . import lines, neardup, packing, pieces, quality, substrings, toxicity
 from .common import table
 
 
@@ -21,10 +21,31 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs, weights)
+    return out.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "posterior", "score", "kept")
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pieces.encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file("piece_bpe_32k.model"))
     return out.select(
@@ -40,7 +61,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_best_fit_packing, op9_sentencepiece, op10_line_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op3_toxicity, op5_best_fit_packing, op6_substring_dedup, op8_quality, op9_sentencepiece, op10_line_dedup)}
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -58,3 +79,27 @@ SELECT k.doc_id, count(*) AS n_lines,
        sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.i) FILTER (WHERE r.key IS NULL OR r.keep = k.doc_id), '')) AS kept_sha256
 FROM k LEFT JOIN r ON k.key = r.key GROUP BY k.doc_id
 """
+
+ORACLES["op1_minhash_near_dedup"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_WORD}) AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, CASE WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+      ELSE [array_to_string(ws[i:i + 3], ' ') FOR i IN range(1, len(ws) - 2)] END AS shs FROM w WHERE len(ws) > 0) t(doc_id, shs), unnest(shs) u(sh)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 80 * (a.n + b.n - k)),
+r(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+c AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+ORACLES["op6_substring_dedup"] = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS win FROM w, unnest(range(1, greatest(len(ws) - 18, 1))) u(i)),
+f AS (SELECT *, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM g),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM f, range(0, 20) t(j) WHERE k > 1),
+x AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w)
+SELECT w.doc_id, len(w.ws) AS n_words, count(gone.i) AS n_removed,
+       sha256(coalesce(string_agg(x.word, ' ' ORDER BY x.i) FILTER (WHERE gone.i IS NULL), '')) AS kept_sha256
+FROM w LEFT JOIN x ON x.doc_id = w.doc_id LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.i = x.i GROUP BY w.doc_id, len(w.ws)
+"""
