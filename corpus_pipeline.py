@@ -7,24 +7,49 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entigraph.llm import lines, packing
+from entigraph.llm import lines, neardup, packing, substrings, toxicity
 from entigraph.llm.common import shared_dir, table
 from entigraph.llm.queries import tokenizer_file
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents with a toxicity score of 0.3 or more; learned from the rows that op3's contract allows."""
+    weights = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.drop("score"), weights).filter("score < 0.3").select(docs.columns)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines that five documents or more share, but for the last one's. Texts may get shorter, no document goes."""
     out = lines.drop_repeated_lines(docs).select(docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest id of each group of near copies (five words a shingle, similarity 0.8)."""
+    gone = neardup.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("__gone"))
+    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes passages of 20 words or more that start earlier in the corpus; documents without such keep their text."""
+    out = substrings.drop_repeats(docs.withColumn("__was", F.col("text")))
+    out = out.withColumn("text", F.when(F.col("n_removed") > 0, F.col("text")).otherwise(F.col("__was")))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences of 4096 tokens."""
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = [("line dedup", line_dedup), ("best-fit packing", packed)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_filter),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("best-fit packing", packed),
+]
 
 #: SQL can express neither a trained classifier nor a tokenizer; the tests hold the stages against brute force.
 ORACLE_SQL: str | None = None

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, neardup, packing, pieces, quality, substrings, toxicity
+from . import html_blocks, lines, neardup, packing, pieces, quality, substrings, toxicity, vecdup, vptree
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vptree.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -32,6 +37,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -41,6 +50,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vecdup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "posterior", "score", "kept")
@@ -61,7 +74,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op3_toxicity, op5_best_fit_packing, op6_substring_dedup, op8_quality, op9_sentencepiece, op10_line_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_nearest_neighbours, op3_toxicity, op4_html_extraction, op5_best_fit_packing, op6_substring_dedup, op7_embedding_near_dedup, op8_quality, op9_sentencepiece, op10_line_dedup)}
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -103,3 +116,13 @@ SELECT w.doc_id, len(w.ws) AS n_words, count(gone.i) AS n_removed,
        sha256(coalesce(string_agg(x.word, ' ' ORDER BY x.i) FILTER (WHERE gone.i IS NULL), '')) AS kept_sha256
 FROM w LEFT JOIN x ON x.doc_id = w.doc_id LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.i = x.i GROUP BY w.doc_id, len(w.ws)
 """
+
+ORACLES["op7_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+e AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+c AS (SELECT x AS vec_id, min(y) AS component_id FROM r GROUP BY x),
+n AS (SELECT x AS vec_id, count(*) AS n_links FROM e GROUP BY x)
+SELECT c.vec_id, coalesce(n_links, 0) AS n_links, component_id, c.vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+"""
