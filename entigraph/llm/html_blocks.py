@@ -283,7 +283,7 @@ def train(pages: list[str], epochs: int = 14, batch: int = 32, longest: int = 20
     if not rows:
         return model
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.w.items()}
-    step = 0
+    step, total = 0, epochs * -(-len(rows) // batch) + 1
     for _ in range(epochs):
         order = sorted(range(len(rows)), key=lambda i: (len(rows[i][0]), rng.random()))
         groups = [order[i : i + batch] for i in range(0, len(order), batch)]
@@ -298,7 +298,7 @@ def train(pages: list[str], epochs: int = 14, batch: int = 32, longest: int = 20
                 m1, m2 = moment[k]
                 m1 += 0.1 * (v - m1)
                 m2 += 0.01 * (v * v - m2)
-                model.w[k] -= 0.02 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
+                model.w[k] -= 0.02 * (1 - step / total) * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
     return model
 
 
