@@ -7,10 +7,12 @@ pair. Values held by one document only are skipped, and of the rest only a prefi
 one global order, rarest first, two documents that agree in T of K places share one of their first K - T + 1.
 
 Documents with equal shingle sets are one node. In each posting list all members are first compared with the
-smallest one; after the components of the links found so far, only members of different components are compared,
-the smaller components with the rest, and lists that lie in one component are skipped. So a list of near copies
-costs as many comparisons as it has members. Candidates that agree in T coordinates, counted on signatures of one
-byte a coordinate, are confirmed on the full shingle sets.
+smallest one, the hub; after the components of the links found so far, only members of different components are
+compared, the smaller components with the rest, and lists that lie in one component are skipped. So a list of near
+copies costs as many comparisons as it has members. Lists with one hub are one, so that a pair is met once. Candidates
+are confirmed on the full shingle sets if they agree in WIDE_T of WIDE further coordinates, counted on one byte each (a
+linked pair falls below that with a probability under 6 in a million), and if their exact similarities to the hub,
+where known, leave room for a link: 1 - similarity is a metric.
 """
 
 from __future__ import annotations
@@ -28,7 +30,10 @@ K, T = 48, 25
 _RANDOM = mixed(np.arange(1, 2 * K + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 FACTOR, SHIFT = (_RANDOM[:K] | np.uint64(1))[:, None], _RANDOM[K:][:, None]
 PLACE = (np.arange(K, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))[:, None]
-LONGS = [f"s{i}" for i in range(K // 8)]
+WIDE, WIDE_T = 256, 176
+_WIDE = (mixed(np.arange(1, 2 * WIDE + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(32)).astype(np.uint32)
+WIDE_FACTOR, WIDE_SHIFT = (_WIDE[:WIDE] | np.uint32(1))[:, None], _WIDE[WIDE:][:, None]
+LONGS = [f"s{i}" for i in range(WIDE // 8)]
 
 
 def shingle_set(text: str | bytes | None, words: int) -> np.ndarray:
@@ -47,6 +52,15 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return mixed(least ^ PLACE)[:, 0]
 
 
+def wide_signature(shingles: np.ndarray) -> np.ndarray:
+    """WIDE coordinates of one byte each."""
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    least = np.full((WIDE, 1), np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(short), 2048):
+        least = np.minimum(least, ((short[None, at : at + 2048] ^ WIDE_SHIFT) * WIDE_FACTOR).min(axis=1, keepdims=True))
+    return (mixed(least[:, 0].astype(np.uint64)) & np.uint64(255)).astype(np.uint8)
+
+
 def _signatures(words: int):
     def found(batches):
         for batch in batches:
@@ -58,9 +72,9 @@ def _signatures(words: int):
                 fp.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 k = signature(s) if len(s) else None
                 keys.append(None if k is None else k.view(np.int64))
-                longs.append((k & np.uint64(255)).astype(np.uint8).view(np.int64) if len(s) else np.zeros(K // 8, np.int64))
-            longs = np.array(longs, np.int64).reshape(-1, K // 8)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(keys, pa.list_(pa.int64())), *(pa.array(longs[:, j]) for j in range(K // 8))], ["id", "n", "fp", "keys", *LONGS])
+                longs.append(wide_signature(s).view(np.int64) if len(s) else np.zeros(WIDE // 8, np.int64))
+            longs = np.array(longs, np.int64).reshape(-1, WIDE // 8)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(keys, pa.list_(pa.int64())), *(pa.array(longs[:, j]) for j in range(WIDE // 8))], ["id", "n", "fp", "keys", *LONGS])
 
     return found
 
@@ -77,16 +91,16 @@ def _agreeing(a: str, b: str):
         x = f"(({x} | shiftrightunsigned({x}, 2)) & 217020518514230019L)"  # 0x03
         x = f"(({x} | shiftrightunsigned({x}, 1)) & 72340172838076673L)"  # 0x01
         parts.append(f"bit_count({x})")
-    return F.expr(f"{K} - ({' + '.join(parts)})")
+    return F.expr(f"{WIDE} - ({' + '.join(parts)})")
 
 
 def _plausible(a: str, b: str, percent: int):
-    """Sizes that allow the similarity, and T agreeing coordinates."""
-    return (100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")) & (_agreeing(a, b) >= T)
+    """Sizes that allow the similarity, and enough agreeing coordinates."""
+    return (100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")) & (_agreeing(a, b) >= WIDE_T)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int, tmp: Scratch, name: str) -> DataFrame:
-    """Those of `pairs` (u, v) whose full shingle sets have 100 * intersection >= percent * union."""
+    """(u, v, similarity, linked) of `pairs` (u, v) from their full shingle sets; linked: 100 * intersection >= percent * union."""
     wanted = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
     own = tmp.save(texts.join(wanted, "id"), f"{name}-texts")
     rows = pairs.join(own.select(F.col("id").alias("u"), F.col("t").alias("tu")), "u").join(own.select(F.col("id").alias("v"), F.col("t").alias("tv")), "v")
@@ -103,15 +117,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int, tmp:
 
         for batch in batches:
             u, v, tu, tv = (batch.column(i).to_pylist() for i in range(4))
-            linked = []
+            linked, similar = [], []
             for i in range(len(u)):
                 a, b = shingles(u[i], tu[i]), shingles(v[i], tv[i])
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 linked.append(100 * both >= percent * (len(a) + len(b) - both))
-            keep = pa.array(linked, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["u", "v"])
+                similar.append(both / max(1, len(a) + len(b) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similar, pa.float64()), pa.array(linked, pa.bool_())], ["u", "v", "similarity", "linked"])
 
-    return tmp.save(rows.select("u", "v", "tu", "tv").mapInArrow(check, "u long, v long"), name)
+    return tmp.save(rows.select("u", "v", "tu", "tv").mapInArrow(check, "u long, v long, similarity double, linked boolean"), name)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -135,24 +149,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         # values held once come first in the global order; of the first K - T + 1 places those with others' values remain
         prefix = lists.select("id", F.expr(f"slice(held, 1, greatest(0, {K - T + 1} - ({K} - size(held))))").alias("held"))
         prefix = prefix.select("id", F.explode("held.key").alias("key"))
-        lists = tmp.save(prefix.join(nodes.select("id", "n", *LONGS).dropDuplicates(["id"]), "id"), "lists")
+        lists = tmp.save(prefix, "lists")
         hubs = lists.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("c")).filter("c > 1")
-        star = lists.select("key", "id").join(hubs, "key").filter("id <> hub").select(F.col("hub").alias("u"), F.col("id").alias("v")).distinct()
-        sides = nodes.select("id", "n", *LONGS)
+        near = tmp.save(lists.join(hubs, "key").filter("id <> hub").groupBy("hub", "id").agg(F.max("c").alias("c")), "near")
+        sides = nodes.select("id", "n", *LONGS).dropDuplicates(["id"])
+        star = near.select(F.col("hub").alias("u"), F.col("id").alias("v"))
         star = star.join(sides.alias("a"), F.col("u") == F.col("a.id")).join(sides.alias("b"), F.col("v") == F.col("b.id")).filter(_plausible("a", "b", percent)).select("u", "v")
-        links = confirmed(tmp.save(star, "star"), texts, words, percent, tmp, "links")
-        found = tmp.save(components(links, tmp, "first"), "found")
-        # lists whose members, without the hub that all were compared with, lie in several components
-        known = lists.join(found.withColumnRenamed("component", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        rest = known.join(hubs.filter("c > 2"), "key").filter("id <> hub").drop("hub", "c")
-        mixed_ = rest.groupBy("key").agg(F.min("comp").alias("main"), F.max("comp").alias("other")).filter("main <> other").drop("other")
-        rest = tmp.save(rest.join(mixed_, "key"), "rest")
+        star = confirmed(tmp.save(star, "star"), texts, words, percent, tmp, "links")
+        found = tmp.save(components(star.filter("linked"), tmp, "first"), "found")
+        # hubs whose members lie in several components; lists of two were compared above
+        rest = near.filter("c > 2").join(found.withColumnRenamed("component", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        several = rest.groupBy("hub").agg(F.min("comp").alias("main"), F.max("comp").alias("other")).filter("main <> other").drop("other")
+        rest = rest.drop("c").join(several, "hub").join(star.select(F.col("u").alias("hub"), F.col("v").alias("id"), "similarity"), ["hub", "id"], "left")
+        rest = tmp.save(rest.join(sides, "id"), "rest")
         a, b = rest.filter("comp <> main").alias("a"), rest.alias("b")
-        more = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.main")) | (F.col("a.id") < F.col("b.id"))) & _plausible("a", "b", percent))
+        apart = F.coalesce(F.abs(F.col("a.similarity") - F.col("b.similarity")) > 1 - percent / 100 + 1e-9, F.lit(False))
+        more = a.join(b, (F.col("a.hub") == F.col("b.hub")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.main")) | (F.col("a.id") < F.col("b.id"))) & ~apart & _plausible("a", "b", percent))
         more = tmp.save(more.select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v")).distinct(), "more")
         if not more.isEmpty():
-            links2 = confirmed(more, texts, words, percent, tmp, "links2")
-            found = components(links2.union(found.select(F.col("component").alias("u"), F.col("id").alias("v"))), tmp, "second")
+            links = confirmed(more, texts, words, percent, tmp, "links2").filter("linked").select("u", "v")
+            found = components(links.union(found.select(F.col("component").alias("u"), F.col("id").alias("v"))), tmp, "second")
         label = nodes.select("fp", "id").join(found, "id", "left").select(F.col("fp").alias("f"), F.coalesce("component", "id").alias("component")).groupBy("f").agg(F.min("component").alias("component"))
         out = signed.select("id", "n", "fp").join(label, F.col("fp") == F.col("f"), "left")
         component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
