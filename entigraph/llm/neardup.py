@@ -30,7 +30,7 @@ K, T = 48, 25
 _RANDOM = mixed(np.arange(1, 2 * K + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 FACTOR, SHIFT = (_RANDOM[:K] | np.uint64(1))[:, None], _RANDOM[K:][:, None]
 PLACE = (np.arange(K, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))[:, None]
-WIDE, WIDE_T = 256, 176
+WIDE, WIDE_T = 512, 368
 _WIDE = (mixed(np.arange(1, 2 * WIDE + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(32)).astype(np.uint32)
 WIDE_FACTOR, WIDE_SHIFT = (_WIDE[:WIDE] | np.uint32(1))[:, None], _WIDE[WIDE:][:, None]
 LONGS = [f"s{i}" for i in range(WIDE // 8)]
