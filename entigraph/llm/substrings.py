@@ -166,22 +166,42 @@ def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFr
     def matched(batches):
         rows: list[tuple[int, int, list[bytes]]] = []
         of: list[tuple[int, bool]] = []
+        alone: list[tuple[int, int, int, int, int, bool]] = []
+        run: list[tuple[int, int, bytes, bool]] = []
         last = None
 
+        def end_run():
+            """A key's only surroundings have nothing before them; the others go to the automaton."""
+            if not run:
+                return
+            if len(run) == 1:
+                i, start, seq, often = run[0]
+                size = seq.count(b" ") + 1
+                alone.append((i, start, size, (1 << (size - width + 1)) - 1, last, often))
+            else:
+                rows.extend((i, start, seq.split()) for i, start, seq, _ in run)
+                of.extend((last, often) for *_, often in run)
+            run.clear()
+
         def flush():
             masks = unseen(rows, width)
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([len(r[2]) for r in rows], pa.int32()), pa.array(masks, pa.int64()), pa.array([k for k, _ in of], pa.int64()), pa.array([w for _, w in of], pa.bool_())], ["id", "start", "size", "mask", "key", "often"])
+            out = [(i, start, len(words), mask, key, often) for (i, start, words), mask, (key, often) in zip(rows, masks, of, strict=True)] + alone
+            rows.clear()
+            of.clear()
+            alone.clear()
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["id", "start", "size", "mask", "key", "often"])
 
         for batch in batches:  # ordered by key, so a key's rows meet in one automaton
             for key, seq, i, start, often in zip(*(batch.column(j).to_pylist() for j in range(5)), strict=True):
-                if len(rows) >= CHUNK and key != last:
-                    yield flush()
-                    rows.clear()
-                    of.clear()
-                rows.append((i, start, seq.split()))
-                of.append((key, often))
-                last = key
-        if rows:
+                if key != last:
+                    end_run()
+                    if len(rows) >= CHUNK or len(alone) >= 20_000:
+                        yield flush()
+                    last = key
+                run.append((i, start, seq, often))
+        end_run()
+        if rows or alone:
             yield flush()
 
     def ranges(batches):
