@@ -49,7 +49,7 @@ def resolved(base: pd.Series, href: pd.Series) -> pd.Series:
 def year_candidates(c: Column | str) -> Column:
     """Sorted years 19xx and 20xx that stand alone, and fiscal years FYxx as 20xx."""
     full = F.regexp_extract_all(text(c), F.lit(r"(?<!\d)((?:19|20)\d{2})(?!\d)"), 1)
-    short = F.transform(F.regexp_extract_all(text(c), F.lit(r"(?i)\bFY\s*'?(\d{2})(?!\d)"), 1), lambda y: F.concat(F.lit("20"), y))
+    short = F.transform(F.regexp_extract_all(text(c), F.lit(r"(?i)\bFY[ _-]?(\d{2})(?!\d)"), 1), lambda y: F.concat(F.lit("20"), y))
     return F.array_sort(F.array_distinct(F.concat(full, short)))
 
 

@@ -14,7 +14,10 @@ from ..functions import names as N
 from ..functions import urls as U
 from ..operators import graph, ordered
 from ..operators import organizations as O
+from ..sources import directories as D
 from ..sources import parsers as P
+from ..sources import programs as G
+from ..sources import reports as R
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -199,6 +202,57 @@ def year_candidates(spark, d):
     return t(spark, d, "documents").select("doc_id", F.array_join(U.year_candidates(v), "|").alias("years"))
 
 
+@query(f"""
+SELECT page_id, CASE {" ".join(f"WHEN regexp_matches(v, '(?i){pattern}') THEN '{kind}'" for kind, pattern in R.TYPES)} ELSE '' END AS kind
+FROM (SELECT page_id, regexp_replace(label || ' ' || regexp_extract(url, '^[^:]*://[^/?#]*([^?#]*)', 1), '[-_+/]+', ' ', 'g') AS v
+      FROM (SELECT page_id, url, CASE page_id % 5 WHEN 0 THEN 'Annual Performance Report' WHEN 1 THEN 'Strategic plan' WHEN 2 THEN 'performance plan and report' WHEN 3 THEN 'Annual-Report' ELSE 'News' END AS label FROM pages))
+""")
+def report_type(spark, d):
+    labels = ["Annual Performance Report", "Strategic plan", "performance plan and report", "Annual-Report", "News"]
+    label = F.get(F.array(*map(F.lit, labels)), (F.col("page_id") % 5).cast("int"))
+    return t(spark, d, "pages").select("page_id", R.report_type(label, "url").alias("kind"))
+
+
+@query("""
+SELECT p_partkey, 'The purpose of it is ' || p_brand || '. They shall establish ' || p_type || ';' AS purpose, 'statutory_signal_text' AS method FROM part WHERE p_size % 2 = 0
+UNION ALL SELECT p_partkey, '', 'section_found_no_purpose_signal' FROM part WHERE p_size % 2 = 1
+""")
+def purpose_candidate(spark, d):
+    told = F.concat(F.lit("The purpose of it is "), "p_brand", F.lit(". Nothing else.  They shall  establish "), "p_type", F.lit("; Done."))
+    v = F.when(F.col("p_size") % 2 == 0, told).otherwise(F.concat("p_brand", F.lit(". Nothing else.")))
+    return t(spark, d, "part").select("p_partkey", G.purpose_candidate(v).alias("p")).select("p_partkey", "p.purpose", "p.method")
+
+
+@query("""
+SELECT 'department:' || r_name AS source_record_id, r_name AS source_name, '' AS parent_source_name, 'department' AS source_level FROM region
+UNION ALL SELECT DISTINCT 'agency:' || r_name || ':' || n_name, n_name, r_name, 'agency/component' FROM nation JOIN region ON r_regionkey = n_regionkey
+""")
+def inventory_records(spark, d):
+    pairs = t(spark, d, "region").join(t(spark, d, "nation"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return D.inventory(pairs.select(F.col("r_name").alias("Department"), F.col("n_name").alias("Agency"))).select("source_record_id", "source_name", "parent_source_name", "source_level")
+
+
+@query("SELECT n_nationkey, 'Department of the ' || w(r_name) AS department, w(n_name) AS agency FROM nation JOIN region ON r_regionkey = n_regionkey".replace("w(r_name)", "{0}").replace("w(n_name)", "{1}").format(
+    *["CASE WHEN regexp_full_match({0}, '[A-Z]{{2,8}}') THEN {0} ELSE array_to_string([upper(x[1]) || lower(x[2:]) FOR x IN string_split({0}, ' ')], ' ') END".format(c) for c in ("r_name", "n_name")]
+))
+def agency_labels(spark, d):
+    pairs = t(spark, d, "nation").join(F.broadcast(t(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))  # region: 5 rows
+    label = F.concat("n_name", F.lit(" (XY), "), "r_name", F.lit(", DEPARTMENT OF THE"))
+    return pairs.select("n_nationkey", G.agency_parts(label).alias("p")).select("n_nationkey", "p.department", "p.agency")
+
+
+@query("SELECT p_partkey, array_to_string(list_sort(list_distinct(['P.1-' || p_partkey::VARCHAR, 'P.1-x_' || p_size::VARCHAR])), '|') AS ids FROM part")
+def granule_ids(spark, d):
+    xml = F.concat(F.lit("<a id='P.1-x_"), F.col("p_size").cast("string"), F.lit("'>P.1-"), F.col("p_partkey").cast("string"), F.lit(" P.1-"), F.col("p_partkey").cast("string"), F.lit(" PX1-9</a>"))
+    return t(spark, d, "part").select("p_partkey", F.array_join(D.granules_from_xml(xml, F.lit("P.1")), "|").alias("ids"))
+
+
+@query("SELECT 'S' AS source, s_suppkey::VARCHAR AS source_record_id, s_name AS source_name, 'u' AS source_url FROM supplier UNION ALL SELECT 'S', c_custkey::VARCHAR, c_name, 'u' FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)")
+def statutory_append(spark, d):
+    one = lambda n, k, name: t(spark, d, n).select(F.lit("S").alias("source"), F.col(k).cast("string").alias("source_record_id"), F.col(name).alias("source_name"), F.lit("u").alias("source_url"))
+    return D.append_statutory(one("supplier", "s_suppkey", "s_name"), one("customer", "c_custkey", "c_name"))
+
+
 @query("SELECT s_suppkey AS id, s_name AS name, s_acctbal AS acctbal, NULL::VARCHAR AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer".replace("NULL::VARCHAR", "''"))
 def hetero_union(spark, d):
     s = t(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("acctbal"))

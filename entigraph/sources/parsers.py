@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import collapse, text
+from ..functions.names import collapse, strip, text
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -26,7 +26,6 @@ class _Links(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag == "a":
-            self._end()
             self.href, self.label = dict(attrs).get("href"), []
 
     def handle_data(self, data):
@@ -39,7 +38,7 @@ class _Links(HTMLParser):
 
     def _end(self):
         if self.href is not None:
-            self.found.append((self.href, " ".join("".join(self.label).split())))
+            self.found.append((self.href, " ".join(" ".join(self.label).split())))
         self.href = None
 
 
@@ -47,7 +46,6 @@ def page_links(html: str | None) -> list[tuple[str, str]]:
     p = _Links()
     p.feed(html or "")
     p.close()
-    p._end()
     return p.found
 
 
@@ -84,7 +82,7 @@ class _Tables(HTMLParser):
 
     def _end(self):
         if self.parts is not None:
-            self.cells.append((self.table, self.row, self.col, " ".join("".join(self.parts).split())))
+            self.cells.append((self.table, self.row, self.col, " ".join(" ".join(self.parts).split())))
         self.parts = None
 
     def handle_starttag(self, tag, attrs):
@@ -120,20 +118,27 @@ def tables(df: DataFrame, html: str = "html") -> DataFrame:
     return exploded(df, html, T.StructType().add("table", "long").add("row", "long").add("col", "long").add("value", "string"), page_cells)
 
 
-def statute_sections(raw: bytes | str | None) -> list[tuple[str, str, str]]:
-    """(section, heading, all text) of each section of a statute file, in document order; namespaces are ignored."""
+def clean_number(c: Column | str) -> Column:
+    """A section number without white space, section sign, "Sec." or "Section", and dots at the ends."""
+    bare = F.regexp_replace(text(c), r"(?U)[\s§]", "")
+    return F.regexp_replace(F.regexp_replace(bare, r"(?i)^(sec\.?|section)", ""), r"^[. ]+|[. ]+$", "")
+
+
+def statute_sections(raw: bytes | str | None) -> list[tuple[str, str, str, int]]:
+    """(section, heading, all text, position) of each section of a statute file, in document order; namespaces are ignored."""
     out = []
     local = lambda e: e.tag.rsplit("}", 1)[-1]
     for _, e in ET.iterparse(io.BytesIO(raw.encode() if isinstance(raw, str) else raw or b"<x/>")):
         if local(e) == "section":
-            first = lambda name, e=e: next((" ".join("".join(x.itertext()).split()) for x in e.iter() if local(x) == name), "")
-            number = re.sub(r"^(?:section|sec\.?)", "", re.sub(r"[\s§]", "", first("num")), flags=re.I).strip(". ")
-            out.append((number, first("heading"), " ".join(" ".join(e.itertext()).split())))
+            first = lambda name, gap, e=e: next((gap.join(x.itertext()) for x in e.iter() if local(x) == name), "")
+            number = re.sub(r"^(?:sec\.?|section)", "", re.sub(r"[\s§]", "", first("num", "")), flags=re.I).strip(". ")
+            out.append((number, " ".join(first("heading", " ").split()), " ".join(" ".join(e.itertext()).split()), len(out)))
+            e.clear()  # a title may have tens of thousands of sections
     return out
 
 
 def statutes(df: DataFrame, xml: str = "xml") -> DataFrame:
-    return exploded(df, xml, T.StructType().add("section", "string").add("heading", "string").add("text", "string"), statute_sections)
+    return exploded(df, xml, T.StructType().add("section", "string").add("heading", "string").add("text", "string").add("position", "long"), statute_sections)
 
 
 def sheet_rows(raw: bytes) -> list[tuple[str, int, list[str]]]:
@@ -165,15 +170,16 @@ def sheet_rows(raw: bytes) -> list[tuple[str, int, list[str]]]:
 
 
 def parse_authorities(df: DataFrame, column: str) -> DataFrame:
-    """One row per code citation in `column`: authority_sequence (from 1), usc_title, usc_section, authority_text.
+    """One row per code citation in `column`: authority_sequence (from 1), authority_citation, usc_title, usc_section.
 
-    A text without a citation gives one row with empty title and section; an empty text gives none.
+    A text without a citation gives one row with the whole text as citation; an empty text gives none.
     """
-    pattern = r"(?i)(\d+)\s+U\.?\s*S\.?\s*C\.?\s*(?:§+\s*)?(\d+[A-Za-z0-9-]*)"
-    found = F.arrays_zip(F.regexp_extract_all(text(column), F.lit(pattern), 1).alias("usc_title"), F.regexp_extract_all(text(column), F.lit(pattern), 2).alias("usc_section"))
-    none = F.array(F.struct(F.lit("").alias("usc_title"), F.lit("").alias("usc_section")))
-    rows = df.filter(collapse(column) != "").select(*df.columns, F.posexplode(F.when(F.size(found) > 0, found).otherwise(none)).alias("__at", "__c"))
-    return rows.select(*df.columns, (F.col("__at") + 1).alias("authority_sequence"), F.col("__c.usc_title").alias("usc_title"), F.col("__c.usc_section").alias("usc_section"), collapse(column).alias("authority_text"))
+    pattern = r"(?i)((\d+)\s*U\.?S\.?C\.?\s*(?:§{1,2}\s*)?([0-9A-Za-z._-]+))"  # fixed value
+    every = lambda group: F.regexp_extract_all(strip(column), F.lit(pattern), group)
+    found = F.arrays_zip(every(1).alias("authority_citation"), every(2).alias("usc_title"), every(3).alias("usc_section"))
+    none = F.array(F.struct(strip(column).alias("authority_citation"), F.lit("").alias("usc_title"), F.lit("").alias("usc_section")))
+    rows = df.filter(strip(column) != "").select(*df.columns, F.posexplode(F.when(F.size(found) > 0, found).otherwise(none)).alias("__at", "__c"))
+    return rows.select(*df.columns, (F.col("__at") + 1).alias("authority_sequence"), "__c.*")
 
 
 def strip_code_prefix(name: Column | str, code: Column | str) -> Column:
