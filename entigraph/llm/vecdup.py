@@ -4,7 +4,8 @@ A cosine of c between unit vectors is a distance of sqrt(2 - 2c), so linked pair
 vector has its home in the cell of its nearest pivot, and is copied to each other cell in which a vector within the
 radius could be at home: by the triangle inequality that takes a pivot no farther than the own one plus twice the
 radius, and a boundary (the bisector of both pivots) no farther than the radius. So each cell finds all links of its
-home vectors alone. Cells are joined block by block, and a block gives counts and a spanning forest, never pairs.
+home vectors alone. Cells are joined block by block, home vectors with each other once and with guests from other
+cells; a block gives counts and a spanning forest, never pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from .components import components
 from .linear import sampled
 from .vectors import distinct, matrix, prepared
 
-BLOCK = 2048
+BLOCK, TILE = 16384, 2048  # rows of a task's sides, and of the matrices it holds at a time
+ROW_S, PAIR_S = 2e-5, 6e-9  # seconds to move a row and to compare two
 SLACK = 1e-9
 
 
@@ -40,10 +42,26 @@ def unit(a: np.ndarray) -> np.ndarray:
     return a / np.linalg.norm(a, axis=1, keepdims=True) if len(a) else a
 
 
-def linked(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
-    """Which rows of a and b have a cosine of at least `least`: single precision far from it, double near it."""
-    ua, ub = unit(a), unit(b)
-    rough = ua.astype(np.float32) @ ub.astype(np.float32).T
+def packed(a: np.ndarray) -> list[bytes]:
+    """Rows as bytes: of single precision where that loses nothing."""
+    with np.errstate(over="ignore"):
+        short = a.astype(np.float32)
+    same = (short.astype(np.float64) == a).all(axis=1)
+    return [short[i].tobytes() if same[i] else a[i].tobytes() for i in range(len(a))]
+
+
+def unpacked(raw, dim: int) -> np.ndarray:
+    raw = list(raw)
+    if all(len(r) == 4 * dim for r in raw):
+        return np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), dim).astype(np.float64)
+    return np.array([np.frombuffer(r, np.float32 if len(r) == 4 * dim else np.float64) for r in raw], np.float64).reshape(len(raw), dim)
+
+
+def linked(a: np.ndarray, b: np.ndarray, ua: np.ndarray, ub: np.ndarray, least: float) -> np.ndarray | None:
+    """Which rows of a and b have a cosine of at least `least`, None if no two: single precision (ua, ub: unit rows) far from it, double near it."""
+    rough = ua @ ub.T
+    if rough.max() < least - 1e-4:
+        return None
     out = rough >= least
     for i, j in zip(*np.nonzero(np.abs(rough - least) < 1e-4), strict=True):
         out[i, j] = np.dot(a[i], b[j]) / (np.sqrt(np.dot(a[i], a[i])) * np.sqrt(np.dot(b[j], b[j]))) >= least
@@ -64,6 +82,36 @@ def forest(adjacent: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tu
     return [(int(i), int(r)) for own, labels in ((left[rows], a), (right[cols], b)) for i, r in zip(own, labels, strict=True) if i != r]
 
 
+def reach(u: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each unit vector's nearest pivot, and all cells in which a vector within the radius could be at home."""
+    apart = np.sqrt(np.maximum(0, 2 - 2 * pivots @ pivots.T))
+    d2 = np.maximum(0, 2 - 2 * u @ pivots.T)
+    d, home, at = np.sqrt(d2), d2.argmin(axis=1), np.arange(len(u))
+    mine = d[at, home][:, None]
+    gap = (d2 - mine**2) / np.maximum(2 * apart[home], 1e-12)
+    into = (d <= mine + 2 * radius) & ((gap <= radius) | (apart[home] < 1e-9))
+    into[at, home] = True
+    return home, into
+
+
+def cheapest(pivots: np.ndarray, sample: np.ndarray, n: int, radius: float) -> np.ndarray:
+    """The first 1, 2, 4, ... or all of the pivots: as many as promise the least work for n vectors like the sample.
+
+    Cells only pay where they keep vectors apart. Where most vectors would be copied into most cells, fewer cells
+    shuffle less. The sample is bounded; a wrong guess costs time, never links.
+    """
+    best, least_cost = pivots[:1], np.inf
+    for k in sorted({len(pivots), *(2**i for i in range(len(pivots).bit_length()) if 2**i <= len(pivots))}):
+        home, into = reach(sample, pivots[:k], radius)
+        own = np.bincount(home, minlength=k) * (n / len(sample))
+        guests = into.sum(axis=0) * (n / len(sample)) - own
+        rows = (own * (np.ceil(own / BLOCK) + np.ceil(guests / BLOCK)) + guests * np.ceil(own / BLOCK)).sum()
+        cost = rows * ROW_S + (own * (own / 2 + guests)).sum() * PAIR_S
+        if cost < least_cost:
+            best, least_cost = pivots[:k], cost
+    return best
+
+
 def near_duplicate_vectors(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding", cell_rows: int = 4096, sample: int = 4000) -> DataFrame:
     """(id_col, n_links, component_id, kept), one row per row of `vectors`.
 
@@ -81,46 +129,54 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.9, id_col: str =
         n = own.count()
         few = unit(matrix(r["v"] for r in sampled(own.select("id", "v"), "id", sample).collect()))  # `sample` rows at most
         pivots = farthest_first(few, max(1, min(sample // 4, -(-n // cell_rows))))
-        between = np.sqrt(np.maximum(0, 2 - 2 * pivots @ pivots.T))
-        shared = spark.sparkContext.broadcast((pivots, between))
+        pivots = cheapest(pivots, few, n, radius) if len(few) else pivots
+        dim, shared = pivots.shape[1], spark.sparkContext.broadcast(pivots)
 
         def cells(batches):
-            p, apart = shared.value
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                u = unit(matrix(batch.column(2).to_pylist()))
-                d2 = np.maximum(0, 2 - 2 * u @ p.T)
-                d, home = np.sqrt(d2), d2.argmin(axis=1)
-                at = np.arange(len(u))
-                mine = d[at, home][:, None]
-                gap = (d2 - mine**2) / np.maximum(2 * apart[home], 1e-12)
-                into = (d <= mine + 2 * radius) & ((gap <= radius) | (apart[home] < 1e-9))
-                into[at, home] = True
+                a = matrix(batch.column(2).to_pylist())
+                home, into = reach(unit(a), shared.value, radius)
                 row, cell = np.nonzero(into)
                 take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(home[row] == cell), *(batch.column(i).take(take) for i in range(3))], ["cell", "home", "id", "copies", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(home[row] == cell), *(batch.column(i).take(take) for i in range(2)), pa.array(packed(a), pa.binary()).take(take)], ["cell", "home", "id", "copies", "v"])
 
         dealt = tmp.save(own.select("id", "copies", "v").mapInArrow(cells, "cell int, home boolean, id long, copies long, v binary"), "cells")
-        blocks = F.broadcast(dealt.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))  # one row per pivot
-        dealt = dealt.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        left = dealt.filter("home").select("cell", F.col("block").alias("i"), others.alias("j"), F.lit(True).alias("mine"), "id", "copies", "v")
-        right = dealt.select("cell", others.alias("i"), F.col("block").alias("j"), F.lit(False).alias("mine"), "id", "copies", "v")
-
-        def joined(rows: pd.DataFrame) -> pd.DataFrame:
-            a, b = rows[rows["mine"]], rows[~rows["mine"]]
-            if not len(a) or not len(b):
-                return pd.DataFrame({"id": [], "links": [], "root": []})
-            left, right = a["id"].to_numpy(np.int64), b["id"].to_numpy(np.int64)
-            near = linked(matrix(a["v"]), matrix(b["v"]), least)
-            near[left[:, None] == right[None, :]] = False
-            links = near @ b["copies"].to_numpy(np.int64)
-            tree = forest(near, left, right)
+        blocks = lambda test: F.ceil(F.count_if(test) / BLOCK).cast("int")
+        sizes = F.broadcast(dealt.groupBy("cell").agg(blocks(F.col("home")).alias("homes"), blocks(~F.col("home")).alias("guests")))  # one row per pivot
+        dealt = dealt.join(sizes, "cell").filter("homes > 0").withColumn("part", F.pmod(F.xxhash64("id"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("guests"))).cast("int"))
+        every = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.col(c), F.lit(1))), lambda x: x - 1)
+        place = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+        among = F.transform(every("homes"), lambda x: place(0, F.least(x, F.col("part")), F.greatest(x, F.col("part"))))
+        hosts = F.when(F.col("guests") > 0, F.transform(every("guests"), lambda x: place(1, F.col("part"), x))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>"))
+        visits = F.transform(every("homes"), lambda x: place(1, x, F.col("part")))
+        dealt = dealt.select("cell", "home", "part", "id", "copies", "v", F.explode(F.when(F.col("home"), F.concat(among, hosts)).otherwise(visits)).alias("p"))
+
+        def joined(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+            _, kind, i, j = key
+            ids, copies, a = rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64), unpacked(rows["v"], dim)
+            u, part, home = unit(a).astype(np.float32), rows["part"].to_numpy(), rows["home"].to_numpy(bool)
+            left = np.flatnonzero(home & (part == i))
+            right = left if kind == 0 and i == j else np.flatnonzero(part == j) if kind == 0 else np.flatnonzero(~home)
+            links, tree = np.zeros(len(ids), np.int64), []
+            for x in range(0, len(left), TILE):
+                for y in range(x if right is left else 0, len(right), TILE):
+                    l, r = left[x : x + TILE], right[y : y + TILE]  # noqa: E741
+                    near = linked(a[l], a[r], u[l], u[r], least)
+                    if near is None:
+                        continue
+                    same = right is left and x == y
+                    if same:
+                        np.fill_diagonal(near, False)
+                    links[l] += near @ copies[r]
+                    if kind == 0 and not same:
+                        links[r] += near.T @ copies[l]
+                    tree += forest(near, ids[l], ids[r])
             some = np.flatnonzero(links)
-            return pd.DataFrame({"id": [*left[some], *(e[0] for e in tree)], "links": [*links[some], *[0] * len(tree)], "root": [*left[some], *(e[1] for e in tree)]})
+            return pd.DataFrame({"id": [*ids[some], *(e[0] for e in tree)], "links": [*links[some], *[0] * len(tree)], "root": [*ids[some], *(e[1] for e in tree)]})
 
-        found = tmp.save(left.union(right).groupBy("cell", "i", "j").applyInPandas(joined, "id long, links long, root long"), "found")
+        found = tmp.save(dealt.groupBy("cell", "p.kind", "p.i", "p.j").applyInPandas(joined, "id long, links long, root long"), "found")
         links = found.groupBy("id").agg(F.sum("links").alias("links"))
         group = components(found.filter("id <> root").select(F.col("id").alias("u"), F.col("root").alias("v")), tmp)
         label = own.select("id", "copies", F.col("fp").alias("f")).join(links, "id", "left").join(group, "id", "left")
