@@ -1,10 +1,10 @@
 """Near-duplicate vectors by an exact metric range join.
 
 A cosine of c between unit vectors is a distance of sqrt(2 - 2c), so linked pairs are those within a radius. Every
-vector has its home in the cell of its nearest pivot, and is copied to each other cell in which a vector within the
-radius could be at home: by the triangle inequality that takes a pivot no farther than the own one plus twice the
-radius, and a boundary (the bisector of both pivots) no farther than the radius. So each cell finds all links of its
-home vectors alone. Cells are joined block by block, home vectors with each other once and with guests from other
+vector has its home in the cell of its nearest pivot, and is copied to each cell of a smaller number in which a vector
+within the radius could be at home: by the triangle inequality that takes a pivot no farther than the own one plus
+twice the radius, and a boundary (the bisector of both pivots) no farther than the radius. So the smaller of two homes
+finds the link between them, once, and no cell needs another. Cells are joined block by block, home vectors with each other once and with guests from other
 cells; a block gives counts and a spanning forest, never pairs.
 """
 
@@ -23,7 +23,7 @@ from .vectors import distinct, matrix, prepared
 
 BLOCK, TILE = 16384, 2048  # rows of a task's sides, and of the matrices it holds at a time
 ROW_S, PAIR_S = 2e-5, 6e-9  # seconds to move a row and to compare two
-SLACK = 1e-9
+SLACK = 1e-6
 
 
 def farthest_first(sample: np.ndarray, n: int) -> np.ndarray:
@@ -83,25 +83,26 @@ def forest(adjacent: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tu
 
 
 def reach(u: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-    """The cell of each unit vector's nearest pivot, and all cells in which a vector within the radius could be at home."""
+    """The cell of each unit vector's nearest pivot, and with it the smaller cells in which a vector within the radius could be at home."""
     apart = np.sqrt(np.maximum(0, 2 - 2 * pivots @ pivots.T))
     d2 = np.maximum(0, 2 - 2 * u @ pivots.T)
     d, home, at = np.sqrt(d2), d2.argmin(axis=1), np.arange(len(u))
     mine = d[at, home][:, None]
     gap = (d2 - mine**2) / np.maximum(2 * apart[home], 1e-12)
-    into = (d <= mine + 2 * radius) & ((gap <= radius) | (apart[home] < 1e-9))
+    into = (d <= mine + 2 * radius) & ((gap <= radius) | (apart[home] < 1e-9)) & (np.arange(len(pivots)) < home[:, None])
     into[at, home] = True
     return home, into
 
 
 def cheapest(pivots: np.ndarray, sample: np.ndarray, n: int, radius: float) -> np.ndarray:
-    """The first 1, 2, 4, ... or all of the pivots: as many as promise the least work for n vectors like the sample.
+    """The first 2, 4, 8, ... or all of the pivots: as many as promise the least work for n vectors like the sample.
 
-    Cells only pay where they keep vectors apart. Where most vectors would be copied into most cells, fewer cells
-    shuffle less. The sample is bounded; a wrong guess costs time, never links.
+    There are at least so many that a cell of average size is one block. More cells only pay where they keep vectors
+    apart: where most vectors would be copied into most cells, fewer cells shuffle less. The sample is bounded; a wrong
+    guess costs time, never links.
     """
-    best, least_cost = pivots[:1], np.inf
-    for k in sorted({len(pivots), *(2**i for i in range(len(pivots).bit_length()) if 2**i <= len(pivots))}):
+    fewest, best, least_cost = min(len(pivots), max(2, -(-n // BLOCK))), pivots, np.inf
+    for k in sorted({fewest, len(pivots), *(2**i for i in range(len(pivots).bit_length()) if fewest <= 2**i <= len(pivots))}):
         home, into = reach(sample, pivots[:k], radius)
         own = np.bincount(home, minlength=k) * (n / len(sample))
         guests = into.sum(axis=0) * (n / len(sample)) - own
@@ -128,7 +129,7 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.9, id_col: str =
         own = distinct(rows, tmp, "own")
         n = own.count()
         few = unit(matrix(r["v"] for r in sampled(own.select("id", "v"), "id", sample).collect()))  # `sample` rows at most
-        pivots = farthest_first(few, max(1, min(sample // 4, -(-n // cell_rows))))
+        pivots = farthest_first(few, max(2, min(sample // 4, -(-n // cell_rows))))
         pivots = cheapest(pivots, few, n, radius) if len(few) else pivots
         dim, shared = pivots.shape[1], spark.sparkContext.broadcast(pivots)
 
@@ -170,7 +171,7 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.9, id_col: str =
                     if same:
                         np.fill_diagonal(near, False)
                     links[l] += near @ copies[r]
-                    if kind == 0 and not same:
+                    if not same:
                         links[r] += near.T @ copies[l]
                     tree += forest(near, ids[l], ids[r])
             some = np.flatnonzero(links)
