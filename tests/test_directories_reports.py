@@ -99,3 +99,20 @@ def test_commands(tmp_path, capsys):
     assert "opm_fwd: enabled (workforce_organization_hierarchy)" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         cli.main([])
+
+
+def test_command_flows(spark, tmp_path):
+    """Organizations, then programs on top of the written registry."""
+    out = f"file://{tmp_path}/out"
+    (tmp_path / "s.csv").write_text(
+        "source,source_record_id,source_name,source_url,website,description,parent_source_name,source_level,branch\n"
+        "USA.gov Agency Index,1,Agriculture Department (USDA),u,https://usda.gov,,,organization,\nFederal Register Agencies API,2,Department of Agriculture,u,,,,agency,\n"
+        "Federal Register Agencies API,3,Farm Service Agency,u,,,Department of Agriculture,subagency,\n"
+    )
+    (tmp_path / "l.csv").write_text('Program Title,Program Number,Federal Agency (030),Authorization (040),Objectives (050)\nFarm Aid,10.1,"FARM SERVICE AGENCY, AGRICULTURE, DEPARTMENT OF",7 U.S.C. 1926,Helps farms\n')
+    assert cli.main(["--out", out, "organizations", "--source-csv", f"file://{tmp_path}/s.csv"]) == 0
+    assert cli.main(["--out", out, "programs", "--sam-csv", f"file://{tmp_path}/l.csv"]) == 0
+    summary = json.loads("\n".join(r.value for r in spark.read.text(f"{out}/program_pipeline_summary.json").collect()))
+    assert (summary["canonical_programs"], summary["program_authorities"], summary["organizations_without_programs"]) == (1, 1, 1)
+    organizations = spark.read.csv(f"{out}/organizations.csv", header=True)
+    assert sorted(r.canonical_name for r in organizations.collect()) == ["Department of Agriculture", "Farm Service Agency"]
