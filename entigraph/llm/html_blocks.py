@@ -3,8 +3,10 @@
 A page becomes the sequence of its text blocks, each with the path of the elements around it. A bidirectional LSTM
 (numpy) reads a vector for each block, made of hashed path steps, hashed words and a few sizes, and tells for each
 block, with the whole page as context, whether it belongs to the article. It is trained here, on a bounded sample
-of the pages: the teacher labels the blocks by what the elements mean, and further copies of the sampled pages get
-furniture of many other kinds, and lose their article element, so that the labeller does not hang on one template.
+of the pages: the teacher labels the blocks by what the elements mean, and three further copies of each sampled page get
+furniture of many other kinds, two with an article element of some kind and one that has lost it, so that the labeller
+does not hang on one template. Of pages without an article element the teacher knows nothing: they are no lesson
+where others are.
 """
 
 from __future__ import annotations
@@ -29,20 +31,26 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset(("article", "main", "role=main", "role=article"))
-FURNITURE = frozenset("nav aside footer form header menu button dialog figcaption".split())
-#: Words of classes, ids and roles that name page furniture.
+FURNITURE = frozenset("nav aside footer form header menu button dialog".split())
+#: Of these, the ones that make furniture of an article inside them; the others, and all names, only count below it.
+AROUND = frozenset("nav aside footer".split())
+#: Classes, ids and roles that name page furniture.
 FURNITURE_WORDS = frozenset("ad ads advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies footer header login menu modal nav navbar navigation newsletter notice popup promo promoted related reply share sharing sidebar signup social sponsor sponsored subscribe widget".split())
-PATH_DIM, WORD_DIM, EXTRA = 48, 16, 4
+PATH_DIM, WORD_DIM, EXTRA, KINDS = 48, 16, 5, 9
 INPUT, HIDDEN = PATH_DIM + WORD_DIM + EXTRA, 12
 Block = tuple[tuple[str, ...], str, float]
 
 
 def _steps(name: str, attributes: str) -> list[str]:
+    """The element, and its whole class names, id and role; of html and body, whose names tell of the whole page, the role only."""
     out = [name]
     if attributes and "=" in attributes:
         for key, *value in ATTRIBUTE.findall(attributes):
-            text = "".join(value).lower()
-            out += [f"{key.lower()}={w}" for w in re.split(r"[^a-z0-9]+", text) if w] if key.lower() != "role" else [f"role={text.strip()}"]
+            key, text = key.lower(), "".join(value).lower()
+            if key == "role":
+                out.append(f"role={text.strip()}")
+            elif name not in ("html", "body"):
+                out += [f"{key}={w}" for w in text.split()]
     return out
 
 
@@ -109,20 +117,34 @@ def blocks(page: str | None) -> list[Block]:
     return out
 
 
+def _furniture(path: tuple[str, ...]) -> tuple[bool, list[str], list[str]]:
+    """Whether the path has an article element, and the furniture elements and names that count: those below the
+    article's element, if there is one, and of the elements around it nav, aside and footer."""
+    at = next((k for k, s in enumerate(path) if s in ARTICLE), -1)
+    below = next((k for k in range(at + 1, len(path)) if "=" not in path[k]), len(path)) if at >= 0 else 0
+    elements = [s for k, s in enumerate(path) if s in FURNITURE and (s in AROUND or k >= below and not (s == "header" and at >= 0))]
+    return at >= 0, elements, [s for s in path[below:] if s.partition("=")[2] in FURNITURE_WORDS]
+
+
 def taught(path: tuple[str, ...]) -> bool:
-    """What the elements and their names say: in an article and in no furniture inside or around it."""
-    inside = False
-    for s in path:
-        if s in ARTICLE:
-            inside = True
-        elif s in FURNITURE and not (s == "header" and inside) or s.partition("=")[2] in FURNITURE_WORDS:
-            return False
-    return inside
+    """What the elements and their names say: in an article and in no furniture inside it, nor in nav, aside or footer."""
+    inside, elements, names = _furniture(path)
+    return inside and not elements and not names
+
+
+def plausible(path: tuple[str, ...], links: float) -> bool:
+    """What is left to say where no page has an article element: in no furniture, and mostly no links."""
+    _, elements, names = _furniture(path)
+    return not elements and not names and links < 0.5
+
+
+def has_article(page: list[Block]) -> bool:
+    return any(s in ARTICLE for path, _, _ in page for s in path)
 
 
 def _step(text: str) -> tuple[int, float]:
     h = xxhash.xxh32_intdigest(text)
-    return 8 + h % (PATH_DIM - 8), 0.5 if h >> 31 else -0.5
+    return KINDS + h % (PATH_DIM - KINDS), 0.5 if h >> 31 else -0.5
 
 
 STEPS = Recent(_step, 20_000)
@@ -138,11 +160,11 @@ def path_vector(path: tuple[str, ...]) -> np.ndarray:
         for depth, s in enumerate(path):
             i, amount = STEPS[s]
             v[i] += amount
-            word = s.partition("=")[2]
             v[0] += s in ARTICLE
-            v[1] += s in FURNITURE
-            v[2] += word in FURNITURE_WORDS
             v[3] = depth / 8
+            v[8] += not FURNITURE_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", s.partition("=")[2]))
+        _, elements, names = _furniture(path)
+        v[1], v[2] = len(elements), len(names)
         v[4] = v[0] > 0
         v[5] = v[1] > 0
         v[6] = v[2] > 0
@@ -156,6 +178,7 @@ def path_vector(path: tuple[str, ...]) -> np.ndarray:
 def vectors(page: list[Block]) -> np.ndarray:
     """The labeller's input: a row per block."""
     x = np.zeros((len(page), INPUT), np.float32)
+    article = has_article(page)
     words = [text.lower().split() for _, text, _ in page]
     sizes = np.array([len(w) for w in words])
     flat = np.fromiter((WORDS[w] for ws in words for w in ws), np.int64, int(sizes.sum()))
@@ -163,7 +186,7 @@ def vectors(page: list[Block]) -> np.ndarray:
     x[:, PATH_DIM : PATH_DIM + WORD_DIM] = (counts[:, :WORD_DIM] - counts[:, WORD_DIM:]) / np.sqrt(sizes)[:, None]
     for t, (path, text, links) in enumerate(page):
         x[t, :PATH_DIM] = path_vector(path)
-        x[t, -EXTRA:] = np.log1p(len(text)) / 5, links, text[-1] in '.!?…"”', np.log1p(t) / 5
+        x[t, -EXTRA:] = np.log1p(len(text)) / 5, links, text[-1] in '.!?…"”', np.log1p(t) / 5, article and not x[t, 0]
     return x
 
 
@@ -241,45 +264,69 @@ OTHER_FURNITURE = (
 )
 
 
-def varied(page: list[Block], labels: list[bool], pool: list[str], rng: np.random.Generator) -> tuple[list[Block], list[bool]]:
-    """A copy of the page with other furniture before, after and inside the article, perhaps with another article element."""
-    name = [("article",), ("main",), ("div", "role=main"), ("main", "article")][rng.integers(4)]
+#: Article elements, and what stands in their place where a page has none.
+ARTICLES = (("article",), ("main",), ("div", "role=main"), ("main", "article"))
+PLAIN = ((), ("div",), ("section",), ("div", "id=content"), ("div", "class=content"), ("div", "class=post"), ("div", "class=entry-content"), ("div", "id=page", "div", "class=text"), ("table", "tr", "td"))
+#: What may stand around a title inside the article.
+TITLES = (("header",), ("div", "class=post-header"), ("div", "class=entry-header"))
+
+
+def varied(page: list[Block], labels: list[bool], pool: list[str], rng: np.random.Generator, article: bool) -> tuple[list[Block], list[bool]]:
+    """A copy of the page with other furniture before, after and inside the article, and another article element or, without `article`, none.
+
+    Beside an article element text without a furniture name is furniture, too.
+    """
+    made = f"class={''.join(chr(97 + c) for c in rng.integers(26, size=6))}"
+    name = ARTICLES[rng.integers(len(ARTICLES))] if article else (*PLAIN, ("div", made), ("div", made, "div"))[rng.integers(len(PLAIN) + 2)]
+    title = TITLES[rng.integers(len(TITLES))] if rng.random() < 0.3 else ()
     out, marks = [], []
 
-    def furniture(under: tuple[str, ...]) -> None:
-        path = OTHER_FURNITURE[rng.integers(len(OTHER_FURNITURE))]
+    def furniture(under: tuple[str, ...], kinds: tuple[tuple[str, ...], ...]) -> None:
+        path = kinds[rng.integers(len(kinds))]
         for _ in range(rng.integers(1, 4)):
             out.append((under + path, pool[rng.integers(len(pool))], float(rng.random() < 0.3)))
             marks.append(False)
 
-    furniture(("html", "body"))
+    def outside() -> None:
+        plain = article and rng.random() < 0.5
+        furniture(("html", "body"), beside if plain else OTHER_FURNITURE)
+
+    beside = tuple((*p, *q) for p in (*PLAIN, ("div", made)) for q in (("p",), ("div",), ("h2",), ("ul", "li")))
+    outside()
+    before = -1
     for (path, text, links), good in zip(page, labels, strict=True):
+        i = next((k for k, s in enumerate(path) if s in ARTICLE), -1)
+        if min(i, before) < 0 and rng.random() < 0.2:
+            outside()
+        before = i
+        if i >= 0:
+            start = path[: i - (path[i].startswith("role="))]
+            path = start + name + (title if good else ()) + tuple(s for s in path[i + 1 :] if s not in ARTICLE)
+        out.append((path, text, links))
+        marks.append(good)
         if good:
-            i = next(k for k, s in enumerate(path) if s in ARTICLE)
-            out.append((path[:i] + name + path[i + 1 :], text, links))
+            title = ()
             if rng.random() < 0.06:
-                marks.append(True)
-                furniture(path[:i] + name)
-                continue
-        else:
-            out.append((path, text, links))
-        marks.append(good)
-    furniture(("html", "body"))
+                furniture(start + name, OTHER_FURNITURE[1:])
+    outside()
     return out, marks
 
 
 def train(pages: list[str], epochs: int = 14, batch: int = 32, longest: int = 200, seed: int = 5) -> Labeller:
-    """A labeller taught on `pages`; of a page with more than `longest` blocks, that many in a row make a training sequence."""
+    """A labeller taught on `pages`; of a page with more than `longest` blocks, that many in a row make a training sequence.
+
+    Pages without an article element are left out, unless all are such: then what is plausible is taught."""
     rng, model = np.random.default_rng(seed), Labeller()
     parsed = [b for p in pages if (b := blocks(p))]
     pool = [text for b in parsed for _, text, _ in b if len(text) < 300] or ["x"]
     seqs = []
-    for b in parsed:
-        marks = [taught(path) for path, _, _ in b]
+    known = [b for b in parsed if has_article(b)]
+    for b in known or parsed:
+        marks = [taught(path) if known else plausible(path, links) for path, _, links in b]
         seqs.append((b, marks))
-        if any(marks):
-            seqs += [varied(b, marks, pool, rng) for _ in range(2)]
-    rows = [(vectors(b[a : a + longest]), np.array(m[a : a + longest], float)) for b, m in seqs for a in range(0, len(b), longest)]
+        if known and any(marks):
+            seqs += [varied(b, marks, pool, rng, article) for article in (True, True, False)]
+    rows = [(v[a : a + longest], np.array(m[a : a + longest], float)) for b, m in seqs for v in [vectors(b)] for a in range(0, len(b), longest)]
     if not rows:
         return model
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.w.items()}

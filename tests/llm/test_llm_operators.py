@@ -154,6 +154,26 @@ def test_main_text_leaves_furniture_out(spark):
     assert out[40].text == out[41].text == "" and len(out) == 42
 
 
+def html_pages(n, article="article", body="body"):
+    rng = random.Random(4)
+    text = lambda k: " ".join(rng.choice(["stone", "river", "of", "the", "a", "long", "tree", "walk"]) for _ in range(k)) + "."
+    return [f"<html><{body}><nav><ul><li><a href=x>{text(1)}</a><li><a href=y>{text(1)}</a></ul></nav><div class='ad'>{text(9)}</div><{article}><div class='post-header'><h1>{text(6)}</h1></div>" + "".join(f"<p>{text(rng.randint(10, 60))}</p>" for _ in range(5)) + f"<figure><figcaption>{text(8)}</figcaption></figure></{article.split()[0]}><footer>{text(5)}</footer></{body.split()[0]}></html>" for _ in range(n)]
+
+
+def test_main_text_without_an_article_element():
+    want = [False] * 3 + [True] * 7 + [False]
+    for body in ("body", "body class='single has-sidebar'", "body><form id=f"):
+        assert [html_blocks.taught(path) for path, _, _ in html_blocks.blocks(html_pages(1, "main", body)[0])] == want
+    assert not any(html_blocks.taught(path) for path, _, _ in html_blocks.blocks("<aside><article><p>x</article></aside><main><div class='share'>x</div></main>"))
+    model = html_blocks.train(html_pages(150))
+    for article in ("main", "div id=content", "div", "section class=story"):
+        told = html_blocks.labelled(model, [html_blocks.blocks(p) for p in html_pages(40, article)])
+        assert all(((p >= 0.5) == want).all() for p in told)
+    model = html_blocks.train(html_pages(150, "div id=content"))  # no page has one
+    told = html_blocks.labelled(model, [html_blocks.blocks(p) for p in html_pages(40, "div id=content")])
+    assert np.mean([p >= 0.5 for p in told], axis=0).round().tolist() == want
+
+
 def test_toxicity_and_quality(spark):
     rng = random.Random(2)
     text = lambda bad: " ".join([*(rng.choice(["the", "house", "women", "muslims", "green", "tree"]) for _ in range(30)), *(["vile", "scumword"] if bad else [])])
