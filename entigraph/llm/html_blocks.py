@@ -25,8 +25,12 @@ from .common import small_batches
 from .linear import sampled, sigmoid
 from .pieces import Recent
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(script|style|noscript|template|iframe|svg|object|textarea|select|head)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(script|style|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Elements without text of the page; one without an end tag is as if it were not there.
+UNSEEN = {name: re.compile(rf"</{name}\s*>", re.I) for name in "noscript template iframe svg object select title".split()}
+#: Elements that do not end a head without an end tag.
+HEAD = frozenset("html head title base basefont bgsound link meta style script noscript noframes template".split())
 #: Elements that stand inside a block of text; all others begin and end one.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,7 +62,8 @@ def blocks(page: str | None) -> list[Block]:
     """(path steps, text, share of the text in links) of all blocks with text, in page order.
 
     References are decoded and white space is one space. Elements that are not closed reach as far as their parent;
-    scripts, styles, comments and the head have no text.
+    scripts, styles, comments and the head have no text. The head ends at its end tag, or at the first text or element
+    that cannot be in it; only script, style, textarea and comments reach to the end of the page if nothing ends them.
     """
     out: list[Block] = []
     stack: list[tuple[str, list[str]]] = []
@@ -84,17 +89,42 @@ def blocks(page: str | None) -> list[Block]:
 
     at = 0
     page = page or ""
-    for m in TOKEN.finditer(page):
-        add(page[at : m.start()])
+    in_head = False
+    endless: set[str] = set()  # elements of UNSEEN that nothing ends any more
+    while m := TOKEN.search(page, at):
+        piece = page[at : m.start()]
+        in_head = in_head and not piece.strip()
+        if not in_head:
+            add(piece)
         at = m.end()
         name = m.group(3)
         if name is None:
-            if m.group(1) and m.group(1).lower() != "head":
+            if m.group(1) and not in_head:
                 add(" ")
-            elif m.group(1):
-                flush()
             continue
         name = name.lower()
+        if name in UNSEEN:
+            end = None
+            if not m.group(2) and name not in endless and not (name == "svg" and m.group(4).endswith("/")):
+                end = UNSEEN[name].search(page, at)
+                if end:
+                    at = end.end()
+                else:
+                    endless.add(name)
+            if name == "title" and in_head and not end:
+                at = max(at, page.find("<", at))  # its text is no page text
+            in_head = in_head and name in HEAD
+            if not in_head:
+                add(" ")
+            continue
+        if name == "head":
+            flush()
+            in_head = not m.group(2)
+            continue
+        if in_head and not m.group(2) and name not in HEAD:
+            in_head = False
+        if in_head:
+            continue
         if name in INLINE:
             if name == "a":
                 in_link = 0 if m.group(2) else 1

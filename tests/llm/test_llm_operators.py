@@ -174,6 +174,20 @@ def test_main_text_without_an_article_element():
     assert np.mean([p >= 0.5 for p in told], axis=0).round().tolist() == want
 
 
+def test_blocks_after_elements_without_an_end():
+    texts = lambda page: [text for _, text, _ in html_blocks.blocks(page)]
+    body = "<article><h1>A</h1><p>B</article>"
+    for head in ("<head><title>t <p> u</title><body>", "<head><meta charset=utf-8><title>t</title><style>p{}</style>", "<head><title>t</title></head><body>", "<head><script>1<2</script><noscript><p>x</noscript><!-- c -->\n", "<title>t</title>", "<head><title>t"):
+        assert texts(f"<!DOCTYPE html><html>{head}{body}</html>") == ["A", "B"]
+    assert texts("<head><title>t</title>words<p>more") == ["words", "more"]
+    for name in ("noscript", "object", "svg", "select", "template", "iframe"):
+        assert texts(f"<body><{name} a=b>{body}") == ["A", "B"]
+        assert texts(f"<body><{name} a=b>x<p>y</{name}>{body}<{name}>") == ["A", "B"]
+    assert texts(f"<body><svg width=1 />{body}<svg>x</svg>") == ["A", "B"]
+    assert texts(f"<body>{body}<script>x <p>y") == ["A", "B"]
+    assert len(texts("<p><svg>x" * 50_000)) == 50_000
+
+
 def test_toxicity_and_quality(spark):
     rng = random.Random(2)
     text = lambda bad: " ".join([*(rng.choice(["the", "house", "women", "muslims", "green", "tree"]) for _ in range(30)), *(["vile", "scumword"] if bad else [])])
