@@ -12,6 +12,7 @@ where others are.
 from __future__ import annotations
 
 import html as entities
+import json
 import re
 
 import numpy as np
@@ -205,10 +206,10 @@ def path_vector(path: tuple[str, ...]) -> np.ndarray:
     return v
 
 
-def vectors(page: list[Block]) -> np.ndarray:
-    """The labeller's input: a row per block."""
+def vectors(page: list[Block], article: bool | None = None, start: int = 0) -> np.ndarray:
+    """The labeller's input: a row per block. Of a part of a page: whether the page has an article element, and the blocks before."""
     x = np.zeros((len(page), INPUT), np.float32)
-    article = has_article(page)
+    article = has_article(page) if article is None else article
     words = [text.lower().split() for _, text, _ in page]
     sizes = np.array([len(w) for w in words])
     flat = np.fromiter((WORDS[w] for ws in words for w in ws), np.int64, int(sizes.sum()))
@@ -216,7 +217,7 @@ def vectors(page: list[Block]) -> np.ndarray:
     x[:, PATH_DIM : PATH_DIM + WORD_DIM] = (counts[:, :WORD_DIM] - counts[:, WORD_DIM:]) / np.sqrt(sizes)[:, None]
     for t, (path, text, links) in enumerate(page):
         x[t, :PATH_DIM] = path_vector(path)
-        x[t, -EXTRA:] = np.log1p(len(text)) / 5, links, text[-1] in '.!?…"”', np.log1p(t) / 5, article and not x[t, 0]
+        x[t, -EXTRA:] = np.log1p(len(text)) / 5, links, text[-1] in '.!?…"”', np.log1p(start + t) / 5, article and not x[t, 0]
     return x
 
 
@@ -342,23 +343,51 @@ def varied(page: list[Block], labels: list[bool], pool: list[str], rng: np.rando
     return out, marks
 
 
-def train(pages: list[str], epochs: int = 14, batch: int = 32, longest: int = 200, seed: int = 5) -> Labeller:
-    """A labeller taught on `pages`; of a page with more than `longest` blocks, that many in a row make a training sequence.
+#: A page's share of the training: characters of text and paths, parts of a longer page, and blocks and characters of such a part.
+WHOLE, PARTS, PART_BLOCKS, PART_CHARS = 200_000, 4, 200, 50_000
+Part = tuple[int, bool, list[Block]]
+
 
-    Pages without an article element are left out, unless all are such: then what is plausible is taught."""
+def parts_of(page: list[Block]) -> list[Part]:
+    """(blocks before, whether the page has an article element, blocks) of the page, or of parts of a long one.
+
+    A page whose texts and paths have more than WHOLE characters is cut into parts, and PARTS of these, spread evenly
+    over the page, are taken. Of a single block longer than a part its first PART_CHARS characters are.
+    """
+    article = has_article(page)
+    sizes = [len(text) + sum(map(len, path)) for path, text, _ in page]
+    if sum(sizes) <= WHOLE:
+        return [(0, article, page)] if page else []
+    starts, size = [0], 0
+    for t, own in enumerate(sizes):
+        if t > starts[-1] and (t - starts[-1] >= PART_BLOCKS or size + own > PART_CHARS):
+            starts.append(t)
+            size = 0
+        size += own
+    ends = [*starts[1:], len(page)]
+    take = sorted({round(k) for k in np.linspace(0, len(starts) - 1, PARTS)})
+    return [(starts[k], article, [(path, text[:PART_CHARS], links) for path, text, links in page[starts[k] : ends[k]]]) for k in take]
+
+
+def train(pages: list[str] | list[Part], epochs: int = 14, batch: int = 32, longest: int = 200, seed: int = 5, least_steps: int = 300) -> Labeller | None:
+    """A labeller taught on `pages` (html, or parts of pages); of more than `longest` blocks, that many in a row make a training sequence.
+
+    Pages without an article element are left out, unless all are such: then what is plausible is taught. There are
+    at least `least_steps` steps, however few the pages; without any block there is nothing to train on: None."""
     rng, model = np.random.default_rng(seed), Labeller()
-    parsed = [b for p in pages if (b := blocks(p))]
-    pool = [text for b in parsed for _, text, _ in b if len(text) < 300] or ["x"]
+    parsed: list[Part] = [x for p in pages for x in ([p] if isinstance(p, tuple) else parts_of(blocks(p)))]
+    pool = [text for _, _, b in parsed for _, text, _ in b if len(text) < 300] or ["x"]
     seqs = []
-    known = [b for b in parsed if has_article(b)]
-    for b in known or parsed:
+    known = [x for x in parsed if x[1]]
+    for start, article, b in known or parsed:
         marks = [taught(path) if known else plausible(path, links) for path, _, links in b]
-        seqs.append((b, marks))
+        seqs.append((b, marks, article, start))
         if known and any(marks):
-            seqs += [varied(b, marks, pool, rng, article) for article in (True, True, False)]
-    rows = [(v[a : a + longest], np.array(m[a : a + longest], float)) for b, m in seqs for v in [vectors(b)] for a in range(0, len(b), longest)]
+            seqs += [(*varied(b, marks, pool, rng, kind), kind, start) for kind in (True, True, False)]
+    rows = [(v[a : a + longest], np.array(m[a : a + longest], float)) for b, m, article, start in seqs for v in [vectors(b, article, start)] for a in range(0, len(b), longest)]
     if not rows:
-        return model
+        return None
+    epochs = max(epochs, -(-least_steps // -(-len(rows) // batch)))
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.w.items()}
     step, total = 0, epochs * -(-len(rows) // batch) + 1
     for _ in range(epochs):
@@ -379,8 +408,11 @@ def train(pages: list[str], epochs: int = 14, batch: int = 32, longest: int = 20
     return model
 
 
-def labelled(model: Labeller, pages: list[list[Block]]) -> list[np.ndarray]:
-    """Probabilities of all blocks, page by page; pages of about equal length are read together."""
+def labelled(model: Labeller | None, pages: list[list[Block]]) -> list[np.ndarray]:
+    """Probabilities of all blocks, page by page; pages of about equal length are read together. Without a labeller, what the teacher says."""
+    if model is None:
+        known = [has_article(b) for b in pages]
+        return [np.array([taught(path) if k else plausible(path, links) for path, _, links in b], float) for b, k in zip(pages, known, strict=True)]
     out: list[np.ndarray] = [np.zeros(0)] * len(pages)
     order = sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i]))
     at = 0
@@ -399,22 +431,31 @@ def labelled(model: Labeller, pages: list[list[Block]]) -> list[np.ndarray]:
 def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = 300, least: float = 0.5) -> DataFrame:
     """`pages` with `text` (the article's blocks joined by two line ends; empty if none) and `n_chars` (its code points).
 
-    The labeller is trained on the `sample` pages with the least id hashes, read on the driver; all pages are
-    labelled, from their whole html. A null or empty html gives an empty text. Columns of these two names in
+    The labeller is trained on the `sample` pages with the least id hashes, read on the driver as blocks, of long pages
+    as a bounded number of parts; all pages are labelled, from their whole html. If the sample has no text, the
+    teacher's word is taken. A null or empty html gives an empty text. Columns of these two names in
     `pages` are replaced. Rows are independent; any may be repeated. An empty table gives an empty result.
     """
     spark = pages.sparkSession
     small_batches(spark, 200)
     rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
-    chosen = sampled(rows.filter("html is not null").select("id", F.length("html").alias("n")).filter("n < 200000").drop("n").distinct(), "id", sample)
-    model = train([r["html"] for r in rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).orderBy("id").select("html").collect()])  # `sample` rows, each under 200,000 characters
-    shared = spark.sparkContext.broadcast(model.w)
+    chosen = sampled(rows.filter("html is not null").select("id").distinct(), "id", sample)
+
+    def cut(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([json.dumps(parts_of(blocks(p))) for p in batch.column(0).to_pylist()], pa.string())], ["parts"])
+
+    own = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).orderBy("id").select("html").mapInArrow(cut, "parts string")
+    taken = [(start, article, [(tuple(path), text, links) for path, text, links in b]) for r in own.collect() for start, article, b in json.loads(r["parts"])]  # `sample` rows, each of bounded size
+    model = train(taken)
+    shared = spark.sparkContext.broadcast(model and model.w)
     clean = pages.drop("text", "n_chars")
     names, at = clean.columns, clean.columns.index(html_col)
 
     def extracted(batches):
-        m = Labeller()
-        m.w = shared.value
+        m = Labeller() if shared.value else None
+        if m:
+            m.w = shared.value
         for batch in batches:
             parsed = [blocks(p) for p in batch.column(at).to_pylist()]
             texts = ["\n\n".join(text for (_, text, _), p in zip(b, ps, strict=True) if p >= least) for b, ps in zip(parsed, labelled(m, parsed), strict=True)]

@@ -188,6 +188,21 @@ def test_blocks_after_elements_without_an_end():
     assert len(texts("<p><svg>x" * 50_000)) == 50_000
 
 
+def test_main_text_of_few_and_very_long_pages(spark):
+    nav, foot = "<nav><ul><li><a href=x>Home</a></li></ul></nav><div class=ad>Buy it now.</div>", "<footer>us</footer>"
+    words = "A long line of words that tells of the river, the stone and the tree. " * 8
+    rows = [(i, f"<body>{nav}<article><h1>Page {i}</h1>" + f"<p>{words}</p>" * 500 + f"</article>{foot}</body>") for i in range(2)]
+    assert min(len(p) for _, p in rows) > 200_000
+    out = {r.page_id: r for r in html_blocks.main_text(spark.createDataFrame(rows, "page_id long, html string")).collect()}
+    assert all(out[i].text == "\n\n".join([f"Page {i}", *[words.strip()] * 500]) for i in range(2))
+    one = html_blocks.main_text(spark.createDataFrame([(1, f"<body>{nav}<article><h1>A b</h1><p>{words}</article>{foot}")], "page_id long, html string")).collect()
+    assert one[0].text == f"A b\n\n{words.strip()}"
+    page = html_blocks.blocks(rows[0][1])
+    parts = html_blocks.parts_of(page)
+    assert len(parts) == 4 and parts[0][0] == 0 and parts[-1][2][-1][1] == "us" and all(article and b == page[at : at + len(b)] for at, article, b in parts)
+    assert html_blocks.train([]) is None and html_blocks.labelled(None, [page])[0].sum() == 501
+
+
 def test_toxicity_and_quality(spark):
     rng = random.Random(2)
     text = lambda bad: " ".join([*(rng.choice(["the", "house", "women", "muslims", "green", "tree"]) for _ in range(30)), *(["vile", "scumword"] if bad else [])])
