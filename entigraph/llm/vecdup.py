@@ -5,7 +5,7 @@ vector has its home in the cell of its nearest pivot, and is copied to each cell
 within the radius could be at home: by the triangle inequality that takes a pivot no farther than the own one plus
 twice the radius, and a boundary (the bisector of both pivots) no farther than the radius. So the smaller of two homes
 finds the link between them, once, and no cell needs another. Cells are joined block by block, home vectors with each other once and with guests from other
-cells; a block gives counts and a spanning forest, never pairs.
+cells; a block gives counts and a spanning forest, never pairs. Vectors of different dimensions share no cell.
 """
 
 from __future__ import annotations
@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 from .common import scratch
 from .components import components
 from .linear import sampled
-from .vectors import distinct, matrix, prepared
+from .vectors import distinct, matrices, matrix, prepared
 
 BLOCK, TILE = 16384, 2048  # rows of a task's sides, and of the matrices it holds at a time
 ROW_S, PAIR_S = 2e-5, 6e-9  # seconds to move a row and to compare two
+MOST_DIMS = 16  # dimensions with pivots, the commonest; any other one is a single cell
 SLACK = 1e-6
 
 
@@ -117,45 +118,54 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.9, id_col: str =
     """(id_col, n_links, component_id, kept), one row per row of `vectors`.
 
     Vectors with a cosine (double precision) of at least `least` are linked; n_links counts the other rows linked
-    directly, component_id is the smallest id reachable, kept marks that one. Vectors that are null, empty, zero,
-    hold null or non-finite components or have another dimension than most link with nothing; a null id gives a
-    null component and is kept. Pivots (one for `cell_rows` vectors, `sample` / 4 at most) come from the `sample`
-    rows of the least id hashes; they steer the cost alone. Rows that share an id and a vector count as copies.
+    directly, component_id is the smallest id reachable, kept marks that one. Vectors of different dimensions are
+    not linked. Vectors that are null, empty, zero or hold null or non-finite components link with nothing; a null
+    id gives a null component and is kept. Pivots (one for `cell_rows` vectors, a fourth of the sample at most) come
+    from the rows of the least id hashes, `sample` rows in proportion to the dimensions; they steer the cost alone. Rows that share an id and a vector count as copies.
     """
     spark = vectors.sparkSession
     radius = float(np.sqrt(max(0.0, 2 - 2 * least))) + SLACK
     with scratch(spark) as tmp:
         rows = tmp.save(prepared(vectors, id_col, vec_col), "rows")
         own = distinct(rows, tmp, "own")
-        n = own.count()
-        few = unit(matrix(r["v"] for r in sampled(own.select("id", "v"), "id", sample).collect()))  # `sample` rows at most
-        pivots = farthest_first(few, max(2, min(sample // 4, -(-n // cell_rows))))
-        pivots = cheapest(pivots, few, n, radius) if len(few) else pivots
-        dim, shared = pivots.shape[1], spark.sparkContext.broadcast(pivots)
+        dims = own.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(MOST_DIMS).collect()
+        total, found_pivots = sum(r["count"] for r in dims), {}
+        for dim, n in dims:
+            if found_pivots and n <= cell_rows:
+                break
+            most = max(8, sample * n // total)
+            few = unit(matrix(r["v"] for r in sampled(own.filter(F.col("dim") == dim).select("id", "v"), "id", most).collect()))  # `sample` rows and a few at most
+            pivots = farthest_first(few, max(2, min(most // 4, -(-n // cell_rows))))
+            found_pivots[dim] = cheapest(pivots, few, n, radius)
+        shared = spark.sparkContext.broadcast(found_pivots)
 
         def cells(batches):
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                a = matrix(batch.column(2).to_pylist())
-                home, into = reach(unit(a), shared.value, radius)
-                row, cell = np.nonzero(into)
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(home[row] == cell), *(batch.column(i).take(take) for i in range(2)), pa.array(packed(a), pa.binary()).take(take)], ["cell", "home", "id", "copies", "v"])
-
-        dealt = tmp.save(own.select("id", "copies", "v").mapInArrow(cells, "cell int, home boolean, id long, copies long, v binary"), "cells")
+                for dim, at, a in matrices(batch.column(2).to_pylist()):
+                    if dim in shared.value:
+                        home, into = reach(unit(a), shared.value[dim], radius)
+                    else:
+                        home, into = np.zeros(len(a), np.int64), np.ones((len(a), 1), bool)
+                    row, cell = np.nonzero(into)
+                    take = pa.array(at[row])
+                    dims = pa.array(np.full(len(row), dim, np.int32))
+                    yield pa.RecordBatch.from_arrays([dims, pa.array(cell.astype(np.int32)), pa.array(home[row] == cell), *(batch.column(i).take(take) for i in range(2)), pa.array(packed(a), pa.binary()).take(pa.array(row))], ["dim", "cell", "home", "id", "copies", "v"])
+
+        dealt = tmp.save(own.select("id", "copies", "v").mapInArrow(cells, "dim int, cell int, home boolean, id long, copies long, v binary"), "cells")
         blocks = lambda test: F.ceil(F.count_if(test) / BLOCK).cast("int")
-        sizes = F.broadcast(dealt.groupBy("cell").agg(blocks(F.col("home")).alias("homes"), blocks(~F.col("home")).alias("guests")))  # one row per pivot
-        dealt = dealt.join(sizes, "cell").filter("homes > 0").withColumn("part", F.pmod(F.xxhash64("id"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("guests"))).cast("int"))
+        sizes = F.broadcast(dealt.groupBy("dim", "cell").agg(blocks(F.col("home")).alias("homes"), blocks(~F.col("home")).alias("guests")))  # one row per pivot and dimension
+        dealt = dealt.join(sizes, ["dim", "cell"]).filter("homes > 0").withColumn("part", F.pmod(F.xxhash64("id"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("guests"))).cast("int"))
         every = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.col(c), F.lit(1))), lambda x: x - 1)
         place = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
         among = F.transform(every("homes"), lambda x: place(0, F.least(x, F.col("part")), F.greatest(x, F.col("part"))))
         hosts = F.when(F.col("guests") > 0, F.transform(every("guests"), lambda x: place(1, F.col("part"), x))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>"))
         visits = F.transform(every("homes"), lambda x: place(1, x, F.col("part")))
-        dealt = dealt.select("cell", "home", "part", "id", "copies", "v", F.explode(F.when(F.col("home"), F.concat(among, hosts)).otherwise(visits)).alias("p"))
+        dealt = dealt.select("dim", "cell", "home", "part", "id", "copies", "v", F.explode(F.when(F.col("home"), F.concat(among, hosts)).otherwise(visits)).alias("p"))
 
         def joined(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            _, kind, i, j = key
+            dim, _, kind, i, j = key
             ids, copies, a = rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64), unpacked(rows["v"], dim)
             u, part, home = unit(a).astype(np.float32), rows["part"].to_numpy(), rows["home"].to_numpy(bool)
             left = np.flatnonzero(home & (part == i))
@@ -177,7 +187,7 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.9, id_col: str =
             some = np.flatnonzero(links)
             return pd.DataFrame({"id": [*ids[some], *(e[0] for e in tree)], "links": [*links[some], *[0] * len(tree)], "root": [*ids[some], *(e[1] for e in tree)]})
 
-        found = tmp.save(dealt.groupBy("cell", "p.kind", "p.i", "p.j").applyInPandas(joined, "id long, links long, root long"), "found")
+        found = tmp.save(dealt.groupBy("dim", "cell", "p.kind", "p.i", "p.j").applyInPandas(joined, "id long, links long, root long"), "found")
         links = found.groupBy("id").agg(F.sum("links").alias("links"))
         group = components(found.filter("id <> root").select(F.col("id").alias("u"), F.col("root").alias("v")), tmp)
         label = own.select("id", "copies", F.col("fp").alias("f")).join(links, "id", "left").join(group, "id", "left")

@@ -40,14 +40,20 @@ def prepared(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def distinct(rows: DataFrame, tmp: Scratch, name: str) -> DataFrame:
-    """(id, copies, v, fp): one row per distinct vector of the commonest dimension, with its smallest id."""
-    dims = rows.filter("v is not null and id is not null").groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    dim = dims[0]["dim"] if dims else 0
-    own = rows.filter((F.col("dim") == dim) & F.col("id").isNotNull()).groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).withColumnRenamed("fp", "f")
-    out = rows.join(own, (F.col("id") == F.col("rep")) & (F.col("fp") == F.col("f"))).select("id", "copies", "v", "fp")
+    """(id, copies, dim, v, fp): one row per distinct vector (of any dimension), with its smallest id."""
+    own = rows.filter("v is not null and id is not null").groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).withColumnRenamed("fp", "f")
+    out = rows.join(own, (F.col("id") == F.col("rep")) & (F.col("fp") == F.col("f"))).select("id", "copies", "dim", "v", "fp")
     return tmp.save(out.dropDuplicates(["fp"]), name)
 
 
 def matrix(raw) -> np.ndarray:
     raw = list(raw)
     return np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1) if raw else np.zeros((0, 0))
+
+
+def matrices(raw):
+    """(dimension, places, matrix) for each dimension among the rows."""
+    sizes = np.array([len(r) // 8 for r in raw], np.int64)
+    for dim in np.unique(sizes):
+        at = np.flatnonzero(sizes == dim)
+        yield int(dim), at, matrix(raw[i] for i in at)

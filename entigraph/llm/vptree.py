@@ -4,7 +4,8 @@ Inner products become distances by one more component: with M the largest norm,
 q' = (q, 0) have |x' - q'|^2 = M^2 + |q|^2 - 2 <x, q>. A tree node splits its points at the median distance from a
 vantage point. The side away from a query is visited if the distance to the boundary is at most `factor` times the
 distance of the k-th neighbour so far: with factor 1 the triangle inequality makes that exact, below 1 more is
-pruned. Every shard is searched for every query, in blocks of both; each gives its k best, and the best of those win.
+pruned. Every shard is searched for every query of its dimension, in blocks of both; each gives its k best, and the best
+of those win.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import scratch
-from .vectors import distinct, matrix, prepared
+from .vectors import distinct, matrices, matrix, prepared
 
 LEAF = 256
 
@@ -82,8 +83,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     """The `k` rows of `vectors` with the largest inner product found for each row of `queries`.
 
     Columns: query_id, rank (from 1), vec_id, score; nearest first, ties to the smaller id; fewer rows if there are
-    fewer candidates. A query's own id is no candidate. Vectors that are null, empty, zero, hold null or non-finite
-    components or have another dimension than most take no part, nor do null ids. Every other row is indexed. Of
+    fewer candidates. A query's own id is no candidate, nor is a vector of another dimension. Vectors that are null,
+    empty, zero or hold null or non-finite components take no part, nor do null ids. Every other row is indexed. Of
     equal vectors one is indexed, and stands for its k + 1 smallest ids: no other copy can be among the k nearest.
     `factor` 1 is exact.
     """
@@ -91,27 +92,28 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     with scratch(spark) as tmp:
         rows = tmp.save(prepared(vectors, id_col, vec_col).filter("v is not null and id is not null"), "rows")
         own = distinct(rows, tmp, "own")
-        n, largest = own.count(), 0.0
-        if n:
-            largest = max((r["m"] for r in own.mapInArrow(_norms, "m double").agg(F.max("m").alias("m")).collect()), default=0.0) * (1 + 1e-9)
-        asked = prepared(queries, id_col, vec_col).join(own.select(F.length("v").alias("__size")).limit(1), F.length("v") == F.col("__size")).filter("v is not null and id is not null").select("id", "v").dropDuplicates(["id"])
+        held = own.select("dim", "v").mapInArrow(_norms, "dim int, n long, m double").groupBy("dim").agg(F.sum("n").alias("n"), (F.max("m") * (1 + 1e-9)).alias("largest"))
+        held = tmp.save(held, "held")  # one row per dimension, as in `plan`
+        asked = prepared(queries, id_col, vec_col).filter("v is not null and id is not null").join(F.broadcast(held.select("dim")), "dim").select("id", "dim", "v").dropDuplicates(["id"])
         asked = tmp.save(asked, "asked")
-        shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-asked.count() // block_rows))
-        every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-        index = own.select(F.pmod(F.xxhash64("fp"), F.lit(shards)).cast("int").alias("shard"), every(blocks).alias("block"), F.lit(False).alias("query"), "id", "v")
-        ask = asked.select(every(shards).alias("shard"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.lit(True).alias("query"), "id", "v")
+        parts = lambda n, most: F.ceil(F.col(n) / most).cast("int")
+        plan = held.join(asked.groupBy("dim").agg(F.count("*").alias("asked")), "dim").select("dim", "largest", parts("n", shard_rows).alias("shards"), parts("asked", block_rows).alias("blocks"))
+        plan = F.broadcast(tmp.save(plan, "plan"))
+        every = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
+        index = own.join(plan, "dim").select("dim", "largest", F.pmod(F.xxhash64("fp"), "shards").cast("int").alias("shard"), every("blocks").alias("block"), F.lit(False).alias("query"), "id", "v")
+        ask = asked.join(plan, "dim").select("dim", "largest", every("shards").alias("shard"), F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block"), F.lit(True).alias("query"), "id", "v")
 
         def searched(rows: pd.DataFrame) -> pd.DataFrame:
             q, x = rows[rows["query"]], rows[~rows["query"]].sort_values("id")
             if not len(q) or not len(x):
                 return pd.DataFrame({"query_id": [], "id": [], "score": []})
-            a, b, ids = matrix(q["v"]), matrix(x["v"]), x["id"].to_numpy(np.int64)
+            a, b, ids, largest = matrix(q["v"]), matrix(x["v"]), x["id"].to_numpy(np.int64), float(x["largest"].iloc[0])
             found, _ = VantagePointTree(b, largest).search(a, min(k + 1, len(b)), factor, largest)
             of, col = np.nonzero(found >= 0)
             hit = found[of, col]
             return pd.DataFrame({"query_id": q["id"].to_numpy(np.int64)[of], "id": ids[hit], "score": exact_products(a[of], b[hit])})
 
-        found = index.union(ask).groupBy("shard", "block").applyInPandas(searched, "query_id long, id long, score double")
+        found = index.union(ask).groupBy("dim", "shard", "block").applyInPandas(searched, "query_id long, id long, score double")
         by = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
         found = found.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= k + 1).drop("r")
         # the k + 1 smallest ids of each vector that was found
@@ -129,5 +131,5 @@ def _norms(batches):
     import pyarrow as pa
 
     for batch in batches:
-        a = matrix(batch.column(batch.schema.get_field_index("v")).to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((a * a).sum(1)).max())] if len(a) else [], pa.float64())], ["m"])
+        found = [(dim, len(a), float(np.sqrt((a * a).sum(1)).max())) for dim, _, a in matrices(batch.column(1).to_pylist())]
+        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int32(), pa.int64(), pa.float64()))], ["dim", "n", "m"])

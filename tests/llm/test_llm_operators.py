@@ -154,6 +154,27 @@ def test_main_text_leaves_furniture_out(spark):
     assert out[40].text == out[41].text == "" and len(out) == 42
 
 
+def test_vectors_of_mixed_dimensions(spark):
+    rng = np.random.default_rng(6)
+    by_dim = {d: rng.normal(size=(n, d)) for d, n in ((8, 200), (3, 90), (5, 2))}
+    by_dim[3][10:20] = by_dim[3][10] * 3
+    by_dim[5][1] = by_dim[5][0]
+    items = [v for a in by_dim.values() for v in a]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(items)], "vec_id long, embedding array<double>")
+    near = [[i != j and len(u) == len(v) and u @ v >= 0.9 * np.linalg.norm(u) * np.linalg.norm(v) for j, v in enumerate(items)] for i, u in enumerate(items)]
+    group = list(range(len(items)))
+    for i, j in zip(*np.nonzero(near), strict=True):
+        x, y = group[i], group[j]
+        group = [min(x, y) if g in (x, y) else g for g in group]
+    out = {r.vec_id: r for r in vecdup.near_duplicate_vectors(df, cell_rows=40).collect()}
+    assert [(out[i].n_links, out[i].component_id) for i in range(len(items))] == [(sum(near[i]), group[i]) for i in range(len(items))]
+    assert out[291].component_id == 290 and not out[291].kept
+    rows = vptree.nearest(df, df.filter("vec_id % 10 = 0"), k=5, factor=1.0, shard_rows=60, block_rows=4).collect()
+    for q in range(0, len(items), 10):
+        want = sorted((-float((items[q] * v).sum()), i) for i, v in enumerate(items) if i != q and len(v) == len(items[q]))[:5]
+        assert [(r.rank, r.vec_id) for r in sorted((r for r in rows if r.query_id == q), key=lambda r: r.rank)] == [(k + 1, i) for k, (_, i) in enumerate(want)]
+
+
 def html_pages(n, article="article", body="body"):
     rng = random.Random(4)
     text = lambda k: " ".join(rng.choice(["stone", "river", "of", "the", "a", "long", "tree", "walk"]) for _ in range(k)) + "."
