@@ -9,7 +9,8 @@ one global order, rarest first, two documents that agree in T of K places share
 Documents with equal shingle sets are one node. In each posting list all members are first compared with the
 smallest one, the hub; after the components of the links found so far, only members of different components are
 compared, the smaller components with the rest, and lists that lie in one component are skipped. So a list of near
-copies costs as many comparisons as it has members. Lists with one hub are one, so that a pair is met once. Candidates
+copies costs as many comparisons as it has members. Lists with one hub are one, so that a pair is met once. Pairs that
+met are counted in all K coordinates; the candidates, those with T or more,
 are confirmed on the full shingle sets if they agree in WIDE_T of WIDE further coordinates, counted on one byte each (a
 linked pair falls below that with a probability under 6 in a million), and if their exact similarities to the hub,
 where known, leave room for a link: 1 - similarity is a metric.
@@ -95,8 +96,10 @@ def _agreeing(a: str, b: str):
 
 
 def _plausible(a: str, b: str, percent: int):
-    """Sizes that allow the similarity, and enough agreeing coordinates."""
-    return (100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")) & (_agreeing(a, b) >= WIDE_T)
+    """Sizes that allow the similarity, and enough agreeing coordinates: WIDE_T of the wide ones and T of those posted."""
+    sizes = 100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")
+    same = F.size(F.array_intersect(f"{a}.keys", f"{b}.keys"))  # values are mixed with their places
+    return sizes & (_agreeing(a, b) >= WIDE_T) & (same >= T)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int, tmp: Scratch, name: str) -> DataFrame:
@@ -152,7 +155,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         lists = tmp.save(prefix, "lists")
         hubs = lists.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("c")).filter("c > 1")
         near = tmp.save(lists.join(hubs, "key").filter("id <> hub").groupBy("hub", "id").agg(F.max("c").alias("c")), "near")
-        sides = nodes.select("id", "n", *LONGS).dropDuplicates(["id"])
+        sides = nodes.select("id", "n", "keys", *LONGS).dropDuplicates(["id"])
         star = near.select(F.col("hub").alias("u"), F.col("id").alias("v"))
         star = star.join(sides.alias("a"), F.col("u") == F.col("a.id")).join(sides.alias("b"), F.col("v") == F.col("b.id")).filter(_plausible("a", "b", percent)).select("u", "v")
         star = confirmed(tmp.save(star, "star"), texts, words, percent, tmp, "links")

@@ -82,6 +82,14 @@ def test_near_duplicates_like_brute_force(spark):
     assert [(out[i].n_shingles, out[i].component_id, out[i].kept) for i in range(len(texts))] == [(len(s), group[i], group[i] == i) for i, s in enumerate(sets)]
 
 
+def test_candidates_agree_in_enough_posted_coordinates(spark):
+    wide = ", ".join(f"1L as {s}" for s in neardup.LONGS)
+    side = lambda first: spark.sql(f"select 10L as n, sequence({first}L, {first + neardup.K - 1}L) as keys, {wide}")
+    for agree in (0, neardup.T - 1, neardup.T, neardup.K):
+        pairs = side(0).alias("a").crossJoin(side(neardup.K - agree).alias("b"))
+        assert pairs.filter(neardup._plausible("a", "b", 80)).count() == (agree >= neardup.T)
+
+
 def test_pieces_like_the_library(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rng = random.Random(3)
