@@ -289,7 +289,7 @@ def fuzzy_review(spark, d):
 
 @query(None)
 def organizations(spark, d):
-    """The organizations flow over parts, suppliers and nations as source records."""
+    """The organizations flow over regions, nations, suppliers and parts as source records."""
     return flagship(spark, d)
 
 
@@ -297,6 +297,6 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     rec = lambda df, src, key, name, parent: df.select(F.lit(src).alias("source"), F.col(key).cast("string").alias("source_record_id"), F.col(name).alias("source_name"), F.lit("").alias("website"), parent.alias("parent_source_name"), F.lit("").alias("source_level"))
     nation, region = t(spark, d, "nation"), t(spark, d, "region")
     nations = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-    rows = rec(region, "USA.gov", "r_regionkey", "r_name", F.lit("")).union(rec(nations, "Federal Register", "n_nationkey", "n_name", F.col("r_name"))).union(rec(t(spark, d, "supplier"), "Current Federal", "s_suppkey", "s_name", F.lit("")))
-    rows = graph.reliable(rows.withColumn("rec_idx", F.row_number().over(Window.partitionBy("source").orderBy(F.col("source_record_id").cast("long"))).cast("long") * 4 + F.when(F.col("source") == "USA.gov", 0).when(F.col("source") == "Federal Register", 1).otherwise(2)))
+    rows = rec(region, "USA.gov", "r_regionkey", "r_name", F.lit("")).union(rec(nations, "Federal Register", "n_nationkey", "n_name", F.col("r_name"))).union(rec(t(spark, d, "supplier"), "Current Federal", "s_suppkey", "s_name", F.lit(""))).union(rec(t(spark, d, "part"), "Parts", "p_partkey", "p_name", F.lit("")))
+    rows = graph.reliable(rows.withColumn("rec_idx", F.row_number().over(Window.partitionBy("source").orderBy(F.col("source_record_id").cast("long"))).cast("long") * 4 + F.when(F.col("source") == "USA.gov", 0).when(F.col("source") == "Federal Register", 1).when(F.col("source") == "Current Federal", 2).otherwise(3)))
     return O.resolve(rows)["organizations"].drop("canonical_name_source_record_id")
