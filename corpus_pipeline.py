@@ -51,7 +51,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("best-fit packing", packed),
 ]
 
-#: SQL can express neither a trained classifier nor a tokenizer; the tests hold the stages against brute force.
+#: SQL can express neither a trained classifier nor a tokenizer; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
