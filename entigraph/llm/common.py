@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -15,12 +16,17 @@ BATCH_ROWS = 500
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, set here only where it is unset."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir. Where it is unset, a temporary folder
+    will do if everything runs in one process; a cluster has to name one."""
     sc = spark.sparkContext
     have = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     known = sc._jsc.sc().getCheckpointDir()
+    if have is None and known.isDefined():
+        have = known.get().rsplit("/", 1)[0]
     if have is None:
-        have = known.get().rsplit("/", 1)[0] if known.isDefined() else "file://" + tempfile.mkdtemp(prefix="shared-")
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        have = "file://" + tempfile.mkdtemp(prefix="shared-")
     if known.isEmpty():
         sc.setCheckpointDir(have)
     return have

@@ -1,27 +1,38 @@
-"""Hashed word features and linear scorers fitted with numpy."""
+"""Hashed word features and linear scorers fitted with numpy.
+
+A model is fitted in two steps. The first runs on the executors: the feature ids of a bounded sample are written to the
+shared folder, and for each feature the rows that have it and the sum of their targets are counted. Only features that
+pass the tests of `chosen_features` go on, and only their ids reach the driver.
+"""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import scratch, small_batches
 from .pieces import Recent
 
 BITS = 20
+SIZE = 1 << BITS
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5)
 
 
+def feature(name: str) -> int:
+    return xxhash.xxh32_intdigest(name) & (SIZE - 1)
+
+
 def _ids(word: str) -> tuple[int, ...]:
     """Feature ids of a word and of its first letters."""
-    mask = (1 << BITS) - 1
-    return tuple(xxhash.xxh32_intdigest(x) & mask for x in (word, *("^" + word[:n] for n in STEMS)))
+    return tuple(map(feature, (word, *("^" + word[:n] for n in STEMS))))
 
 
 WORD_IDS = Recent(_ids, 200_000)
@@ -37,61 +48,65 @@ def sampled(rows: DataFrame, key: str, most: int) -> DataFrame:
     return rows.orderBy(F.xxhash64(F.col(key).cast("string")), F.col(key)).limit(most)
 
 
-def collected(rows: DataFrame, features, text_at: int = 0) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Feature ids (all rows' one after the other), their counts by row, and the other columns, of a bounded sample.
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
-    The texts in column `text_at` become feature ids on the executors; only those reach the driver.
-    """
-    small_batches(rows.sparkSession)
-    others = [f for i, f in enumerate(rows.schema.fields) if i != text_at]
 
-    def found(batches):
-        for batch in batches:
-            ids = [sorted(features(t)) for t in batch.column(text_at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.list_(pa.int32())), *(batch.column(i) for i in range(batch.num_columns) if i != text_at)], ["ids", *(f.name for f in others)])
+def chosen_features(rows: DataFrame, least: int, least_z: float, always: Iterable[int] = ()) -> tuple[np.ndarray, float, int]:
+    """(sorted ids of the features that get a weight, mean target, rows) of a sample (ids: array<int>, y: double).
 
-    schema = ", ".join(["ids array<int>", *(f"{f.name} {f.dataType.simpleString()}" for f in others)])
-    t = rows.mapInArrow(found, schema).toArrow()
+    A feature counts if `least` rows have it and the mean target of these differs from that of all rows by `least_z`
+    standard deviations or more: rare words are too many to learn by chance. Features of `always` count if any row
+    has them. There are at most SIZE features.
+    """
+    whole = rows.agg(F.count("*").alias("n"), F.avg("y").alias("mean")).first()
+    n, mean = whole["n"], float(whole["mean"] or 0.0)
+    seen = rows.select("y", F.explode("ids").alias("id")).groupBy("id").agg(F.count("*").alias("seen"), F.sum("y").alias("hits"))
+    apart = F.abs(F.col("hits") - F.lit(mean) * F.col("seen")) >= F.lit(least_z) * F.sqrt(F.lit(mean * (1 - mean)) * F.col("seen") + F.lit(1e-12))
+    test = (F.col("seen") >= least) & apart
+    if always := sorted(set(always)):
+        test |= F.col("id").isin(always)
+    found = seen.filter(test).select("id").toPandas()["id"].to_numpy(np.int64)
+    return np.sort(found), mean, n
+
+
+def chosen_ids(rows: DataFrame, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of all rows one after the other, their counts by row, targets), of the features `names` alone."""
+    shared = rows.sparkSession.sparkContext.broadcast(names.astype(np.int32))
+
+    def kept(batches):
+        for batch in batches:
+            lists = batch.column(0)
+            flat, sizes = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
+            use = np.isin(flat, shared.value)
+            ends = np.cumsum(np.concatenate([[0], use]))[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[use], pa.int32())), batch.column(1)], ["ids", "y"])
+
+    t = rows.mapInArrow(kept, "ids array<int>, y double").toArrow()
+    shared.destroy()
     lists = t.column("ids").combine_chunks()
     if isinstance(lists, pa.ChunkedArray):
         lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
-    return lists.flatten().to_numpy(), lists.value_lengths().to_numpy(), [t.column(f.name).to_numpy() for f in others]
-
+    return lists.flatten().to_numpy(), lists.value_lengths().to_numpy(), t.column("y").to_numpy()
 
-def sums(w: np.ndarray, ids: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(row, w[ids], minlength=n)
 
-
-def sigmoid(z: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
+Pairs = list[tuple[np.ndarray, np.ndarray]]
 
 
-def fit(ids: np.ndarray, counts: np.ndarray, target: np.ndarray, least: int = 3, least_z: float = 6.0, l2: float = 2e-4, steps: int = 250, pairs: list[tuple[np.ndarray, np.ndarray]] | None = None, pull: float = 1.0) -> np.ndarray:
-    """Weights of a logistic model (the last one is the bias) by Adam over all rows.
+def descended(ids: np.ndarray, counts: np.ndarray, target: np.ndarray, names: np.ndarray, mean: float, l2: float = 2e-4, steps: int = 250, pairs: Pairs = (), pull: float = 1.0) -> np.ndarray:
+    """Weights of a logistic model for the features `names`, and a bias behind them, by Adam over all rows.
 
-    Features of fewer than `least` rows get no weight, nor do those whose rows have no other mean target than all
-    rows have (by fewer than `least_z` standard deviations): rare words are too many to learn by chance. `target` may be posterior probabilities. `pairs` has two
-    feature lists for a row and its counterfactual; the squared difference of their scores, times `pull`, is
-    added to the loss.
+    `target` may be posterior probabilities. `pairs` has two feature lists for a row and its counterfactual; the mean
+    squared difference of their scores, times `pull`, is added to the loss. Features that are not in `names` weigh nothing.
     """
-    size, n = 1 << BITS, len(counts)
-    row = np.repeat(np.arange(n), counts)
-    seen = np.bincount(ids, minlength=size) if len(ids) else np.zeros(size)
-    mean = float(target.mean()) if n else 0.0
-    gap = (np.bincount(ids, target[row], minlength=size) if len(ids) else seen) - mean * seen
-    use = (seen >= least) & (np.abs(gap) >= least_z * np.sqrt(mean * (1 - mean) * seen + 1e-12))
-    keep = use[ids] if len(ids) else np.zeros(0, bool)
-    names = np.flatnonzero(use)
-    place = np.zeros(size, np.int64)
-    place[names] = np.arange(len(names))
-    col, row = place[ids[keep]], row[keep]
-    k = len(names)
-    diff: list[tuple[np.ndarray, np.ndarray]] = []
-    for a, b in pairs or []:
-        a, b = (place[x[use[x]]] for x in (a, b))
-        at = np.concatenate([a, b])
-        if len(at):
-            diff.append((at, np.concatenate([np.ones(len(a)), -np.ones(len(b))])))
+    n, k = len(counts), len(names)
+    row = np.repeat(np.arange(n, dtype=np.int32), counts)
+    col = np.searchsorted(names, ids).astype(np.int32)
+    diff: Pairs = []
+    for a, b in pairs:
+        a, b = (np.searchsorted(names, x[np.isin(x, names)]) for x in (a, b))
+        if len(a) + len(b):
+            diff.append((np.concatenate([a, b]), np.concatenate([np.ones(len(a)), -np.ones(len(b))])))
     at = np.concatenate([d[0] for d in diff]) if diff else np.zeros(0, np.int64)
     sign = np.concatenate([d[1] for d in diff]) if diff else np.zeros(0)
     of = np.repeat(np.arange(len(diff)), [len(d[0]) for d in diff])
@@ -109,24 +124,60 @@ def fit(ids: np.ndarray, counts: np.ndarray, target: np.ndarray, least: int = 3,
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
         w -= step[:k]
         bias -= step[k]
-    out = np.zeros(size + 1)
-    out[names], out[size] = w, bias
+    return np.append(w, bias)
+
+
+def fit(rows: DataFrame, features: Callable[[str | None], tuple[Iterable[int], float]] | None = None, least: int = 3, least_z: float = 6.0, always: Iterable[int] = (), pairs: Callable[[np.ndarray, np.ndarray], Pairs] | None = None, **options) -> np.ndarray:
+    """Weights (SIZE of them and the bias) learned from a bounded sample: `rows` has a text and, without `features`, a target.
+
+    features(text) gives feature ids and a target. pairs(ids, counts) makes the counterfactual pairs of `descended`
+    from the ids of the rows. What reaches the driver is bounded by the sample's rows and their features that count.
+    """
+    spark = rows.sparkSession
+
+    def found(batches):
+        for batch in batches:
+            told = [(word_features(t), y) for t, y in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True)] if features is None else list(map(features, batch.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array([sorted(ids) for ids, _ in told], pa.list_(pa.int32())), pa.array([float(y) for _, y in told], pa.float64())], ["ids", "y"])
+
+    with scratch(spark) as tmp:
+        sample = tmp.save(rows.mapInArrow(found, "ids array<int>, y double"), "sample")
+        names, mean, _ = chosen_features(sample, least, least_z, always)
+        ids, counts, target = chosen_ids(sample, names)
+    w = descended(ids, counts, target, names, mean, pairs=pairs(ids, counts) if pairs else (), **options)
+    out = np.zeros(SIZE + 1, np.float32)
+    out[names], out[SIZE] = w[:-1], w[-1]
     return out
 
 
-def scored(docs: DataFrame, weights: np.ndarray, features, text_col: str, name: str) -> DataFrame:
-    """`docs` with the model's score of the whole text as column `name`. The weights have a fixed size."""
+class Scorer:
+    """Scores texts; remembers for each word which of its features weigh anything."""
+
+    def __init__(self, weights: np.ndarray):
+        self.w = weights
+        self.words = Recent(lambda word: tuple(i for i in WORD_IDS[word] if weights[i]), 200_000)
+
+    def __call__(self, lowered: str, more: Iterable[int] = ()) -> float:
+        """The sum of the weights of all features of a lowered text, of those in `more`, and of the bias."""
+        ids = set(more).union(*map(self.words.__getitem__, set(WORD.findall(lowered))))
+        return float(self.w[np.fromiter(ids, np.int64, len(ids))].sum(dtype=np.float64)) + float(self.w[-1])
+
+
+def scored(docs: DataFrame, weights: np.ndarray, text_col: str, columns: dict[str, T.DataType], row: Callable[[Scorer, str], tuple]) -> DataFrame:
+    """`docs` with `columns`, whose values row(scorer, text) gives for each whole text; columns of these names are replaced.
+
+    The weights are broadcast; they have a fixed size.
+    """
     small_batches(docs.sparkSession)
-    docs = docs.drop(name)
+    docs = docs.drop(*columns)
     names, at = docs.columns, docs.columns.index(text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    kinds = [pa.bool_() if isinstance(k, T.BooleanType) else pa.float64() for k in columns.values()]
 
     def score(batches):
-        w = shared.value
+        scorer = Scorer(shared.value)
         for batch in batches:
-            z = np.array([float(w[np.fromiter(f, np.int64, len(f))].sum(dtype=np.float64)) if (f := features(t)) else 0.0 for t in batch.column(at).to_pylist()], np.float64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sigmoid(z + float(w[-1])), pa.float64())], [*names, name])
-
-    from pyspark.sql import types as T
+            told = [row(scorer, t or "") for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([x[i] for x in told], kind) for i, kind in enumerate(kinds))], [*names, *columns])
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in columns.items())]))

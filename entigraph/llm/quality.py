@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from . import linear
 from .common import small_batches
+from .pieces import Recent
 
 #: Frequent words of four languages (fixed values).
 STOP_WORDS = frozenset("the of and to in that is it for was a der die und den von zu das mit auf le la les et des de un une est que el los y en se del las por".split())
@@ -25,23 +26,34 @@ SYMBOLS = re.compile(r"[#$%&*@|<>{}\\^~=]")
 ENDINGS = (".", "!", "?", ":", '"', "…", "。")
 
 
-def votes(text: str | None) -> tuple[int, ...]:
+ASCII_UPPER = bytes(range(65, 91))
+ASCII_LETTERS = ASCII_UPPER + bytes(range(97, 123))
+OTHERS = re.compile(r"[^\x00-\x7f]+")
+
+
+def letters_and_capitals(text: str) -> tuple[int, int]:
+    raw = text.encode("utf-8", "replace")
+    others = "" if len(raw) == len(text) else "".join(OTHERS.findall(text))
+    return len(raw) - len(raw.translate(None, ASCII_LETTERS)) + sum(map(str.isalpha, others)), len(raw) - len(raw.translate(None, ASCII_UPPER)) + sum(map(str.isupper, others))
+
+
+def votes(text: str | None, lowered: str | None = None) -> tuple[int, ...]:
     """The labellers' votes: 1 good, 0 bad, -1 none. Each looks at the whole text."""
     text = text or ""
     words = text.split()
     n = len(words)
     if not n:
         return (0, 0, -1, -1, 0, -1, -1, 0)
-    lower = [w.lower() for w in words]
+    lower = set((text.lower() if lowered is None else lowered).split())
     lines = [x for x in text.split("\n") if x.strip()]
-    letters = sum(map(str.isalpha, text))
-    upper = sum(map(str.isupper, text))
-    odd = sum(1 for w in words if SYMBOLS.search(w) or w.endswith("!!")) / n
+    letters, upper = letters_and_capitals(text)
+    odd = sum(1 for w in words if SYMBOLS.search(w) or w.endswith("!!")) / n if "!!" in text or SYMBOLS.search(text) else 0.0
     stops = len(STOP_WORDS.intersection(w.strip(".,;:!?") for w in lower))
-    distinct = len(set(lower)) / n
+    distinct = len(lower) / n
     mean = sum(map(len, words)) / n
     ended = sum(x.rstrip().endswith(ENDINGS) for x in lines) / max(1, len(lines))
     repeated = 1 - len(set(lines)) / max(1, len(lines))
+    bars = text.count("|")
     vote = lambda good, bad: 1 if good else 0 if bad else -1
     return (
         vote(n >= 40, n < 8),
@@ -51,7 +63,7 @@ def votes(text: str | None) -> tuple[int, ...]:
         vote(stops >= 3, stops == 0 and n >= 8),
         vote(distinct > 0.35 or (n > 400 and distinct > 0.15), distinct < 0.12),
         vote(repeated < 0.1, repeated > 0.4),
-        vote(ended > 0.6 and text.count("|") < 0.02 * n, ended < 0.15 or text.count("|") > 0.08 * n),
+        vote(ended > 0.6 and bars < 0.02 * n, ended < 0.15 or bars > 0.08 * n),
     )
 
 
@@ -93,47 +105,49 @@ def em(patterns: np.ndarray, counts: np.ndarray, steps: int = 200) -> tuple[np.n
     return post, rates, share
 
 
-def features(text: str | None) -> set[int]:
-    """Word features, and one for each vote, each stretch of symbols, the case and the size of the text."""
-    text = text or ""
-    mask = (1 << linear.BITS) - 1
-    shapes = [f"vote {i} {v}" for i, v in enumerate(votes(text))] + [f"words {len(text.split()).bit_length()}"]
-    return linear.word_features(text) | {linear.xxhash.xxh32_intdigest("shape " + s) & mask for s in shapes}
+SHAPES = Recent(lambda shape: tuple(linear.feature(f"shape {s}") for s in [*(f"vote {i} {v}" for i, v in enumerate(shape[0])), f"words {shape[1]}"]), 100_000)
+
+
+def shapes(text: str, cast: tuple[int, ...]) -> tuple[int, ...]:
+    """Features of the votes and of the number of words."""
+    return SHAPES[cast, len(text.split()).bit_length()]
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 10_000, least_score: float = 0.5) -> DataFrame:
     """`docs` with posterior (of the votes), score (of the linear scorer, 0 to 1) and kept (score >= `least_score`).
 
-    Vote patterns are counted over all documents; the scorer is fitted on the `most` rows with the least id hashes.
-    Null texts count as empty and get bad votes. Columns of the three names are replaced. An empty table stays empty.
+    Vote patterns are counted over all documents; the scorer is fitted on the `most` documents with the least id hashes
+    (of several rows with one id on the one with the least text; rows with a null id are counted and scored, but never
+    fitted on). Null texts count as empty and get bad votes. Repeated rows get equal values. Columns of the three names
+    are replaced. An empty table stays empty.
     """
     spark = docs.sparkSession
     small_batches(spark)
 
     def coded(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([code(votes(t)) for t in batch.column(0).to_pylist()], pa.int32()), batch.column(1)], ["code", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array([code(votes(t)) for t in batch.column(0).to_pylist()], pa.int32())], ["code"])
 
-    ids = docs.select(F.col(text_col), F.col(id_col).cast("string").alias("id"))
-    found = ids.mapInArrow(coded, "code int, id string").groupBy("code").agg(F.count("*").alias("n")).toPandas()  # 3 ** LABELLERS rows at most
+    found = docs.select(F.col(text_col)).mapInArrow(coded, "code int").groupBy("code").agg(F.count("*").alias("n")).toPandas()  # 3 ** LABELLERS rows at most
     codes, n = found["code"].to_numpy(np.int64), found["n"].to_numpy(float)
     post, _, _ = em(decode(codes), n)
     table = np.full(3**LABELLERS, 0.5)
     table[codes] = post
-    chosen = linear.sampled(docs.select(F.col(id_col).cast("string").alias("id")).distinct(), "id", most)
-    sample = ids.join(F.broadcast(chosen), "id").select(F.col(text_col).alias("t"))
-    with_code = sample.mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([b.column(0), pa.array([code(votes(t)) for t in b.column(0).to_pylist()], pa.int32())], ["t", "code"]) for b in bs), "t string, code int")
-    at, counts, (c,) = linear.collected(with_code, features)
-    weights = linear.fit(at, counts, table[c.astype(np.int64)] if len(c) else np.zeros(0), steps=100)
-    clean = docs.drop("posterior", "score", "kept")
-    out = linear.scored(clean, weights, features, text_col, "score")
-    names, where = out.columns, out.columns.index(text_col)
-    shared = spark.sparkContext.broadcast(table)
-
-    def posterior(batches):
-        for batch in batches:
-            p = shared.value[[code(votes(t)) for t in batch.column(where).to_pylist()]] if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], [*names, "posterior"])
-
-    out = out.mapInArrow(posterior, T.StructType([*out.schema.fields, T.StructField("posterior", T.DoubleType())]))
-    return out.withColumn("kept", F.col("score") >= least_score)
+    posteriors = spark.sparkContext.broadcast(table)
+
+    def learned(text: str | None) -> tuple[set[int], float]:
+        text = text or ""
+        cast = votes(text)
+        return linear.word_features(text).union(shapes(text, cast)), posteriors.value[code(cast)]
+
+    def told(scorer: linear.Scorer, text: str) -> tuple[float, float, bool]:
+        lowered = text.lower()
+        cast = votes(text, lowered)
+        score = float(linear.sigmoid(scorer(lowered, shapes(text, cast))))
+        return float(posteriors.value[code(cast)]), score, score >= least_score
+
+    ids = docs.select(F.col(text_col).alias("t"), F.col(id_col).cast("string").alias("id"))
+    chosen = linear.sampled(ids.select("id").filter("id is not null").distinct(), "id", most)
+    sample = ids.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("t").alias("t"))  # `most` rows, and their ids as text
+    weights = linear.fit(sample.select("t"), learned, steps=100)
+    return linear.scored(docs, weights, text_col, {"posterior": T.DoubleType(), "score": T.DoubleType(), "kept": T.BooleanType()}, told)
