@@ -39,6 +39,13 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of any store that Spark knows; what cannot be deleted stays."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    with contextlib.suppress(Exception):
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Scratch:
     """Parquet tables in the shared folder that live until the operator returns."""
 
@@ -52,10 +59,7 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-        with contextlib.suppress(Exception):
-            path.getFileSystem(conf).delete(path, True)
+        remove(self.spark, f"{self.root}/{name}" if name else self.root)
 
 
 @contextlib.contextmanager
