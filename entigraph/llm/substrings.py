@@ -6,7 +6,8 @@ reference shards; each shard's suffix automaton is built as its surroundings str
 place), and gives their matching statistics against all that came before: where the longest match is at least
 `width` words long, the state tells where its last `width` words began first. Equal surroundings are combined
 before they are sent, and anchors met more than `hot` times send single windows, dealt by the window's own hash,
-so no shard grows with a passage's frequency. All comparisons are made on the words themselves.
+so no shard grows with a passage's frequency. Repeats are told by the words themselves; only documents that are copies of
+an earlier one as a whole are known by their SHA-256 and go without an automaton.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import gram_hashes, scratch, small_batches, word_hashes
+from .common import Scratch, gram_hashes, scratch, small_batches, word_hashes
 
 GRAM = 8
 CHUNK = 2000
@@ -25,8 +26,9 @@ CHUNK = 2000
 
 def anchors(h: np.ndarray, width: int) -> np.ndarray:
     """Places of the grams that are the leftmost least of some window of `width` words."""
-    g = gram_hashes(h, GRAM)
-    span = width - GRAM + 1
+    gram = min(GRAM, width)
+    g = gram_hashes(h, gram)
+    span = width - gram + 1
     if len(g) < span:
         return np.empty(0, np.int64)
     view = np.lib.stride_tricks.sliding_window_view(g, span)
@@ -116,9 +118,10 @@ def unseen(rows: list[tuple[int, int, list[bytes]]], width: int) -> list[int]:
 
 
 def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFrame:
-    """(id, spans): for documents (id: long, t: binary) with repeats, the word ranges [a, b) to remove, in order."""
+    """(id, spans): for documents (id: long, each one once; t: binary) with repeats, the word ranges [a, b) to remove, in order."""
     spark = texts.sparkSession
-    before = width - GRAM
+    gram = min(GRAM, width)
+    before = width - gram
 
     def find(batches):
         for batch in batches:
@@ -127,7 +130,7 @@ def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFr
                 h = word_hashes((t or b"").split())
                 p = anchors(h, width)
                 if len(p):
-                    hs.append(gram_hashes(h, GRAM)[p])
+                    hs.append(gram_hashes(h, gram)[p])
                     ids.append(np.full(len(p), i))
                     at.append(p)
                     total.append(np.full(len(p), len(h)))
@@ -189,7 +192,8 @@ def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFr
             rows.clear()
             of.clear()
             alone.clear()
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+            out = [(i, start, size, mask.to_bytes(-(-max(1, size - width + 1) // 8), "little"), key, often) for i, start, size, mask, key, often in out]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.bool_()]
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["id", "start", "size", "mask", "key", "often"])
 
         for batch in batches:  # ordered by key, so a key's rows meet in one automaton
@@ -208,7 +212,7 @@ def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFr
         for batch in batches:
             out = []
             for places, total, masks in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                first = {(None if m["often"] else m["key"], m["start"], m["size"]): m["mask"] for m in masks or []}
+                first = {(None if m["often"] else m["key"], m["start"], m["size"]): int.from_bytes(m["mask"], "little") for m in masks or []}
                 begins = set()
                 for x in places:
                     p = x["at"]
@@ -228,42 +232,77 @@ def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["id", "spans"])
 
     with scratch(spark) as tmp:
-        sums = texts.select("id", F.md5("t").alias("sum"), F.length("t").alias("size"))
-        own = sums.groupBy("sum", "size").agg(F.min("id").alias("own")).withColumnsRenamed({"sum": "s", "size": "z"})
-        copies = sums.join(own, (F.col("sum") == F.col("s")) & (F.col("size") == F.col("z"))).filter("id <> own").select("id").distinct()
-        copies = tmp.save(copies, "copies")
+        sums = tmp.save(texts.select("id", F.sha2("t", 256).alias("sum")), "sums")
+        own = sums.groupBy("sum").agg(F.min("id").alias("own"), F.count("*").alias("n")).filter("n > 1").drop("n")
+        own = tmp.save(own, "own")  # read anew, as `often` below: a frequent key's rows can be split in the join
+        copies = tmp.save(sums.join(own, "sum").filter("id <> own").select("id"), "copies")
         found = tmp.save(texts.mapInArrow(find, "h long, id long, at int, total int"), "anchors")
-        often = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h", (F.col("n") > hot).alias("often"))
+        often = tmp.save(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h", (F.col("n") > hot).alias("often")), "often")
         places = found.join(often, "h").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "h", "often"))).alias("places"), F.max("total").alias("total"))
         copied = copies.withColumn("copied", F.lit(True))
         places = tmp.save(places.join(copied, "id", "left").filter("copied is null").drop("copied"), "places")
         whole = found.select("id", "total").groupBy("id").agg(F.max("total").alias("total")).join(copies, "id")
         whole = tmp.save(whole.select("id", F.array(F.struct(F.lit(0).alias("a"), F.col("total").alias("b"))).alias("spans")), "whole")
-        tmp.drop("anchors")
+        for name in ("anchors", "often", "sums", "own"):
+            tmp.drop(name)
         near = texts.join(places.select("id", "places"), "id").select("id", "t", "places").mapInArrow(surroundings, "key long, seq binary, id long, start int, often boolean")
         distinct = near.groupBy("key", "seq", "often").agg(F.min("id").alias("id"), F.min_by("start", "id").alias("start"))
         dealt = distinct.repartition("key").sortWithinPartitions("key")
-        masks = tmp.save(dealt.select("key", "seq", "id", "start", "often").mapInArrow(matched, "id long, start int, size int, mask long, key long, often boolean"), "masks")
+        masks = tmp.save(dealt.select("key", "seq", "id", "start", "often").mapInArrow(matched, "id long, start int, size int, mask binary, key long, often boolean"), "masks")
         masks = masks.groupBy("id").agg(F.collect_list(F.struct("start", "size", "mask", "key", "often")).alias("masks"))
         spans = places.join(masks, "id", "left").select("id", "places", "total", "masks").mapInArrow(ranges, "id long, spans array<struct<a:int,b:int>>")
         return spans.filter("size(spans) > 0").union(whole).checkpoint()
 
 
+def documents(docs: DataFrame, id_col: str, text_col: str, tmp: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """(id, t) of the documents, each once, and (id, sum, doc) of those that share an id with another text.
+
+    Where no id is repeated the ids number the documents. Of texts that share one, that with the least digest keeps the
+    id; the others get numbers behind all ids, in the order of ids and digests.
+    """
+    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t"))
+    twins = texts.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id")
+    twins = tmp.save(twins, "twins")
+    if twins.isEmpty():
+        return texts, None
+    largest = texts.agg(F.max("id")).first()[0]
+    if largest >= 1 << 62:
+        raise ValueError("ids from 2 ** 62 on must not be repeated")
+    several = tmp.save(texts.join(twins, "id").select("id", F.sha2(F.coalesce("t", F.lit(b"")), 256).alias("sum")).distinct(), "several")
+    first = several.groupBy("id").agg(F.min("sum").alias("sum"))
+    extra = several.join(first, ["id", "sum"], "left_anti").orderBy("id", "sum").withColumn("doc", F.lit(largest + 1) + F.monotonically_increasing_id())
+    extra = tmp.save(extra, "extra")
+    same = texts.join(twins, "id").withColumn("sum", F.sha2(F.coalesce("t", F.lit(b"")), 256)).join(extra, ["id", "sum"], "left")
+    same = same.select(F.coalesce("doc", "id").alias("id"), "t").groupBy("id").agg(F.min("t").alias("t"))
+    return tmp.save(texts.join(twins, "id", "left_anti").union(same), "documents"), extra
+
+
 def drop_repeats(docs: DataFrame, width: int = 20, id_col: str = "doc_id", text_col: str = "text", hot: int = 5000) -> DataFrame:
     """`docs` without words that repeat earlier passages, with n_words and n_removed; kept words are joined by one space.
 
-    A word goes if a window of `width` consecutive words covers it whose words also start earlier: in a document
-    of a smaller id or before in the same one. Words are separated by space and \\t to \\r and compared unchanged.
-    Documents that lose nothing keep their text only in this sense: their words joined by one space. A null text
-    has no words and becomes empty. Rows with a null id are compared with nothing. Of rows that share an id each
-    counts as that document; ids should be unique. Columns named n_words and n_removed are replaced.
+    A word goes if a window of `width` (1 or more) consecutive words covers it whose words also start earlier: in a
+    document of a smaller id or before in the same one. Words are separated by space and \\t to \\r and compared
+    unchanged. Documents that lose nothing keep their text only in this sense: their words joined by one space. A null
+    text has no words and becomes empty. Rows with a null id are compared with nothing. Rows that share an id and a text
+    are one document and fare alike. Of different texts with one id that with the least SHA-256 is the document of this
+    id; the others count as documents behind all others. Columns named n_words and n_removed are replaced. An empty
+    table gives an empty table.
     """
+    if width < 1:
+        raise ValueError("width has to be positive")
     small_batches(docs.sparkSession)
-    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t"))
-    spans = repeated_spans(texts, width, hot)
+    with scratch(docs.sparkSession) as tmp:
+        texts, extra = documents(docs, id_col, text_col, tmp)
+        spans = repeated_spans(texts, width, hot)
+        extra = extra if extra is None else extra.checkpoint()
     clean = docs.drop("n_words", "n_removed")
-    joined = clean.join(spans.select(F.col("id").alias("__id"), F.col("spans").alias("__spans")), clean[id_col].cast("long") == F.col("__id"), "left").drop("__id")
     names, at = clean.columns, clean.columns.index(text_col)
+    keyed = clean.withColumn("__doc", F.col(id_col).cast("long"))
+    if extra is not None:
+        keyed = keyed.withColumn("__sum", F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+        keyed = keyed.join(extra.select(F.col("id").alias("__id"), F.col("sum").alias("__s"), F.col("doc").alias("__other")), (F.col("__doc") == F.col("__id")) & (F.col("__sum") == F.col("__s")), "left")
+        keyed = keyed.withColumn("__doc", F.coalesce("__other", "__doc"))
+    joined = keyed.join(spans.select(F.col("id").alias("__id_of_spans"), F.col("spans").alias("__spans")), F.col("__doc") == F.col("__id_of_spans"), "left").select(*names, "__spans")
 
     def kept(batches):
         for batch in batches:
