@@ -147,7 +147,7 @@ def test_vector_links_like_brute_force(spark):
 
 def test_exact_factor_finds_all_neighbours(spark):
     a, df = vectors(spark)
-    rows = vptree.nearest(df, df.filter("vec_id % 20 = 0"), k=5, factor=1.0, shard_rows=100, block_rows=4).collect()
+    rows = vptree.nearest(df, df.filter("vec_id % 20 = 0"), k=5, factor=1.0, shard_rows=100).collect()
     s = (a[::20][:, None, :] * a[None]).sum(-1)
     for q in range(0, 300, 20):
         want = sorted((-s[q // 20, i], i) for i in range(300) if i != q)[:5]
@@ -177,7 +177,7 @@ def test_vectors_of_mixed_dimensions(spark):
     out = {r.vec_id: r for r in vecdup.near_duplicate_vectors(df, cell_rows=40).collect()}
     assert [(out[i].n_links, out[i].component_id) for i in range(len(items))] == [(sum(near[i]), group[i]) for i in range(len(items))]
     assert out[291].component_id == 290 and not out[291].kept
-    rows = vptree.nearest(df, df.filter("vec_id % 10 = 0"), k=5, factor=1.0, shard_rows=60, block_rows=4).collect()
+    rows = vptree.nearest(df, df.filter("vec_id % 10 = 0"), k=5, factor=1.0, shard_rows=60).collect()
     for q in range(0, len(items), 10):
         want = sorted((-float((items[q] * v).sum()), i) for i, v in enumerate(items) if i != q and len(v) == len(items[q]))[:5]
         assert [(r.rank, r.vec_id) for r in sorted((r for r in rows if r.query_id == q), key=lambda r: r.rank)] == [(k + 1, i) for k, (_, i) in enumerate(want)]
