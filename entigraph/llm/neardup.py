@@ -105,7 +105,7 @@ def _plausible(a: str, b: str, percent: int):
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int, tmp: Scratch, name: str) -> DataFrame:
     """(u, v, similarity, linked) of `pairs` (u, v) from their full shingle sets; linked: 100 * intersection >= percent * union."""
     wanted = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
-    own = tmp.save(texts.join(wanted, "id"), f"{name}-texts")
+    own = tmp.save(texts.join(wanted, "id").dropDuplicates(["id"]), f"{name}-texts")
     rows = pairs.join(own.select(F.col("id").alias("u"), F.col("t").alias("tu")), "u").join(own.select(F.col("id").alias("v"), F.col("t").alias("tv")), "v")
 
     def check(batches):
@@ -131,35 +131,73 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int, tmp:
     return tmp.save(rows.select("u", "v", "tu", "tv").mapInArrow(check, "u long, v long, similarity double, linked boolean"), name)
 
 
+def numbered(signed: DataFrame, texts: DataFrame, words: int, tmp: Scratch) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """`signed` and `texts` with a number for each shingle set of an id in place of the id, and (own, id) of the ids renumbered.
+
+    Where no id is repeated, ids are such numbers. Of the sets that share one, that with the least fp keeps the id; the
+    others get numbers behind all ids.
+    """
+    signed = signed.withColumn("own", F.col("id"))
+    twins = signed.filter("id is not null").groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id")
+    twins = tmp.save(twins, "twins")
+    if twins.isEmpty():
+        return signed, texts, None
+    largest = signed.agg(F.max("id")).first()[0]
+    if largest >= 1 << 62:
+        raise ValueError("ids from 2 ** 62 on must not be repeated")
+    sets = tmp.save(signed.filter("fp is not null").join(twins, "id").select("id", "fp").distinct(), "sets")
+    first = sets.groupBy("id").agg(F.min("fp").alias("fp"))
+    extra = sets.join(first, ["id", "fp"], "left_anti").orderBy("id", "fp").withColumn("number", F.lit(largest + 1) + F.monotonically_increasing_id())
+    extra = tmp.save(extra, "extra")
+
+    def printed(batches):
+        for batch in batches:
+            sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], pa.binary())], ["id", "t", "fp"])
+
+    given = lambda df: df.join(extra, ["id", "fp"], "left").withColumn("id", F.coalesce("number", "id"))
+    same = given(texts.join(twins, "id").mapInArrow(printed, "id long, t binary, fp binary").filter("fp is not null")).groupBy("id").agg(F.min("t").alias("t"))
+    texts = tmp.save(texts.join(twins, "id", "left_anti").union(same), "numbered-texts")
+    return tmp.save(given(signed).drop("number"), "numbered"), texts, twins
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_shingles, component_id, kept), one row per row of `docs`.
 
     Documents are linked if 100 * intersection >= percent * union of their shingle sets; component_id is the
     smallest id reachable, kept marks that one. Texts that are null, empty or without words have no shingles and
-    are linked with nothing; so are rows with a null id (component_id null, kept true). Rows that share an id
-    share a component. An empty table gives an empty result; other columns of `docs` are not read.
+    are linked with nothing; so are rows with a null id (component_id null, kept true). Texts with
+    shingles that share an id share a component. An empty table gives an empty result; other columns of `docs` are not read.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t"))
     with scratch(spark) as tmp:
         signed = tmp.save(texts.mapInArrow(_signatures(words), SIGNATURE_SCHEMA), "signatures")
-        first = signed.filter("fp is not null and id is not null").groupBy("fp").agg(F.min("id").alias("rep")).withColumnRenamed("fp", "f")
-        nodes = signed.join(first, (F.col("id") == F.col("rep")) & (F.col("fp") == F.col("f"))).drop("f", "rep").dropDuplicates(["id", "fp"])
+        signed, texts, twins = numbered(signed, texts, words, tmp)
+        # tables of one row per key are read anew, so that a frequent key's rows can be split in the joins with them
+        first = tmp.save(signed.filter("fp is not null and id is not null").groupBy("fp").agg(F.min("id").alias("rep")).withColumnRenamed("fp", "f"), "first")
+        nodes = signed.join(first, (F.col("id") == F.col("rep")) & (F.col("fp") == F.col("f"))).drop("f", "rep", "own").dropDuplicates(["id"])
         nodes = tmp.save(nodes, "nodes")
         posted = nodes.select("id", F.explode("keys").alias("key"))
-        shared = posted.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+        shared = tmp.save(posted.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "shared")
         lists = posted.join(shared, "key").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("c", "key"))).alias("held"))
         # values held once come first in the global order; of the first K - T + 1 places those with others' values remain
         prefix = lists.select("id", F.expr(f"slice(held, 1, greatest(0, {K - T + 1} - ({K} - size(held))))").alias("held"))
         prefix = prefix.select("id", F.explode("held.key").alias("key"))
         lists = tmp.save(prefix, "lists")
-        hubs = lists.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("c")).filter("c > 1")
+        tmp.drop("shared")
+        hubs = tmp.save(lists.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("c")).filter("c > 1"), "hubs")
         near = tmp.save(lists.join(hubs, "key").filter("id <> hub").groupBy("hub", "id").agg(F.max("c").alias("c")), "near")
-        sides = nodes.select("id", "n", "keys", *LONGS).dropDuplicates(["id"])
+        sides = nodes.select("id", "n", "keys", *LONGS)
         star = near.select(F.col("hub").alias("u"), F.col("id").alias("v"))
         star = star.join(sides.alias("a"), F.col("u") == F.col("a.id")).join(sides.alias("b"), F.col("v") == F.col("b.id")).filter(_plausible("a", "b", percent)).select("u", "v")
         star = confirmed(tmp.save(star, "star"), texts, words, percent, tmp, "links")
-        found = tmp.save(components(star.filter("linked"), tmp, "first"), "found")
+        links = star.filter("linked").select("u", "v")
+        if twins is not None:  # the sets that share an id are linked
+            held = signed.filter("fp is not null").join(twins.withColumnRenamed("id", "own"), "own").select("own", F.col("fp").alias("f")).distinct().join(first, "f")
+            held = tmp.save(held.select("own", "rep"), "held")
+            links = links.union(held.join(held.groupBy("own").agg(F.min("rep").alias("u")), "own").select("u", "rep"))
+        found = tmp.save(components(links, tmp, "first-links"), "found")
         # hubs whose members lie in several components; lists of two were compared above
         rest = near.filter("c > 2").join(found.withColumnRenamed("component", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         several = rest.groupBy("hub").agg(F.min("comp").alias("main"), F.max("comp").alias("other")).filter("main <> other").drop("other")
@@ -172,8 +210,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         if not more.isEmpty():
             links = confirmed(more, texts, words, percent, tmp, "links2").filter("linked").select("u", "v")
             found = components(links.union(found.select(F.col("component").alias("u"), F.col("id").alias("v"))), tmp, "second")
-        label = nodes.select("fp", "id").join(found, "id", "left").select(F.col("fp").alias("f"), F.coalesce("component", "id").alias("component")).groupBy("f").agg(F.min("component").alias("component"))
-        out = signed.select("id", "n", "fp").join(label, F.col("fp") == F.col("f"), "left")
-        component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-        out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+        label = nodes.select(F.col("fp").alias("f"), "id").join(found, "id", "left").select("f", F.coalesce("component", "id").alias("component"))
+        out = signed.select("own", "n", "fp").join(tmp.save(label, "label"), F.col("fp") == F.col("f"), "left")
+        component = F.when(F.col("own").isNotNull(), F.coalesce("component", "own"))
+        out = out.select(F.col("own").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("own") == component, F.lit(True)).alias("kept"))
         return out.checkpoint()

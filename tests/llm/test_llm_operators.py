@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -267,3 +268,21 @@ def test_null_ids_and_repeated_rows(spark):
     assert sorted(r.n_removed for r in substrings.drop_repeats(df).collect())[:2] == [0, 0]
     assert {r.component_id for r in neardup.near_duplicates(df).collect()} == {None, 4, 5}
     assert lines.drop_repeated_lines(df).count() == 4
+
+
+def test_texts_that_share_an_id_share_a_component(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a), (5, b), (5, ""), (2, b + " tail"), (9, a + " tail"), (7, c), (8, c), (8, c), (None, a), (6, None), (4, a.replace("a3 ", "q "))]
+    out = neardup.near_duplicates(docs(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out if r.doc_id is not None) == [(2, 37, 2), (4, 36, 2), (5, 0, 5), (5, 36, 2), (5, 36, 2), (6, 0, 6), (7, 36, 7), (8, 36, 7), (8, 36, 7), (9, 37, 2)]
+    assert [(r.component_id, r.kept) for r in out if r.doc_id is None] == [(None, True)]
+
+
+def test_markup_without_an_end():
+    texts = lambda page: [text for _, text, _ in html_blocks.blocks(page)]
+    assert texts('<p title="x>after') == ["after"] and texts("<p>a < b<p>c</ x>d<!--> e --><!-- f") == ["a < b", "cd e -->"]
+    assert texts("<p class=a title='it''s'>x<br a=\">\">y") == ["x y"] and texts("<script>a</scripts>b</script >c") == ["c"]
+    for piece in ('<p title="x>after ', '<a =">" ', "<a ", "<div>x", "</section><div>", "<!--", "<![CDATA[", "</", "<title>", "<p a='"):
+        begin = time.time()
+        html_blocks.blocks(piece * 30_000)
+        assert time.time() - begin < 20
