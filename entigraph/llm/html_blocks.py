@@ -14,6 +14,8 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,12 @@ from .common import small_batches
 from .linear import sampled, sigmoid
 from .pieces import Recent
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(script|style|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+START = r"<(?:(!--)|(!\[CDATA\[)|(!|\?|/(?![a-zA-Z]))|(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
+#: The rest of a tag. Only a quote behind = opens a value, and only one that is closed later; nothing is tried twice.
+REST = r"""(?:((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|[="'])*+)>)?"""
+MARKUP, BARE_MARKUP = re.compile(f"{START}{REST})"), re.compile(f"{START})()")
+#: Elements whose text is no markup; one without an end tag takes the rest of the page.
+RAW = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I) for name in ("script", "style", "textarea")}
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Elements without text of the page; one without an end tag is as if it were not there.
 UNSEEN = {name: re.compile(rf"</{name}\s*>", re.I) for name in "noscript template iframe svg object select title".split()}
@@ -59,6 +66,41 @@ def _steps(name: str, attributes: str) -> list[str]:
     return out
 
 
+def tokens(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(start, end, whether it is an end tag, name in lower case, attributes) of all markup, in time linear in the page.
+
+    Comments, declarations and elements of RAW with their text are one token each, the former without a name. Where a
+    tag's quotes leave it without an end, tags end at the next > from there on; one without any takes the rest.
+    """
+    at, markup = 0, MARKUP
+    while m := markup.search(page, at):
+        opening, data, other, closing, name, rest = m.groups()
+        start, at = m.span()
+        if name is None:
+            if opening and page.startswith((">", "->"), at):
+                at = page.index(">", at) + 1
+            else:
+                ends = ("-->", "--!>") if opening else ("]]>", ">") if data else (">",)
+                found = [(k, e) for e in ends if (k := page.find(e, at)) >= 0]
+                k, e = (found[0] if data else min(found)) if found else (len(page), "")
+                at = k + len(e)
+            yield start, at, False, "", ""
+            continue
+        name = name.lower()
+        if not rest and page[at - 1] != ">":
+            markup = BARE_MARKUP
+            k = page.find(">", at)
+            rest, at = (page[at:k], k + 1) if k >= 0 else ("", len(page))
+        if name in RAW and not closing:
+            end = RAW[name].search(page, at)
+            at = end.end() if end else len(page)
+        yield start, at, bool(closing), name, rest
+
+
+#: Of a path of more elements the outer and the inner half of these count.
+DEEPEST = 256
+
+
 def blocks(page: str | None) -> list[Block]:
     """(path steps, text, share of the text in links) of all blocks with text, in page order.
 
@@ -68,6 +110,7 @@ def blocks(page: str | None) -> list[Block]:
     """
     out: list[Block] = []
     stack: list[tuple[str, list[str]]] = []
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     links = 0
     in_link = 0
@@ -77,7 +120,8 @@ def blocks(page: str | None) -> list[Block]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append((tuple(s for _, steps in stack for s in steps), text, min(1.0, links / len(text))))
+                shown = stack if len(stack) <= DEEPEST else stack[: DEEPEST // 2] + stack[-DEEPEST // 2 :]
+                out.append((tuple(s for _, steps in shown for s in steps), text, min(1.0, links / len(text))))
             parts.clear()
         links = 0
 
@@ -88,62 +132,68 @@ def blocks(page: str | None) -> list[Block]:
             if in_link:
                 links += len(piece)
 
-    at = 0
+    def leave() -> str:
+        name = stack.pop()[0]
+        opened[name] -= 1
+        return name
+
+    at = after = 0
     page = page or ""
     in_head = False
     endless: set[str] = set()  # elements of UNSEEN that nothing ends any more
-    while m := TOKEN.search(page, at):
-        piece = page[at : m.start()]
+    for start, end, closing, name, rest in tokens(page):
+        if start < after:  # inside an element of UNSEEN
+            continue
+        piece = page[max(at, after) : start]
         in_head = in_head and not piece.strip()
         if not in_head:
             add(piece)
-        at = m.end()
-        name = m.group(3)
-        if name is None:
-            if m.group(1) and not in_head:
+        at = end
+        if not name:
+            continue
+        if name in RAW:
+            if not in_head:
                 add(" ")
             continue
-        name = name.lower()
         if name in UNSEEN:
-            end = None
-            if not m.group(2) and name not in endless and not (name == "svg" and m.group(4).endswith("/")):
-                end = UNSEEN[name].search(page, at)
-                if end:
-                    at = end.end()
+            found = None
+            if not closing and name not in endless and not (name == "svg" and rest.endswith("/")):
+                found = UNSEEN[name].search(page, at)
+                if found:
+                    after = found.end()
                 else:
                     endless.add(name)
-            if name == "title" and in_head and not end:
-                at = max(at, page.find("<", at))  # its text is no page text
+            if name == "title" and in_head and not closing and not found:
+                after = max(at, page.find("<", at))  # its text is no page text
             in_head = in_head and name in HEAD
             if not in_head:
                 add(" ")
             continue
         if name == "head":
             flush()
-            in_head = not m.group(2)
+            in_head = not closing
             continue
-        if in_head and not m.group(2) and name not in HEAD:
+        if in_head and not closing and name not in HEAD:
             in_head = False
         if in_head:
             continue
         if name in INLINE:
             if name == "a":
-                in_link = 0 if m.group(2) else 1
+                in_link = 0 if closing else 1
             if name in ("br", "img", "wbr"):
                 add(" ")
             continue
         flush()
         in_link = 0
-        if m.group(2):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-        elif name not in EMPTY and not m.group(4).endswith("/"):
+        if closing:
+            while opened[name] and leave() != name:
+                pass
+        elif name not in EMPTY and not rest.endswith("/"):
             if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
-                stack.pop()
-            stack.append((name, _steps(name, m.group(4))))
-    add(page[at:])
+                leave()
+            stack.append((name, _steps(name, rest)))
+            opened[name] += 1
+    add(page[max(at, after) :])
     flush()
     return out
 
