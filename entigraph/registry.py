@@ -28,12 +28,12 @@ class SourceRegistry:
 
 
 def default_sources() -> SourceRegistry:
-    from .sources import directories, parsers, programs
+    from .sources import directories, programs, workforce
 
     out = SourceRegistry()
     for name, kind, build in (
         ("usagov", "organization_directory", directories.agency_index), ("federal_register", "organization_directory", directories.agency_list),
-        ("govinfo_govman", "organization_directory", directories.manual_details), ("opm_fwd", "workforce_organization_hierarchy", parsers.workforce_records),
+        ("govinfo_govman", "organization_directory", directories.manual_details), ("opm_fwd", "workforce_organization_hierarchy", workforce.workforce_records),
         ("fpi", "program_inventory", directories.inventory), ("sam_assistance", "program_inventory", programs.listings_from_table),
         ("treasury_tax_expenditures", "tax_expenditure_inventory", programs.tax_expenditures), ("performance_fpi_archive", "historical_program_inventory", programs.archive_from_table),
         ("supplemental", "program_inventory", programs.supplement_from_table), ("uscode_authority", "statutory_authority", programs.enrich_authorities),

@@ -6,6 +6,7 @@ import io
 import re
 import xml.etree.ElementTree as ET
 import zipfile
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -13,40 +14,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import collapse, strip, text
+from ..functions.names import strip, text
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
-class _Links(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.found: list[tuple[str, str]] = []
-        self.href, self.label = None, []
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "a":
-            self.href, self.label = dict(attrs).get("href"), []
-
-    def handle_data(self, data):
-        if self.href is not None:
-            self.label.append(data)
-
-    def handle_endtag(self, tag):
-        if tag == "a":
-            self._end()
-
-    def _end(self):
-        if self.href is not None:
-            self.found.append((self.href, " ".join(" ".join(self.label).split())))
-        self.href = None
+ANCHOR = re.compile(r"""<a(?=[\s/>])((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|[="'])*+)>|</a\s*>""", re.I)
+HREF = re.compile(r"(?:^|[\s\"'/])href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+UNREAD = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
+MARKUP = re.compile(r"<[^>]*>")
 
 
-def page_links(html: str | None) -> list[tuple[str, str]]:
-    p = _Links()
-    p.feed(html or "")
-    p.close()
-    return p.found
+def page_links(page: str | bytes | None) -> list[tuple[str, str]]:
+    """(href, label with single spaces) of each link with an end tag. What lies between a start and the next end is the
+    label; a start before that end begins anew."""
+    text = page.decode("utf-8", "replace") if isinstance(page, bytes) else page or ""
+    marks = list(ANCHOR.finditer(text := UNREAD.sub(" ", text)))
+    out = []
+    for mark, behind in zip(marks, marks[1:], strict=False):
+        href = HREF.search(mark[1]) if mark[1] is not None else None
+        if href and behind[1] is None:
+            label = " ".join(unescape(MARKUP.sub(" ", text[mark.end() : behind.start()])).split())
+            out.append((unescape(next(g for g in href.groups() if g is not None)), label))
+    return out
 
 
 def exploded(df: DataFrame, column: str, schema: T.StructType, parse) -> DataFrame:
@@ -69,9 +59,11 @@ def exploded(df: DataFrame, column: str, schema: T.StructType, parse) -> DataFra
     return df.mapInArrow(run, T.StructType([*(df.schema.fields[i] for i in keep), *schema.fields]))
 
 
-def links(df: DataFrame, html: str = "html") -> DataFrame:
-    """One row per link: href as written, label with single spaces."""
-    return exploded(df, html, T.StructType().add("href", "string").add("label", "string"), page_links)
+def links(df: DataFrame, html: str = "html", numbered: bool = False) -> DataFrame:
+    """One row per link: href as written, label with single spaces; `numbered`, its place on the page as `at`."""
+    schema = T.StructType().add("at", "long") if numbered else T.StructType()
+    parse = (lambda page: [(i, *link) for i, link in enumerate(page_links(page))]) if numbered else page_links
+    return exploded(df, html, schema.add("href", "string").add("label", "string"), parse)
 
 
 class _Tables(HTMLParser):
@@ -180,32 +172,3 @@ def parse_authorities(df: DataFrame, column: str) -> DataFrame:
     none = F.array(F.struct(strip(column).alias("authority_citation"), F.lit("").alias("usc_title"), F.lit("").alias("usc_section")))
     rows = df.filter(strip(column) != "").select(*df.columns, F.posexplode(F.when(F.size(found) > 0, found).otherwise(none)).alias("__at", "__c"))
     return rows.select(*df.columns, (F.col("__at") + 1).alias("authority_sequence"), "__c.*")
-
-
-def strip_code_prefix(name: Column | str, code: Column | str) -> Column:
-    """The name without its code, or without a code of 3 to 6 capitals or digits, and the dash or colon behind it."""
-    value, own = collapse(name), collapse(code)
-    cut = F.regexp_replace(value, F.concat(F.lit(r"(?i)^\Q"), own, F.lit(r"\E\s*[-–—:]\s*")), F.lit(""))
-    return F.when((own != "") & (cut != value), cut).otherwise(F.regexp_replace(value, r"^[A-Z0-9]{3,6}\s*[-–—:]\s*", ""))
-
-
-def workforce_records(frame: DataFrame, as_of: str = "", url: str = "") -> DataFrame:
-    """Department, agency and subagency records of a workforce table (department[_code], agency[_code], agency_subelement[_code], rec_idx).
-
-    Departments that only gather other agencies give no record; an agency named as its department has no parent; a
-    subagency named as its agency is left out. Of rows with one key the last counts.
-    """
-    synthetic = F.lower(collapse("department")).isin("non-cfo act agency", "non-cfo act agencies", "other agencies", "all other", "")
-    name = lambda c: strip_code_prefix(c, f"{c}_code")
-    dept, agency, sub = name("department"), name("agency"), name("agency_subelement")
-    codes = [text(f"{c}_code") for c in ("department", "agency", "agency_subelement")]
-    row = lambda level, n, code, parent, keep: F.struct(F.lit(level).alias("source_level"), n.alias("source_name"), code.alias("code"), parent.alias("parent_source_name"), keep.alias("keep"))
-    rows = frame.select("rec_idx", *[c.alias(k) for c, k in zip(codes, ("opm_department_code", "opm_agency_code", "opm_subagency_code"), strict=True)], F.explode(F.array(
-        row("department", dept, codes[0], F.lit(""), ~synthetic & (dept != "")),
-        row("agency", agency, codes[1], F.when(synthetic | (dept == agency), "").otherwise(dept), agency != ""),
-        row("subagency", sub, codes[2], agency, (sub != "") & (sub != agency)),
-    )).alias("r")).filter("r.keep")
-    rows = rows.select("rec_idx", "r.source_level", "r.source_name", "r.code", "r.parent_source_name", "opm_department_code", "opm_agency_code", "opm_subagency_code")
-    key = F.when(F.col("code") != "", F.col("code")).otherwise(F.lower("source_name"))
-    last = rows.withColumn("key", key).groupBy("source_level", "key").agg(F.max_by(F.struct(*rows.columns), F.col("rec_idx")).alias("r")).select("r.*", "key")
-    return last.select(F.lit("OPM Federal Workforce Data").alias("source"), F.concat_ws(":", "source_level", "key").alias("source_record_id"), "source_name", F.lit(url).alias("source_url"), "parent_source_name", "source_level", F.lit(as_of).alias("data_as_of"), "opm_department_code", "opm_agency_code", "opm_subagency_code").orderBy("source_level", F.lower("source_name"))

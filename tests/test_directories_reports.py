@@ -5,7 +5,6 @@ import pytest
 from entigraph import cli, sinks
 from entigraph.registry import SourceRegistry, default_sources
 from entigraph.sources import directories as D
-from entigraph.sources import reports as R
 
 
 def test_agency_index(spark):
@@ -46,32 +45,6 @@ def test_inventory_and_statutory(spark):
         D.append_statutory(base, spark.createDataFrame([("s", "3", " ", "u")], base.schema)).collect()
 
 
-def test_report_discovery(spark):
-    pages = {
-        "https://a.gov/robots.txt": (b"User-agent: *\nDisallow: /private", "text/plain"),
-        "https://a.gov": (b"<a href='/reports'>Reports</a><a href='/private/plans'>Plans</a><a href='https://other.com/annual-report.pdf'>x</a><a href='mailto:x'>y</a>", "text/html"),
-        "https://a.gov/reports": (b"<a href='/docs/Annual-Performance-Report-FY23.pdf'>FY 2023</a><a href='/about/deep'>About</a>", "text/html"),
-        "https://a.gov/about/deep": (b"<a href='/budget'>Budget</a>", "text/html"),
-        "https://a.gov/docs/Annual-Performance-Report-FY23.pdf": (b"%PDF-1", "application/pdf"),
-    }
-
-    def fetch(url, max_bytes=0):
-        return (*pages[url], url)
-
-    sources = spark.createDataFrame([("USA.gov", "o1", "A", "a.gov#x"), ("USA.gov", "o1", "A2", "https://a.gov"), ("Other", "o2", "B", "b.gov"), ("USA.gov", "", "C", None)], "source string, canonical_external_id string, source_name string, website string")
-    seeds = R.seeds(sources)
-    assert sorted((r.organization_id, r.agency_website) for r in seeds.collect()) == [("", ""), ("o1", "https://a.gov")]
-    crawled = R.crawl(seeds, fetch, max_depth=2, download=True, wait=0).cache()
-    (report,) = R.report_rows(crawled).collect()
-    assert (report.report_type, report.fiscal_year_candidates, report.download_status) == ("annual_performance_report", "2023", "downloaded")
-    cover = {r.organization_id: r for r in R.coverage_rows(crawled).collect()}
-    assert (cover["o1"].status, cover["o1"].pages_checked, cover["o1"].search_limit_reached) == ("report_candidates_found", 3, True)
-    assert json.loads(cover["o1"].errors) == ["robots_disallowed:https://a.gov/private/plans"] and cover[""].status == "missing_or_invalid_website"
-    assert R.summary(crawled, 5, 40, 2)["reports_downloaded"] == 1
-    urls = spark.createDataFrame([("Strategic  Plan", "http://x/%zz"), ("FY 24", "http://x/annual_report+b"), ("Plan", "http://x/")], "label string, url string")
-    assert [r[0] for r in urls.select(R.report_type("label", "url")).collect()] == ["strategic_plan", "annual_report", ""]
-
-
 def test_registry():
     known = SourceRegistry()
     known.register("b", "k", len)

@@ -45,12 +45,6 @@ def test_parsers():
     assert row[:2] == ("1234", "Purpose")
 
 
-def test_workforce_hierarchy(spark):
-    frame = spark.createDataFrame([(0, "DOD-Defense", "DOD", "AF - Air Force", "AF", "AF01-Wing", "AF01"), (1, "Non-CFO Act Agency", "", "XX-Small Board", "XX", "XX00-Small Board", "XX00")], "rec_idx long, department string, department_code string, agency string, agency_code string, agency_subelement string, agency_subelement_code string")
-    rows = {(r.source_level, r.source_name, r.parent_source_name) for r in parsers.workforce_records(frame).collect()}
-    assert rows == {("department", "Defense", ""), ("agency", "Air Force", "Defense"), ("subagency", "Wing", "Air Force"), ("agency", "Small Board", "")}
-
-
 def test_organizations_hold_every_source(spark):
     rows = {r.canonical_name: r for r in QUERIES["organizations"](spark, SF).collect()}
     parts = {r.p_name: r.n for r in spark.read.parquet(f"{SF}/part.parquet").groupBy("p_name").count().withColumnRenamed("count", "n").collect()}
