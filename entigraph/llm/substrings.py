@@ -21,18 +21,35 @@ from pyspark.sql import types as T
 from .common import Scratch, gram_hashes, scratch, small_batches, word_hashes
 
 GRAM = 8
-CHUNK = 2000
+CHUNK, TOGETHER = 2000, 100_000  # sequences of an automaton, words looked at together
 
 
-def anchors(h: np.ndarray, width: int) -> np.ndarray:
-    """Places of the grams that are the leftmost least of some window of `width` words."""
+def _running(x: np.ndarray, n: int, least: bool) -> np.ndarray:
+    """Least (or greatest) of each n values in a row, by ever wider strides."""
+    take = np.minimum if least else np.maximum
+    have = 1
+    while have < n:
+        step = min(have, n - have)
+        x = take(x[: len(x) - step], x[step:])
+        have += step
+    return x
+
+
+def anchors(h: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places, and hashes there, of the grams that are the least of some window of `width` words of one document.
+
+    `h` has the word hashes of several documents, one after the other, `doc` tells which.
+    """
     gram = min(GRAM, width)
-    g = gram_hashes(h, gram)
     span = width - gram + 1
-    if len(g) < span:
-        return np.empty(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(g, span)
-    return np.unique(np.concatenate([view[a : a + 65536].argmin(axis=1) + np.arange(a, min(a + 65536, len(view))) for a in range(0, len(view), 65536)]))
+    if len(h) < width:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    g = gram_hashes(h, gram)
+    least = _running(g, span, True)
+    least[doc[: len(least)] != doc[width - 1 :]] = 0  # windows of two documents
+    edge = np.zeros(span - 1, np.uint64)
+    at = np.flatnonzero((_running(np.concatenate([edge, least, edge]), span, False) == g) & (g > 0))
+    return at, g[at]
 
 
 class SuffixAutomaton:
@@ -125,17 +142,22 @@ def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFr
 
     def find(batches):
         for batch in batches:
-            hs, ids, at, total = [np.empty(0, np.uint64)], [], [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = word_hashes((t or b"").split())
-                p = anchors(h, width)
-                if len(p):
-                    hs.append(gram_hashes(h, gram)[p])
-                    ids.append(np.full(len(p), i))
-                    at.append(p)
-                    total.append(np.full(len(p), len(h)))
-            cat = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(cat(ids), pa.int64()), pa.array(cat(at).astype(np.int32)), pa.array(cat(total).astype(np.int32))], ["h", "id", "at", "total"])
+            texts, ids = batch.column(1).to_pylist(), batch.column(0).to_numpy(zero_copy_only=False)
+            at = 0
+            while at < len(texts):
+                words: list[bytes] = []
+                sizes: list[int] = []
+                while at + len(sizes) < len(texts) and len(words) < TOGETHER:
+                    own = (texts[at + len(sizes)] or b"").split()
+                    sizes.append(len(own))
+                    words += own
+                size = np.array(sizes, np.int64)
+                doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
+                place, h = anchors(word_hashes(words), doc, width)
+                of = doc[place]
+                start = np.cumsum(size) - size
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[at : at + len(size)][of], pa.int64()), pa.array((place - start[of]).astype(np.int32)), pa.array(size[of].astype(np.int32))], ["h", "id", "at", "total"])
+                at += len(size)
 
     def surroundings(batches):
         for batch in batches:
@@ -212,21 +234,24 @@ def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFr
         for batch in batches:
             out = []
             for places, total, masks in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                first = {(None if m["often"] else m["key"], m["start"], m["size"]): int.from_bytes(m["mask"], "little") for m in masks or []}
-                begins = set()
+                first = {(None if m["often"] else m["key"], m["start"], m["size"]): m["mask"] for m in masks or []}
+                gone: list[tuple[int, int]] = []
                 for x in places:
                     p = x["at"]
                     lo, hi = max(0, p - before), min(p, total - width)
                     units = [(s, width) for s in range(lo, hi + 1)] if x["often"] else [(lo, min(total, p + width) - lo)]
                     for a, size in units:
-                        mask = first.get((None if x["often"] else x["h"], a, size), 0)  # none: another document or place has it first
-                        begins.update(a + j for j in range(size - width + 1) if not mask >> j & 1)
+                        mask = int.from_bytes(first.get((None if x["often"] else x["h"], a, size), b""), "little")  # none: another document or place has it first
+                        if not mask:
+                            gone.append((a, a + size))
+                        elif mask + 1 != 1 << (size - width + 1):
+                            gone += [(a + j, a + j + width) for j in range(size - width + 1) if not mask >> j & 1]
                 spans: list[list[int]] = []
-                for s in sorted(begins):
-                    if spans and s <= spans[-1][1]:
-                        spans[-1][1] = s + width
+                for a, b in sorted(gone):
+                    if spans and a <= spans[-1][1]:
+                        spans[-1][1] = max(b, spans[-1][1])
                     else:
-                        spans.append([s, s + width])
+                        spans.append([a, b])
                 out.append([{"a": a, "b": b} for a, b in spans])
             kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["id", "spans"])
