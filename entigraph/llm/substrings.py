@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from .common import Scratch, gram_hashes, scratch, small_batches, word_hashes
 
 GRAM = 8
-CHUNK, TOGETHER = 2000, 100_000  # sequences of an automaton, words looked at together
+ROWS, TOGETHER = 20_000, 100_000  # of a batch; words looked at together
 
 
 def _running(x: np.ndarray, n: int, least: bool) -> np.ndarray:
@@ -116,20 +116,19 @@ class SuffixAutomaton:
 
 
 def unseen(rows: list[tuple[int, int, list[bytes]]], width: int) -> list[int]:
-    """For sequences (document, start, words), the windows of each (as bits from its start) that began nowhere earlier."""
-    automaton, names = SuffixAutomaton(), {}
-    out = [0] * len(rows)
-    for at in sorted(range(len(rows)), key=lambda i: rows[i][:2]):
-        doc, start, words = rows[at]
-        ids = [names.setdefault(w, len(names)) for w in words]
-        mask = 0
-        for i, e in enumerate(automaton.first_ends(ids, width)):
-            if i >= width - 1 and (e is None or e >= (doc, start + i)):
-                mask |= 1 << (i - width + 1)
-        out[at] = mask
-        if mask:  # else all its windows are in the automaton
+    """For sequences (document, start, words) in this order, the windows of each (as bits from its start) that began nowhere earlier."""
+    automaton, last = SuffixAutomaton(), len(rows) - 1
+    out = []
+    for at, (doc, start, words) in enumerate(rows):
+        mask = (1 << (len(words) - width + 1)) - 1
+        if at:
+            for i, e in enumerate(automaton.first_ends(words, width)[width - 1 :]):
+                if e is not None and e < (doc, start + i + width - 1):
+                    mask ^= 1 << i
+        out.append(mask)
+        if mask and at < last:  # else all its windows are in the automaton, or nobody asks it any more
             automaton.begin()
-            for i, c in enumerate(ids):
+            for i, c in enumerate(words):
                 automaton.extend(c, (doc, start + i))
     return out
 
@@ -189,45 +188,33 @@ def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(seqs, pa.binary()), pa.array(ids, pa.int64()), pa.array(starts, pa.int32()), pa.array(wides, pa.bool_())], ["key", "seq", "id", "start", "often"])
 
     def matched(batches):
-        rows: list[tuple[int, int, list[bytes]]] = []
-        of: list[tuple[int, bool]] = []
-        alone: list[tuple[int, int, int, int, int, bool]] = []
-        run: list[tuple[int, int, bytes, bool]] = []
-        last = None
+        run: list[tuple[int, int, list[bytes]]] = []
+        out: list[tuple] = []
+        last = often = None
 
         def end_run():
-            """A key's only surroundings have nothing before them; the others go to the automaton."""
-            if not run:
-                return
-            if len(run) == 1:
-                i, start, seq, often = run[0]
-                size = seq.count(b" ") + 1
-                alone.append((i, start, size, (1 << (size - width + 1)) - 1, last, often))
-            else:
-                rows.extend((i, start, seq.split()) for i, start, seq, _ in run)
-                of.extend((last, often) for *_, often in run)
+            """The surroundings of a key meet in one automaton: equal windows have equal keys."""
+            run.sort(key=lambda r: r[:2])
+            for (i, start, words), mask in zip(run, unseen(run, width), strict=True):
+                out.append((i, start, len(words), mask.to_bytes(-(-(len(words) - width + 1) // 8), "little"), last, often))
             run.clear()
 
         def flush():
-            masks = unseen(rows, width)
-            out = [(i, start, len(words), mask, key, often) for (i, start, words), mask, (key, often) in zip(rows, masks, of, strict=True)] + alone
-            rows.clear()
-            of.clear()
-            alone.clear()
-            out = [(i, start, size, mask.to_bytes(-(-max(1, size - width + 1) // 8), "little"), key, often) for i, start, size, mask, key, often in out]
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.bool_()]
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["id", "start", "size", "mask", "key", "often"])
+            batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["id", "start", "size", "mask", "key", "often"])
+            out.clear()
+            return batch
 
-        for batch in batches:  # ordered by key, so a key's rows meet in one automaton
-            for key, seq, i, start, often in zip(*(batch.column(j).to_pylist() for j in range(5)), strict=True):
-                if key != last:
+        for batch in batches:  # ordered by key and kind
+            for key, seq, i, start, kind in zip(*(batch.column(j).to_pylist() for j in range(5)), strict=True):
+                if (key, kind) != (last, often):
                     end_run()
-                    if len(rows) >= CHUNK or len(alone) >= 20_000:
+                    if len(out) >= ROWS:
                         yield flush()
-                    last = key
-                run.append((i, start, seq, often))
+                    last, often = key, kind
+                run.append((i, start, seq.split()))
         end_run()
-        if rows or alone:
+        if out:
             yield flush()
 
     def ranges(batches):
@@ -272,7 +259,7 @@ def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFr
             tmp.drop(name)
         near = texts.join(places.select("id", "places"), "id").select("id", "t", "places").mapInArrow(surroundings, "key long, seq binary, id long, start int, often boolean")
         distinct = near.groupBy("key", "seq", "often").agg(F.min("id").alias("id"), F.min_by("start", "id").alias("start"))
-        dealt = distinct.repartition("key").sortWithinPartitions("key")
+        dealt = distinct.repartition("key").sortWithinPartitions("key", "often")
         masks = tmp.save(dealt.select("key", "seq", "id", "start", "often").mapInArrow(matched, "id long, start int, size int, mask binary, key long, often boolean"), "masks")
         masks = masks.groupBy("id").agg(F.collect_list(F.struct("start", "size", "mask", "key", "often")).alias("masks"))
         spans = places.join(masks, "id", "left").select("id", "places", "total", "masks").mapInArrow(ranges, "id long, spans array<struct<a:int,b:int>>")
