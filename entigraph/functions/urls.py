@@ -46,6 +46,19 @@ def resolved(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+@F.pandas_udf(T.StringType())
+def joined(base: pd.Series, href: pd.Series) -> pd.Series:
+    """The absolute address of a link on a page; empty where there is none."""
+
+    def one(b: str | None, h: str | None) -> str:
+        try:
+            return urljoin(b or "", h or "")
+        except ValueError:
+            return ""
+
+    return pd.Series(map(one, base, href), dtype=object)
+
+
 def year_candidates(c: Column | str) -> Column:
     """Sorted years 19xx and 20xx that stand alone, and fiscal years FYxx as 20xx."""
     full = F.regexp_extract_all(text(c), F.lit(r"(?<!\d)((?:19|20)\d{2})(?!\d)"), 1)

@@ -38,11 +38,6 @@ def missing_from(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFram
     return left.join(right.select(*keys).distinct(), keys, "left_anti")
 
 
-def append_absent(base: DataFrame, more: DataFrame, keys: list[str]) -> DataFrame:
-    """base and those rows of more whose keys it has not; columns by name, missing ones empty."""
-    return base.unionByName(missing_from(more, base, keys), allowMissingColumns=True)
-
-
 def union_sources(*frames: DataFrame) -> DataFrame:
     """All rows under the union of the columns; missing text is the empty string."""
     out = frames[0]

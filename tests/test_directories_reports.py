@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from entigraph import cli, sinks
+from entigraph import cli, config, sinks
 from entigraph.registry import SourceRegistry, default_sources
 from entigraph.sources import directories as D
 
@@ -68,8 +68,17 @@ def test_sinks(spark, tmp_path):
 
 def test_commands(tmp_path, capsys):
     assert cli.main(["--out", str(tmp_path), "doctor"]) == 0
-    assert cli.main(["sources"]) == 0
-    assert "opm_fwd: enabled (workforce_organization_hierarchy)" in capsys.readouterr().out
+    (tmp_path / "s.json").write_text('{"sources": {"opm_fwd": {"enabled": false}}, "resolution": {"review_threshold": 70}}')
+    assert cli.main(["--config", str(tmp_path / "s.json"), "sources"]) == 0
+    out = capsys.readouterr().out
+    assert "opm_fwd: disabled (workforce_organization_hierarchy)" in out and "usagov: enabled (organization_directory)" in out
+    settings = config.load(tmp_path / "s.json")
+    assert settings["resolution"] == {"auto_merge_threshold": 96, "review_threshold": 70, "hierarchy_threshold": 80} and config.load()["sources"]["opm_fwd"]["enabled"]
+    (tmp_path / "pyproject.toml").touch()
+    (deep := tmp_path / "a/b").mkdir(parents=True)
+    assert config.find_root(deep) == tmp_path.resolve()
+    with pytest.raises(FileNotFoundError):
+        config.load(tmp_path / "none.json")
     with pytest.raises(SystemExit):
         cli.main([])
 
@@ -84,7 +93,7 @@ def test_command_flows(spark, tmp_path):
     )
     (tmp_path / "l.csv").write_text('Program Title,Program Number,Federal Agency (030),Authorization (040),Objectives (050)\nFarm Aid,10.1,"FARM SERVICE AGENCY, AGRICULTURE, DEPARTMENT OF",7 U.S.C. 1926,Helps farms\n')
     assert cli.main(["--out", out, "organizations", "--source-csv", f"file://{tmp_path}/s.csv"]) == 0
-    assert cli.main(["--out", out, "programs", "--sam-csv", f"file://{tmp_path}/l.csv"]) == 0
+    assert cli.main(["--out", out, "programs", "--sam-csv", f"file://{tmp_path}/l.csv", "--skip-treasury", "--skip-performance", "--skip-uscode"]) == 0
     summary = json.loads("\n".join(r.value for r in spark.read.text(f"{out}/program_pipeline_summary.json").collect()))
     assert (summary["canonical_programs"], summary["program_authorities"], summary["organizations_without_programs"]) == (1, 1, 1)
     organizations = spark.read.csv(f"{out}/organizations.csv", header=True)
