@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import pandas as pd
@@ -10,10 +11,14 @@ from pyspark.sql import functions as F
 
 
 def reliable(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a checkpoint in the shared folder (spark.checkpoint.dir; a temporary one where it is unset)."""
+    """Cuts the lineage with a checkpoint in the shared folder, spark.checkpoint.dir. Where it is unset, a temporary one will
+    do if everything runs in one process; a cluster has to name one."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="shared-"))
+        folder = sc.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="shared-"))
     return df.checkpoint()
 
 

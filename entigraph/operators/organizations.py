@@ -23,7 +23,7 @@ def normalize_records(records: DataFrame) -> DataFrame:
         "normalized_name": N.normalize_name("source_name"),
         "base_name": base,
         "identity_keys": N.identity_keys("source_name"),
-        "match_tokens": N.matching_tokens(base),
+        "match_tokens": N.matching_tokens(F.when(base != "", base).otherwise(N.text("source_name"))),
         "acronym": N.acronym(base),
         "explicit_acronym": N.explicit_parenthetical_acronym("source_name"),
         "domain": domain("website"),
@@ -120,6 +120,11 @@ def review_pairs(records: DataFrame, roots: DataFrame, kept_apart: DataFrame, th
     return score_pairs(df.select("left", "right", "a", "b")).filter(F.col("score") >= threshold).select("left", "right", "score", "reasons")
 
 
+def name_counts(choice: DataFrame) -> DataFrame:
+    """(nn, same_names): how many have the same normal form of `name`."""
+    return choice.groupBy(N.normalize_name("name").alias("nn")).agg(F.count("*").alias("same_names"))
+
+
 def _joined(c: str) -> Column:
     return F.array_join(F.sort_array(F.collect_set(F.when(N.text(c) != "", N.text(c)))), "|")
 
@@ -159,7 +164,7 @@ def resolve(records: DataFrame, overrides: DataFrame | None = None, threshold: f
     member = reliable(records.join(roots.withColumnRenamed("id", "rec_idx"), "rec_idx"))
 
     choice = reliable(choose_names(member, preferred))
-    counts = choice.groupBy(N.normalize_name("name").alias("nn")).agg(F.count("*").alias("same_names"))
+    counts = name_counts(choice)
     one_id = F.concat_ws(":", N.text("source"), N.text("source_record_id"))
     is_sub = (N.text("source") == OPM) & (N.text("source_level") == "subagency")
     gathered = member.groupBy("root").agg(

@@ -10,14 +10,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import sinks
 from ..functions import names as N
 from ..functions import urls as U
 from ..operators import graph, ordered
 from ..operators import organizations as O
+from ..operators import programs as K
+from ..operators.naming import choose_names
 from ..sources import directories as D
 from ..sources import parsers as P
 from ..sources import programs as G
 from ..sources import reports as R
+from ..sources import workforce as W
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,10 +124,20 @@ def entity_clusters(spark, d):
     return graph.connected_components(p.select("id"), chain.select(F.col("id").alias("a"), "b"))
 
 
-@query("SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r = 1")
+@query("""
+WITH r AS (SELECT *, trim(v) AS exact, trim(regexp_replace(v, '\\s*\\([^()]*\\)\\s*$', '')) AS shown,
+             CASE source WHEN 'USA.gov' THEN 3 WHEN 'Federal Register' THEN 2 ELSE 4 END AS tier
+           FROM (SELECT o_custkey AS root, o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'USA.gov' WHEN 'O' THEN 'Federal Register' ELSE 'Other' END AS source,
+                        'Office ' || o_orderpriority || ' (' || upper(left(o_orderpriority, 1)) || 'XY)' AS v FROM orders)),
+k AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY tier, length(shown) DESC, lower(exact) DESC, o_orderkey::VARCHAR DESC) AS i FROM r)
+SELECT root, shown AS name, source AS name_source, o_orderkey::VARCHAR AS name_record_id FROM k WHERE i = 1
+""")
 def canonical_choice(spark, d):
-    out = ordered.first_by(t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], -F.col("o_totalprice"), F.col("o_orderkey"))
-    return out.select("o_custkey", "o_orderkey", "o_totalprice")
+    """The name of each customer's orders, as if a source had named them by their priority."""
+    source = F.when(F.col("o_orderstatus") == "F", "USA.gov").when(F.col("o_orderstatus") == "O", "Federal Register").otherwise("Other")
+    name = F.concat(F.lit("Office "), "o_orderpriority", F.lit(" ("), F.upper(F.substring("o_orderpriority", 1, 1)), F.lit("XY)"))
+    rows = t(spark, d, "orders").select(F.col("o_custkey").alias("root"), F.col("o_orderkey").alias("rec_idx"), source.alias("source"), F.col("o_orderkey").cast("string").alias("source_record_id"), name.alias("source_name"), F.lit("").alias("source_level"))
+    return choose_names(rows, spark.createDataFrame([], "root long, preferred_name string")).select("root", "name", "name_source", "name_record_id")
 
 
 @query("SELECT p_name, string_agg(DISTINCT p_brand, '|' ORDER BY p_brand) AS brands, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS types, count(*) AS n FROM part GROUP BY p_name")
@@ -156,10 +170,17 @@ def fill_down(spark, d):
     return ordered.fill_down(e, ["user_id"], "event_id", "v", "last_purchase").select("event_id", "last_purchase")
 
 
-@query("SELECT r_regionkey AS parent, n_nationkey AS child, r_name AS evidence FROM nation JOIN region ON r_regionkey = n_regionkey")
+@query("""
+SELECT 'R' || r_regionkey AS parent_org_id, 'N' || n_nationkey AS child_org_id, 'parent/component' AS relationship_type, 'Federal Register' AS source, 'High' AS confidence, 'Provisional' AS review_status, r_name AS evidence
+FROM nation JOIN region ON r_regionkey = n_regionkey
+""")
 def hierarchy_edges(spark, d):
-    e = t(spark, d, "nation").join(F.broadcast(t(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))  # region: 5 rows
-    return ordered.first_by(e.select(F.col("r_regionkey").alias("parent"), F.col("n_nationkey").alias("child"), F.col("r_name").alias("evidence")), ["parent", "child"], F.col("evidence"))
+    """Nations as records that name their region as parent."""
+    region, nation = t(spark, d, "region"), t(spark, d, "nation")
+    rec = lambda df, idx, key, name, parent: df.select(idx.alias("rec_idx"), key.alias("canonical_external_id"), N.normalize_name(name).alias("normalized_name"), N.normalize_name(parent).alias("normalized_parent_name"), F.lit("Federal Register").alias("source"), parent.alias("parent_source_name"))
+    nations = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))  # region: 5 rows
+    rows = rec(region, F.col("r_regionkey"), F.concat(F.lit("R"), F.col("r_regionkey").cast("string")), F.col("r_name"), F.lit(""))
+    return O.hierarchy(rows.union(rec(nations, F.col("n_nationkey") + 100, F.concat(F.lit("N"), F.col("n_nationkey").cast("string")), F.col("n_name"), F.col("r_name"))))
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
@@ -172,11 +193,17 @@ def parts_without_lines(spark, d):
     return ordered.missing_from(t(spark, d, "part").select("p_partkey"), t(spark, d, "lineitem").withColumnRenamed("l_partkey", "p_partkey"), ["p_partkey"])
 
 
-@query("SELECT o_custkey, bool_or(o_orderstatus = 'F') AS any_final, bool_or(o_orderstatus LIKE 'O%') AS any_open, CASE WHEN bool_or(o_orderstatus = 'F') THEN 'Likely current' ELSE 'Needs status review' END AS status FROM orders GROUP BY o_custkey")
+@query("""
+WITH s AS (SELECT o_custkey, bool_or(o_orderstatus = 'F') AS u, bool_or(o_orderstatus = 'O') AS f, bool_or(o_orderstatus = 'P') AS c FROM orders GROUP BY o_custkey)
+SELECT o_custkey::VARCHAR AS external_id, u AS found_in_usagov, f AS found_in_federal_register, c AS found_in_program_inventory,
+       CASE WHEN u THEN 'Likely current' ELSE 'Needs status review' END AS suggested_status,
+       CASE WHEN u THEN 'USA.gov presence' ELSE 'No current-directory confirmation' END AS status_basis, 'Unreviewed' AS review_status FROM s
+""")
 def status_flags(spark, d):
-    g = t(spark, d, "orders").groupBy("o_custkey").agg(F.collect_set("o_orderstatus").alias("s"))
-    final, open_ = F.exists("s", lambda x: x == "F"), F.exists("s", lambda x: x.startswith("O"))
-    return g.select("o_custkey", final.alias("any_final"), open_.alias("any_open"), F.when(final, "Likely current").otherwise("Needs status review").alias("status"))
+    """Customers as organizations, in the sources that the states of their orders stand for."""
+    source = F.when(F.col("o_orderstatus") == "F", "USA.gov Agency Index").when(F.col("o_orderstatus") == "O", "Federal Register Agencies API").otherwise("Current Federal Program Inventory")
+    orgs = t(spark, d, "orders").groupBy(F.col("o_custkey").cast("string").alias("external_id")).agg(F.array_join(F.sort_array(F.collect_set(source)), "|").alias("sources"))
+    return O.status_rows(orgs.withColumn("canonical_name", F.col("external_id"))).drop("canonical_name")
 
 
 @query("""
@@ -259,22 +286,81 @@ def hetero_union(spark, d):
     return ordered.union_sources(s, t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment")))
 
 
-@query("SELECT 'orders' AS name, count(*) AS rows, count_if(o_orderstatus = 'F')::BIGINT AS hits FROM orders UNION ALL SELECT 'documents', count(*), count_if(lang = 'en')::BIGINT FROM documents UNION ALL SELECT 'pages', count(*), count_if(url LIKE 'https%')::BIGINT FROM pages")
+@query("SELECT 'orders' AS name, count(*) AS rows FROM orders UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'regions of no name', 0")
 def summary_counts(spark, d):
-    one = lambda n, hit: t(spark, d, n).agg(F.lit(n).alias("name"), F.count("*").alias("rows"), F.count_if(hit).alias("hits"))
-    return one("orders", F.col("o_orderstatus") == "F").union(one("documents", F.col("lang") == "en")).union(one("pages", F.col("url").startswith("https")))
+    return sinks.row_counts({"orders": t(spark, d, "orders"), "documents": t(spark, d, "documents"), "regions of no name": t(spark, d, "region").filter("r_name is null")})
 
 
-@query(f"SELECT {norm('p_name')} AS name, count(*) AS same_names, min(p_partkey) AS identifier FROM part GROUP BY 1 HAVING count(*) > 1")
+@query(f"SELECT {norm('p_name')} AS nn, count(*) AS same_names FROM part GROUP BY 1 HAVING count(*) > 1")
 def name_collisions(spark, d):
-    w = Window.partitionBy("name")
-    p = t(spark, d, "part").select("p_partkey", N.normalize_name("p_name").alias("name")).withColumn("same_names", F.count("*").over(w))
-    return p.filter("same_names > 1").groupBy("name").agg(F.first("same_names").alias("same_names"), F.min("p_partkey").alias("identifier"))
+    return O.name_counts(t(spark, d, "part").select("p_partkey", F.col("p_name").alias("name"))).filter("same_names > 1")
 
 
-@query("SELECT event_id, coalesce(json_extract_string(props, '$.page'), '') AS page, coalesce(json_extract_string(props, '$.k'), '') AS k FROM events")
+@query("""
+SELECT event_id::VARCHAR AS source_record_id, coalesce(json_extract_string(props, '$.page'), '') AS source_name, event_type AS source_status,
+       'E' || (user_id % 7)::VARCHAR AS department_source_name, CASE WHEN event_id % 3 = 0 THEN 'http://w/' || event_id::VARCHAR ELSE 'u' END AS source_url FROM events
+""")
 def json_flatten(spark, d):
-    return t(spark, d, "events").select("event_id", F.coalesce(F.get_json_object("props", "$.page"), F.lit("")).alias("page"), F.coalesce(F.get_json_object("props", "$.k"), F.lit("")).alias("k"))
+    """Events as listings of the programs API, ten to a page."""
+    org = F.struct(F.concat(F.lit("E"), (F.col("user_id") % 7).cast("string")).alias("department"))
+    item = F.struct(
+        F.when(F.col("event_id") % 2 == 0, F.col("event_id")).alias("assistanceListingId"), F.col("event_id").cast("string").alias("programId"), F.get_json_object("props", "$.page").alias("title"),
+        F.col("event_type").alias("status"), org.alias("federalOrganization"), F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("http://w/"), F.col("event_id").cast("string"))).alias("programWebPage"),
+    )
+    pages = t(spark, d, "events").groupBy((F.col("event_id") / 10).cast("long").alias("page")).agg(F.to_json(F.struct(F.collect_list(item).alias("assistanceListingsData"))).alias("payload"))
+    found, _, _ = G.listings_from_json(pages.select("payload", F.lit("u").alias("source_url")))
+    return found.select("source_record_id", "source_name", "source_status", "department_source_name", "source_url")
+
+
+@query("""
+WITH n AS (SELECT r_name, n_name, 'SX' || right('00' || n_nationkey::VARCHAR, 2) AS code, s_suppkey, s_name FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey),
+o AS (SELECT DISTINCT ON (n_name) * FROM n ORDER BY n_name, s_suppkey DESC)
+SELECT 'department' AS source_level, 'department:' || regexp_replace(lower(r_name), '[^a-z0-9]+', '-', 'g') AS source_record_id, r_name AS source_name, '' AS parent_source_name, '' AS opm_subagency_code FROM n WHERE r_name <> 'ASIA' GROUP BY r_name
+UNION ALL SELECT 'agency', 'agency:' || regexp_replace(lower(n_name), '[^a-z0-9]+', '-', 'g'), n_name, CASE WHEN r_name = 'ASIA' THEN '' ELSE r_name END, '' FROM n GROUP BY n_name, r_name
+UNION ALL SELECT 'subagency', 'subagency:' || code, s_name, n_name, code FROM o
+""")
+def workforce_records(spark, d):
+    """Regions, nations and suppliers as departments, agencies and their subagencies; one region only gathers others."""
+    nations = t(spark, d, "nation").join(F.broadcast(t(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))  # region: 5 rows
+    code = F.concat(F.lit("SX"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+    table = t(spark, d, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("rec_idx"), F.when(F.col("r_name") == "ASIA", "Non-CFO Act Agency").otherwise(F.col("r_name")).alias("Department Name"), F.col("n_name").alias("agency"),
+        F.concat(code, F.lit(" - "), "s_name").alias("AGYSUBT"), code.alias("Agency_SubElement_Code"),
+    )
+    return W.workforce_records(table).select("source_level", "source_record_id", "source_name", "parent_source_name", "opm_subagency_code")
+
+
+@query("""
+SELECT p_partkey::VARCHAR AS source_record_id, CASE WHEN p_size % 3 = 0 THEN 'N' || n_nationkey WHEN p_size % 3 = 1 THEN 'R' || r_regionkey ELSE '' END AS organization_id
+FROM part JOIN nation ON n_nationkey = p_partkey % 25 JOIN region ON r_regionkey = n_regionkey
+""")
+def program_organizations(spark, d):
+    """Parts as programs of nations, of their regions, or of nobody that is known."""
+    region, nation = t(spark, d, "region"), t(spark, d, "nation")
+    nations = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))  # region: 5 rows
+    key = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
+    orgs = region.select(key("R", "r_regionkey").alias("external_id"), F.col("r_name").alias("canonical_name")).union(nation.select(key("N", "n_nationkey"), "n_name"))
+    sources = nations.select(key("N", "n_nationkey").alias("canonical_external_id"), F.col("n_name").alias("source_name"), F.col("r_name").alias("parent_source_name"))
+    index = K.organization_index(orgs, spark.createDataFrame([], "organization_id string, alias string"), sources)
+    size = F.col("p_size") % 3
+    records = t(spark, d, "part").join(F.broadcast(nations), F.col("p_partkey") % 25 == F.col("n_nationkey")).select(  # 25 rows
+        F.col("p_partkey").alias("rec_idx"), F.lit("supplemental").alias("source_key"), F.col("p_partkey").cast("string").alias("source_record_id"), F.col("p_name").alias("source_name"),
+        F.lit("").alias("office_source_name"), F.when(size == 0, F.col("n_name")).otherwise("").alias("agency_source_name"), F.when(size == 2, "Nobody").otherwise(F.col("r_name")).alias("department_source_name"),
+    )
+    return K.map_organizations(records, index)[0].select("source_record_id", "organization_id")
+
+
+@query("""
+WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"[^>]*>[^<]*</a>', 1)) AS href, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"[^>]*>[^<]*</a>', 1), 1) AS i FROM pages),
+t AS (SELECT page_id, i, url, CASE WHEN href LIKE 'http%' THEN href ELSE regexp_extract(url, '^[^:]*://[^/]*', 0) || href END AS target FROM l WHERE href LIKE 'http%' OR href LIKE '/%')
+SELECT page_id AS site, count(DISTINCT split_part(target, '#', 1)) AS reports FROM t
+WHERE regexp_extract(target, '://([^/?#:]*)', 1) = regexp_extract(url, '://([^/?#:]*)', 1) GROUP BY page_id
+""")
+def report_links(spark, d):
+    """Pages as sites of one page each, whose links are all called annual reports."""
+    pages = t(spark, d, "pages").select(F.col("page_id").alias("site"), F.col("url").alias("home"), F.lit(0).alias("depth"), F.lit(1).alias("place"), F.col("url").alias("final"), F.col("html").cast("binary").alias("body"))
+    linked = R.linked(pages).withColumn("label", F.lit("Annual Report"))
+    return R.report_candidates(linked).groupBy("site").agg(F.count("*").alias("reports"))
 
 
 @query(None)
@@ -298,5 +384,6 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     nation, region = t(spark, d, "nation"), t(spark, d, "region")
     nations = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = rec(region, "USA.gov", "r_regionkey", "r_name", F.lit("")).union(rec(nations, "Federal Register", "n_nationkey", "n_name", F.col("r_name"))).union(rec(t(spark, d, "supplier"), "Current Federal", "s_suppkey", "s_name", F.lit(""))).union(rec(t(spark, d, "part"), "Parts", "p_partkey", "p_name", F.lit("")))
-    rows = graph.reliable(rows.withColumn("rec_idx", F.row_number().over(Window.partitionBy("source").orderBy(F.col("source_record_id").cast("long"))).cast("long") * 4 + F.when(F.col("source") == "USA.gov", 0).when(F.col("source") == "Federal Register", 1).when(F.col("source") == "Current Federal", 2).otherwise(3)))
+    code = F.when(F.col("source") == "USA.gov", 0).when(F.col("source") == "Federal Register", 1).when(F.col("source") == "Current Federal", 2).otherwise(3)
+    rows = rows.withColumn("rec_idx", F.col("source_record_id").cast("long") * 4 + code)
     return O.resolve(rows)["organizations"].drop("canonical_name_source_record_id")

@@ -22,16 +22,26 @@ PROGRAM_TABLES = [
 ]
 
 
-def write_csv(df: DataFrame, path: str, files: int | None = None) -> int:
-    """Writes df with a header, lists joined by "|", as a folder of part files (or `files` of them), and returns its row count.
-
-    The rows are counted while they are written: the plan runs once. A lost executor's tasks may count some rows twice
-    in a metric, so the count is taken from the written table's own files.
-    """
+def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Writes df with a header, lists joined by "|", as a folder of part files (or `files` of them)."""
     flat = [F.array_join(c.name, "|").alias(c.name) if c.dataType.typeName() == "array" else F.col(c.name) for c in df.schema.fields]
     out = df.select(*flat) if files is None else df.select(*flat).coalesce(files)
     out.write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
-    return df.sparkSession.read.csv(path, header=True, multiLine=True, escape='"').count()
+
+
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, rows) of all tables, in one job."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.lit(name).alias("name"), F.count("*").alias("rows"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+def written_counts(spark: SparkSession, folder: str, names: list[str]) -> dict[str, int]:
+    """Rows of the written tables: a lost executor's tasks may be counted twice by a metric, but not by the files."""
+    read = lambda n: spark.read.csv(f"{folder}/{n}.csv", header=True, multiLine=True, escape='"')
+    return {r["name"]: r["rows"] for r in row_counts({n: read(n) for n in names}).collect()}  # a row per table
 
 
 def write_json(spark: SparkSession, value: dict, path: str) -> None:
@@ -39,25 +49,25 @@ def write_json(spark: SparkSession, value: dict, path: str) -> None:
 
 
 def export_organizations(tables: dict[str, DataFrame], folder: str, metrics: dict | None = None, files: int | None = None) -> dict:
-    counts = {count: write_csv(tables[key], f"{folder}/{name}.csv", files) for key, name, count in ORGANIZATION_TABLES}
-    summary = (metrics or {}) | counts
-    write_json(tables["organizations"].sparkSession, summary, f"{folder}/pipeline_summary.json")
+    for key, name, _ in ORGANIZATION_TABLES:
+        write_csv(tables[key], f"{folder}/{name}.csv", files)
+    spark = tables["organizations"].sparkSession
+    counts = written_counts(spark, folder, [name for _, name, _ in ORGANIZATION_TABLES])
+    summary = (metrics or {}) | {count: counts[name] for _, name, count in ORGANIZATION_TABLES}
+    write_json(spark, summary, f"{folder}/pipeline_summary.json")
     return summary
 
 
 def export_programs(tables: dict[str, DataFrame], folder: str, metrics: dict | None = None, files: int | None = None) -> dict:
-    counts = {name: write_csv(df, f"{folder}/{name}.csv", files) for name, df in tables.items()}
+    for name, df in tables.items():
+        write_csv(df, f"{folder}/{name}.csv", files)
+    spark = tables["programs"].sparkSession
+    counts = written_counts(spark, folder, list(tables))
     summary = (metrics or {}) | {count: counts.get(name, 0) for name, count in PROGRAM_TABLES}
-    write_json(tables["programs"].sparkSession, summary, f"{folder}/program_pipeline_summary.json")
+    write_json(spark, summary, f"{folder}/program_pipeline_summary.json")
     return summary
 
 
 def post_table(organizations: DataFrame) -> DataFrame:
     """The organizations with title and slug for a content system in front."""
     return organizations.select(F.col("canonical_name").alias("post_title"), F.replace("normalized_name", F.lit(" "), F.lit("-")).alias("post_slug"), "*")
-
-
-def snapshots(df: DataFrame, folder: str, body: str = "body", ending: str = "html") -> DataFrame:
-    """df with sha256 and snapshot_path of each body, for a content-addressed store."""
-    digest = F.sha2(F.col(body).cast("binary"), 256)
-    return df.withColumn("sha256", digest).withColumn("snapshot_path", F.concat(F.lit(f"{folder}/"), digest, F.lit(f".{ending}")))

@@ -59,7 +59,8 @@ def test_registry():
 
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, ["a", "b"], 'x "y"\nz'), (2, [], None)], "i int, l array<string>, t string")
-    assert sinks.write_csv(df, f"file://{tmp_path}/t.csv", 1) == 2
+    sinks.write_csv(df, f"file://{tmp_path}/t.csv", 1)
+    assert sinks.written_counts(spark, f"file://{tmp_path}", ["t"]) == {"t": 2}
     back = spark.read.csv(f"file://{tmp_path}/t.csv", header=True, multiLine=True, escape='"').orderBy("i").collect()
     assert (back[0].l, back[0].t) == ("a|b", 'x "y"\nz')
     posts = sinks.post_table(spark.createDataFrame([("Access Board", "access board")], "canonical_name string, normalized_name string"))
