@@ -363,12 +363,34 @@ def report_links(spark, d):
     return R.report_candidates(linked).groupBy("site").agg(F.count("*").alias("reports"))
 
 
-@query(None)
+@query(f"""
+WITH RECURSIVE p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS k FROM part) WHERE k = 1),
+v AS (SELECT p_partkey AS id, p_partkey % 2 AS source, p_name || ' ' || p_type || ' works' AS name, lower(replace(p_brand, '#', '')) || '.com' AS domain, {norm("p_type")} AS parent FROM p),
+r AS (SELECT *, {norm("name")} AS n, {tokens("name")} AS t, array_to_string([upper(x[1]) FOR x IN regexp_extract_all(name, '[A-Za-z0-9]+') IF NOT list_contains({STOP}, lower(x))], '') AS ac FROM v),
+b AS (SELECT DISTINCT id, x AS key FROM (SELECT id, unnest(t) AS x FROM r) WHERE length(x) >= 4 AND NOT list_contains(['{"', '".join(N.MEANINGFUL_WORDS)}'], x)),
+f AS (SELECT key FROM b GROUP BY key HAVING count(*) BETWEEN 2 AND 80),
+pair AS (SELECT DISTINCT x.id AS l, y.id AS r FROM b x JOIN b y USING (key) JOIN f USING (key) WHERE x.id < y.id),
+lcs(l, r, a, b, i, best) AS (
+  SELECT pair.l, pair.r, x.n, y.n, 0, [0 FOR j IN range(length(y.n) + 1)] FROM pair JOIN r x ON x.id = pair.l JOIN r y ON y.id = pair.r WHERE x.source <> y.source
+  UNION ALL SELECT l, r, a, b, i + 1, [0] || [greatest(best[j + 1], coalesce(list_max([best[k] + 1 FOR k IN range(1, j + 1) IF b[k] = a[i + 1]]), 0)) FOR j IN range(1, length(b) + 1)] FROM lcs WHERE i < length(a)),
+s AS (SELECT l, r, 200.0::DOUBLE * best[-1] / (length(a) + length(b)) AS ratio FROM lcs WHERE i = length(a)),
+o AS (SELECT s.*, x.ac = y.ac AND length(x.ac) >= 3 AS same_ac, x.domain = y.domain AS same_domain, x.parent = y.parent AS same_parent,
+        len(list_intersect(x.t, y.t))::DOUBLE / len(list_distinct(x.t || y.t)) AS overlap FROM s JOIN r x ON x.id = s.l JOIN r y ON y.id = s.r),
+a AS (SELECT *, greatest(ratio, overlap * 100) AS s0, same_ac AND (ratio >= 60 OR overlap >= 0.5) AS by_ac FROM o),
+d AS (SELECT *, CASE WHEN by_ac THEN least(100.0, s0 + 4) ELSE s0 END AS s1 FROM a),
+e AS (SELECT *, same_domain AND s1 >= 60 AS by_domain, CASE WHEN same_domain AND s1 >= 60 THEN least(100.0, s1 + 4) ELSE s1 END AS s2 FROM d),
+g AS (SELECT *, same_parent AND s2 >= 60 AS by_parent, round_even(CASE WHEN same_parent AND s2 >= 60 THEN least(100.0, s2 + 3) ELSE s2 END, 2) AS score FROM e)
+SELECT l AS "left", r AS "right", score, concat_ws('|', CASE WHEN ratio >= 85 THEN 'high_name_similarity:' || round_even(ratio, 0)::INT END,
+         CASE WHEN overlap >= 0.6 THEN 'high_token_overlap:' || printf('%.2f', round_even(overlap, 2)) END, CASE WHEN by_ac THEN 'same_acronym_support' END,
+         CASE WHEN by_domain THEN 'same_domain_support' END, CASE WHEN by_parent THEN 'same_parent_support' END) AS reasons FROM g WHERE score >= 60
+""")
 def fuzzy_review(spark, d):
-    """Scored review candidates among the distinct part names."""
-    p = ordered.first_by(t(spark, d, "part").select("p_partkey", "p_name"), ["p_name"], F.col("p_partkey"))
-    fields = {c: F.lit("") for c in ("website", "parent_source_name", "source_level")}
-    r = p.select(F.col("p_partkey").alias("rec_idx"), F.concat(F.lit("S"), (F.col("p_partkey") % 2).cast("string")).alias("source"), F.col("p_name").alias("source_name")).withColumns(fields)
+    """Scored review candidates among the first part of each name, called by its name and type, with a site and a parent."""
+    p = ordered.first_by(t(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type"), ["p_name"], F.col("p_partkey"))
+    r = p.select(
+        F.col("p_partkey").alias("rec_idx"), F.concat(F.lit("S"), (F.col("p_partkey") % 2).cast("string")).alias("source"), F.concat_ws(" ", "p_name", "p_type", F.lit("works")).alias("source_name"),
+        F.concat(F.lit("https://www."), F.replace("p_brand", F.lit("#"), F.lit("")), F.lit(".com/")).alias("website"), F.col("p_type").alias("parent_source_name"), F.lit("").alias("source_level"),
+    )
     r = O.normalize_records(r)
     return O.review_pairs(r, r.select(F.col("rec_idx").alias("id"), F.col("rec_idx").alias("root")), spark.createDataFrame([], "ra long, rb long"), 60).withColumn("reasons", F.array_join("reasons", "|"))
 
