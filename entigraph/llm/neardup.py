@@ -8,9 +8,9 @@ one global order, rarest first, two documents that agree in T of K places share
 
 Documents with equal shingle sets are one node. In each posting list all members are first compared with the
 smallest one, the hub; after the components of the links found so far, only members of different components are
-compared, the smaller components with the rest, and lists that lie in one component are skipped. So a list of near
-copies costs as many comparisons as it has members. Lists with one hub are one, so that a pair is met once. Pairs that
-met are counted in all K coordinates; the candidates, those with T or more,
+compared, those outside the list's largest component with the rest, block by block, and lists that lie in one component are
+skipped. So a list of near copies costs about as many comparisons as it has members. Lists with one hub are one, so that a
+pair is met once. Pairs that met are counted in all K coordinates; the candidates, those with T or more,
 are confirmed on the full shingle sets if they agree in WIDE_T of WIDE further coordinates, counted on one byte each (a
 linked pair falls below that with a probability under 6 in a million), and if their exact similarities to the hub,
 where known, leave room for a link: 1 - similarity is a metric.
@@ -19,6 +19,7 @@ where known, leave room for a link: 1 - similarity is a metric.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,6 +33,7 @@ _RANDOM = mixed(np.arange(1, 2 * K + 1, dtype=np.uint64) * np.uint64(0x9E3779B97
 FACTOR, SHIFT = (_RANDOM[:K] | np.uint64(1))[:, None], _RANDOM[K:][:, None]
 PLACE = (np.arange(K, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))[:, None]
 WIDE, WIDE_T = 512, 368
+BLOCK, BLOCK_BYTES = 512, 16 << 20  # of a side of a block: members, bytes of their texts
 _WIDE = (mixed(np.arange(1, 2 * WIDE + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(32)).astype(np.uint32)
 WIDE_FACTOR, WIDE_SHIFT = (_WIDE[:WIDE] | np.uint32(1))[:, None], _WIDE[WIDE:][:, None]
 LONGS = [f"s{i}" for i in range(WIDE // 8)]
@@ -131,6 +133,59 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int, tmp:
     return tmp.save(rows.select("u", "v", "tu", "tv").mapInArrow(check, "u long, v long, similarity double, linked boolean"), name)
 
 
+def between_components(members: DataFrame, star: DataFrame, sides: DataFrame, texts: DataFrame, words: int, percent: int, tmp: Scratch) -> DataFrame:
+    """Links (u, v) between members (hub, id, comp) of one list that lie in different components; enough to join all that have any.
+
+    Members outside the list's largest component are compared with all others, in blocks: a block reads the signatures and
+    texts of its two sides and gives a spanning forest of the links it finds, never pairs.
+    """
+    several = members.groupBy("hub", "comp").agg(F.count("*").alias("k")).groupBy("hub").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count("*").alias("comps"))
+    several = tmp.save(several.filter("comps > 1").drop("comps"), "several")
+    rows = members.join(several, "hub").join(star.select(F.col("u").alias("hub"), F.col("v").alias("id"), "similarity"), ["hub", "id"], "left")
+    rows = rows.join(sides.select("id", "n", "keys", F.array(*LONGS).alias("wide")), "id").join(texts, "id").withColumn("outside", F.col("comp") != F.col("main")).drop("main")
+    rows = tmp.save(rows, "members")
+    blocks = lambda test: F.ceil(F.greatest(F.count_if(test) / BLOCK, F.sum(F.when(test, F.octet_length("t"))) / BLOCK_BYTES)).cast("int")
+    sizes = tmp.save(rows.groupBy("hub").agg(blocks(F.col("outside")).alias("lefts"), blocks(F.lit(True)).alias("rights")), "sizes")
+    rows = rows.join(sizes, "hub")
+    place = lambda many: F.pmod(F.xxhash64("id"), many).cast("int")
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+    own = ["id", "comp", "outside", "similarity", "n", "keys", "wide", "t"]
+    left = rows.filter("outside").select("hub", place(F.col("lefts")).alias("i"), every("rights").alias("j"), F.lit(True).alias("left"), *own)
+    right = rows.select("hub", every("lefts").alias("i"), place(F.col("rights")).alias("j"), F.lit(False).alias("left"), *own)
+
+    def compared(block: pd.DataFrame) -> pd.DataFrame:
+        """Links between the components of a block; those that are joined already are not compared any more."""
+        block = block.sort_values("id")
+        ids, comp, near, n = (block[c].to_numpy() for c in ("id", "comp", "similarity", "n"))
+        outside, side = block["outside"].to_numpy(bool), block["left"].to_numpy(bool)
+        keys, wide = np.stack(block["keys"].to_numpy()), np.stack(block["wide"].to_numpy()).astype(np.int64).view(np.uint8)
+        near = near.astype(float)  # nan: not known
+        at, sets, out = np.flatnonzero(~side), {}, []
+        _, group = np.unique(comp, return_inverse=True)
+
+        def shingles(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = shingle_set(bytes(block["t"].iloc[k]), words)
+            return sets[k]
+
+        for k in np.flatnonzero(side):
+            sizes = 100 * np.minimum(n[k], n[at]) >= percent * np.maximum(n[k], n[at])
+            some = at[sizes & ~(outside[at] & (ids[at] < ids[k])) & ~(np.abs(near[at] - near[k]) > 1 - percent / 100 + 1e-9)]
+            some = some[(group[some] != group[k])]
+            some = some[(keys[some] == keys[k]).sum(1) >= T]
+            agree = (wide[some] == wide[k]).sum(1)
+            for x in some[np.argsort(-agree, kind="stable")][: int((agree >= WIDE_T).sum())]:
+                if group[x] == group[k]:
+                    continue
+                both = len(np.intersect1d(shingles(k), shingles(x), assume_unique=True))
+                if 100 * both >= percent * (n[k] + n[x] - both):
+                    out.append((min(ids[k], ids[x]), max(ids[k], ids[x])))
+                    group[group == group[x]] = group[k]
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+    return left.union(right).groupBy("hub", "i", "j").applyInPandas(compared, "u long, v long").distinct()
+
+
 def numbered(signed: DataFrame, texts: DataFrame, words: int, tmp: Scratch) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """`signed` and `texts` with a number for each shingle set of an id in place of the id, and (own, id) of the ids renumbered.
 
@@ -198,18 +253,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             held = tmp.save(held.select("own", "rep"), "held")
             links = links.union(held.join(held.groupBy("own").agg(F.min("rep").alias("u")), "own").select("u", "rep"))
         found = tmp.save(components(links, tmp, "first-links"), "found")
-        # hubs whose members lie in several components; lists of two were compared above
-        rest = near.filter("c > 2").join(found.withColumnRenamed("component", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        several = rest.groupBy("hub").agg(F.min("comp").alias("main"), F.max("comp").alias("other")).filter("main <> other").drop("other")
-        rest = rest.drop("c").join(several, "hub").join(star.select(F.col("u").alias("hub"), F.col("v").alias("id"), "similarity"), ["hub", "id"], "left")
-        rest = tmp.save(rest.join(sides, "id"), "rest")
-        a, b = rest.filter("comp <> main").alias("a"), rest.alias("b")
-        apart = F.coalesce(F.abs(F.col("a.similarity") - F.col("b.similarity")) > 1 - percent / 100 + 1e-9, F.lit(False))
-        more = a.join(b, (F.col("a.hub") == F.col("b.hub")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.main")) | (F.col("a.id") < F.col("b.id"))) & ~apart & _plausible("a", "b", percent))
-        more = tmp.save(more.select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v")).distinct(), "more")
+        # lists of two were compared above
+        rest = near.filter("c > 2").drop("c").join(found.withColumnRenamed("component", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        more = tmp.save(between_components(tmp.save(rest, "rest"), star, sides, texts, words, percent, tmp), "more")
         if not more.isEmpty():
-            links = confirmed(more, texts, words, percent, tmp, "links2").filter("linked").select("u", "v")
-            found = components(links.union(found.select(F.col("component").alias("u"), F.col("id").alias("v"))), tmp, "second")
+            found = components(more.union(found.select(F.col("component").alias("u"), F.col("id").alias("v"))), tmp, "second")
         label = nodes.select(F.col("fp").alias("f"), "id").join(found, "id", "left").select("f", F.coalesce("component", "id").alias("component"))
         out = signed.select("own", "n", "fp").join(tmp.save(label, "label"), F.col("fp") == F.col("f"), "left")
         component = F.when(F.col("own").isNotNull(), F.coalesce("component", "own"))

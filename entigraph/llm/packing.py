@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, small_batches
+from .common import shared_dir, small_batches
 from .pieces import Recent
 
 END_ID = 1
@@ -218,9 +218,9 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, id_col: str = "doc_id
     alone; ranks come from counts by task and length, so no length is gathered in one task.
     """
     spark = docs.sparkSession
-    with scratch(spark) as tmp:
-        pieces = token_pieces(docs, path, capacity, id_col, text_col).checkpoint()
-        tmp.drop()
+    small_batches(spark)
+    shared_dir(spark)
+    pieces = token_pieces(docs, path, capacity, id_col, text_col).checkpoint()
     counts = pieces.groupBy("length", "task").agg(F.count("*").alias("n")).checkpoint()
     total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     plan = spark.sparkContext.broadcast(Plan(total, capacity).table())

@@ -286,3 +286,25 @@ def test_markup_without_an_end():
         begin = time.time()
         html_blocks.blocks(piece * 30_000)
         assert time.time() - begin < 20
+
+
+def test_a_large_group_of_more_and_less_edited_copies(spark, monkeypatch):
+    """Most are too far from the least id; links between the others are found in blocks, and none is lost."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(500)}" for _ in range(140)]
+    texts = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.sample(range(140), 12 if i == 0 else rng.choice([0, 1, 2, 3, 4, 6, 8, 10])):
+            words[at] = f"x{rng.randrange(30)}"
+        texts.append(" ".join(words))
+    out = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs(spark, texts), words=5).collect()}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for t in texts for w in [t.split()]]
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = group[a], group[b]
+                group = [min(x, y) if g in (x, y) else g for g in group]
+    assert 1 < len(set(group)) < 100 and [out[i] for i in range(len(texts))] == group
