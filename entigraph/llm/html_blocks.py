@@ -481,7 +481,7 @@ def labelled(model: Labeller | None, pages: list[list[Block]]) -> list[np.ndarra
 def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = 300, least: float = 0.5) -> DataFrame:
     """`pages` with `text` (the article's blocks joined by two line ends; empty if none) and `n_chars` (its code points).
 
-    The labeller is trained on the `sample` pages with the least id hashes, read on the driver as blocks, of long pages
+    The labeller is trained on the `sample` pages with the least id hashes (of several with one id the least), read on the driver as blocks, of long pages
     as a bounded number of parts; all pages are labelled, from their whole html. If the sample has no text, the
     teacher's word is taken. A null or empty html gives an empty text. Columns of these two names in
     `pages` are replaced. Rows are independent; any may be repeated. An empty table gives an empty result.
@@ -495,7 +495,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([json.dumps(parts_of(blocks(p))) for p in batch.column(0).to_pylist()], pa.string())], ["parts"])
 
-    own = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).orderBy("id").select("html").mapInArrow(cut, "parts string")
+    own = rows.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("html").alias("html")).orderBy("id").select("html").mapInArrow(cut, "parts string")
     taken = [(start, article, [(tuple(path), text, links) for path, text, links in b]) for r in own.collect() for start, article, b in json.loads(r["parts"])]  # `sample` rows, each of bounded size
     model = train(taken)
     shared = spark.sparkContext.broadcast(model and model.w)

@@ -155,7 +155,7 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.9, id_col: str =
 
         dealt = tmp.save(own.select("id", "copies", "v").mapInArrow(cells, "dim int, cell int, home boolean, id long, copies long, v binary"), "cells")
         blocks = lambda test: F.ceil(F.count_if(test) / BLOCK).cast("int")
-        sizes = F.broadcast(dealt.groupBy("dim", "cell").agg(blocks(F.col("home")).alias("homes"), blocks(~F.col("home")).alias("guests")))  # one row per pivot and dimension
+        sizes = tmp.save(dealt.groupBy("dim", "cell").agg(blocks(F.col("home")).alias("homes"), blocks(~F.col("home")).alias("guests")), "sizes")  # one row per pivot and dimension
         dealt = dealt.join(sizes, ["dim", "cell"]).filter("homes > 0").withColumn("part", F.pmod(F.xxhash64("id"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("guests"))).cast("int"))
         every = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.col(c), F.lit(1))), lambda x: x - 1)
         place = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))

@@ -113,11 +113,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
         rows = tmp.save(prepared(vectors, id_col, vec_col).filter("v is not null and id is not null"), "rows")
         own = distinct(rows, tmp, "own")
         held = own.select("dim", "v").mapInArrow(_norms, "dim int, n long, m double").groupBy("dim").agg(F.sum("n").alias("n"), (F.max("m") * (1 + 1e-9)).alias("largest"))
-        held = tmp.save(held.withColumn("shards", F.ceil(F.col("n") / shard_rows).cast("int")), "held")  # one row per dimension
+        held = tmp.save(held.withColumn("shards", F.ceil(F.col("n") / shard_rows).cast("int")), "held")  # one row per dimension: read anew, Spark knows its size
         asked = prepared(queries, id_col, vec_col).filter("v is not null and id is not null").groupBy("id").agg(F.max(F.struct("dim", "v")).alias("q")).select("id", "q.dim", "q.v")
-        plan = F.broadcast(held)
-        index = own.join(plan, "dim").select("dim", F.pmod(F.xxhash64("fp"), "shards").cast("int").alias("shard"), "largest", F.lit(False).alias("query"), "id", "v")
-        ask = asked.join(plan, "dim").select("dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "largest", F.lit(True).alias("query"), "id", "v")
+        index = own.join(held, "dim").select("dim", F.pmod(F.xxhash64("fp"), "shards").cast("int").alias("shard"), "largest", F.lit(False).alias("query"), "id", "v")
+        ask = asked.join(held, "dim").select("dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "largest", F.lit(True).alias("query"), "id", "v")
 
         def searched(batches):
             key = tree = None
