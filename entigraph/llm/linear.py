@@ -35,7 +35,7 @@ def _ids(word: str) -> tuple[int, ...]:
     return tuple(map(feature, (word, *("^" + word[:n] for n in STEMS))))
 
 
-WORD_IDS = Recent(_ids, 200_000)
+WORD_IDS = Recent(_ids, 50_000)
 
 
 def word_features(text: str | None) -> set[int]:
@@ -155,7 +155,7 @@ class Scorer:
 
     def __init__(self, weights: np.ndarray):
         self.w = weights
-        self.words = Recent(lambda word: tuple(i for i in WORD_IDS[word] if weights[i]), 200_000)
+        self.words = Recent(lambda word: tuple(i for i in WORD_IDS[word] if weights[i]), 100_000)
 
     def __call__(self, lowered: str, more: Iterable[int] = ()) -> float:
         """The sum of the weights of all features of a lowered text, of those in `more`, and of the bias."""

@@ -4,7 +4,7 @@ A pass over the texts turns line keys into hashes and sets these in bit maps, se
 keys met again. The maps of all tasks are joined (a bit that two of them have in their once-maps goes to the joint
 twice-map), which gives a superset of the keys that occur in two documents. Only lines whose keys pass the twice-map,
 the suspected repeats, are shuffled; they are counted exactly by their text, and the document that keeps them is
-chosen. The maps get 8 bits for each key that the corpus could hold, up to `most_bits`; where that is too few, more
+chosen. The maps get 4 to 8 bits for each key that the corpus could hold, up to `most_bits`; where that is too few, more
 lines are shuffled for confirmation, and the result stays the same.
 """
 
@@ -55,9 +55,11 @@ class TwiceFilter:
 
 
 def bits_for(texts: DataFrame, least: int, most_bits: int) -> int:
-    """8 bits for each line of `least` characters that the texts (column t, binary) could have at most, as a power of two."""
+    """4 to 8 bits for each line of `least` characters that the texts (column t, binary) could have at most, as a power of two.
+
+    Lines are longer, and some are short or repeated, so that a key gets about 16."""
     size = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    return min(most_bits, max(FEWEST_BITS, 1 << (8 * size // least).bit_length()))
+    return min(most_bits, max(FEWEST_BITS, 1 << (4 * size // least).bit_length()))
 
 
 def _packed(bits: np.ndarray) -> bytes:
