@@ -6,19 +6,29 @@ import re
 import tempfile
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a checkpoint in the shared folder, spark.checkpoint.dir. Where it is unset, a temporary one will
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, spark.checkpoint.dir. Where it is unset, a temporary one will
     do if everything runs in one process; a cluster has to name one."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = sc.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
-            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="shared-"))
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    known = sc._jsc.sc().getCheckpointDir()
+    if not folder and known.isDefined():
+        folder = known.get().rsplit("/", 1)[0]
+    if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    folder = folder or "file://" + tempfile.mkdtemp(prefix="shared-")
+    if known.isEmpty():
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
