@@ -43,7 +43,7 @@ def gathered(df: DataFrame, by: str, order: str, piece) -> DataFrame:
 
 @query("""
 SELECT 'https://www.usa.gov/n/' || n_nationkey AS source_record_id, n_name AS source_name, 'https://k' || n_nationkey || '.gov' AS website, 'About ' || n_name || ' no site' AS description FROM nation
-UNION ALL SELECT 'https://u/0#sharedoffice', 'Shared  Office'.replace('  ', ' '), '', 'x'
+UNION ALL SELECT 'https://u/0#sharedoffice', 'Shared Office', '', 'x'
 """)
 def agency_index(spark, d):
     """A page for each region, its nations under headings; one heading is on all pages."""
@@ -275,11 +275,7 @@ def site_crawl(spark, d):
 
 @query("""
 SELECT 'N' || n_nationkey AS organization_id, i AS report, ['strategic_plan', 'annual_performance_report'][i] AS report_type, ['Plan', 'Annual Performance Report FY23'][i] AS report_title, ['2024', '2023'][i] AS years,
-       'https://n' || n_nationkey || '.gov/files/' || ['strategic-plan-2024.pdf', 'apr_fy23.pdf'][i] AS report_url, 'failed:ValueError:unsupported_document_type' AS download_status
-FROM nation, unnest([1, 2]) u(i) WHERE n_nationkey % 5 = 4 AND i = 0
-UNION ALL
-SELECT 'N' || n_nationkey, i, ['strategic_plan', 'annual_performance_report'][i], ['Plan', 'Annual Performance Report FY23'][i], ['2024', '2023'][i],
-       'https://n' || n_nationkey || '.gov/files/' || ['strategic-plan-2024.pdf', 'apr_fy23.pdf'][i], 'downloaded' FROM nation, unnest([1, 2]) u(i) WHERE n_nationkey % 5 = 4
+       'https://n' || n_nationkey || '.gov/files/' || ['strategic-plan-2024.pdf', 'apr_fy23.pdf'][i] AS report_url, 'downloaded' AS download_status FROM nation, unnest([1, 2]) u(i) WHERE n_nationkey % 5 = 4
 """)
 def site_reports(spark, d):
     """The reports on those sites, downloaded into the store."""
@@ -297,7 +293,7 @@ def exported_posts(spark, d):
     return spark.read.csv(path, header=True, multiLine=True, escape='"').select("post_title", "post_slug", "aliases", "external_id")
 
 
-@query("SELECT n_nationkey, sha256(n_name) AS sha256, CASE WHEN n_nationkey % 2 = 0 THEN sha256(n_name) || '.html' ELSE '' END AS file FROM nation".replace("sha256(n_name) AS", "CASE WHEN n_nationkey % 2 = 0 THEN sha256(n_name) ELSE '' END AS"))
+@query("SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN sha256(n_name) ELSE '' END AS sha256, CASE WHEN n_nationkey % 2 = 0 THEN sha256(n_name) || '.html' ELSE '' END AS file FROM nation")
 def stored_snapshots(spark, d):
     """Names of nations as bodies of a store whose files are called by their digests."""
     rows = t(spark, d, "nation").select("n_nationkey", F.col("n_name").cast("binary").alias("body"), F.when(F.col("n_nationkey") % 2 == 0, "html").alias("ending"))
@@ -360,8 +356,8 @@ def constrained_unions(spark, d):
 SELECT organization_id, alias, {norm("alias")} AS normalized_alias, alias_type, string_agg(DISTINCT s, '|' ORDER BY s) AS sources, count(DISTINCT s) AS source_count
 FROM (SELECT 'O' || p_name AS organization_id, p_name || ' (' || upper(p_type) || ')' AS alias, 'source_name' AS alias_type, CASE WHEN p_partkey % 4 < 2 THEN 'OPM Federal Workforce Data' ELSE 'Other' END AS s FROM part
       UNION ALL SELECT 'O' || p_name, upper(p_type), 'source_acronym', CASE WHEN p_partkey % 4 < 2 THEN 'OPM Federal Workforce Data' ELSE 'Other' END FROM part)
-GROUP BY ALL
-""".replace("GROUP BY ALL", "GROUP BY organization_id, alias, alias_type"))
+GROUP BY organization_id, alias, alias_type
+""")
 def alias_evidence(spark, d):
     r = O.normalize_records(parts_as_records(spark, d)).withColumn("canonical_external_id", made("O", "{base_name}"))
     return O.alias_rows(r).select("organization_id", "alias", "normalized_alias", "alias_type", "sources", "source_count")
