@@ -33,7 +33,7 @@ _RANDOM = mixed(np.arange(1, 2 * K + 1, dtype=np.uint64) * np.uint64(0x9E3779B97
 FACTOR, SHIFT = (_RANDOM[:K] | np.uint64(1))[:, None], _RANDOM[K:][:, None]
 PLACE = (np.arange(K, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))[:, None]
 WIDE, WIDE_T = 512, 368
-BLOCK, BLOCK_BYTES = 512, 16 << 20  # of a side of a block: members, bytes of their texts
+BLOCK, BLOCK_BYTES = 256, 16 << 20  # of a side of a block: members, bytes of their texts
 _WIDE = (mixed(np.arange(1, 2 * WIDE + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(32)).astype(np.uint32)
 WIDE_FACTOR, WIDE_SHIFT = (_WIDE[:WIDE] | np.uint32(1))[:, None], _WIDE[WIDE:][:, None]
 LONGS = [f"s{i}" for i in range(WIDE // 8)]
@@ -133,57 +133,85 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int, tmp:
     return tmp.save(rows.select("u", "v", "tu", "tv").mapInArrow(check, "u long, v long, similarity double, linked boolean"), name)
 
 
+def _blocks(rows: DataFrame, tmp: Scratch, name: str) -> DataFrame:
+    """(hub, i, j, left, ...): members outside their list's largest component beside all members, in blocks of both."""
+    blocks = lambda test: F.ceil(F.greatest(F.count_if(test) / BLOCK, F.sum(F.when(test, F.col("bytes"))) / BLOCK_BYTES)).cast("int")
+    sizes = tmp.save(rows.groupBy("hub").agg(blocks(F.col("outside")).alias("lefts"), blocks(F.lit(True)).alias("rights")).filter("lefts > 0"), name)
+    own, rows = [c for c in rows.columns if c not in ("hub", "bytes")], rows.join(sizes, "hub")
+    place = lambda many: F.pmod(F.xxhash64("id"), many).cast("int")
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+    left = rows.filter("outside").select("hub", place(F.col("lefts")).alias("i"), every("rights").alias("j"), F.lit(True).alias("left"), *own)
+    right = rows.select("hub", every("lefts").alias("i"), place(F.col("rights")).alias("j"), F.lit(False).alias("left"), *own)
+    return left.union(right)
+
+
+class _Block:
+    """The two sides of a block, and which pairs of them may be linked: in different components, with enough agreeing coordinates."""
+
+    def __init__(self, rows: pd.DataFrame, percent: int):
+        rows = rows.sort_values("id")
+        self.ids, self.n, self.near = rows["id"].to_numpy(), rows["n"].to_numpy(), rows["similarity"].to_numpy().astype(float)  # nan: not known
+        self.outside, left = rows["outside"].to_numpy(bool), rows["left"].to_numpy(bool)
+        self.keys, self.wide = np.stack(rows["keys"].to_numpy()), np.stack(rows["wide"].to_numpy()).astype(np.int64).view(np.uint8)
+        self.left, self.right, self.percent = np.flatnonzero(left), np.flatnonzero(~left), percent
+        self.group = np.unique(rows["comp"].to_numpy(), return_inverse=True)[1]
+        self.t = rows["t"].to_numpy() if "t" in rows else None
+
+    def candidates(self, k: int) -> np.ndarray:
+        """The right side's rows that may be linked with row k, those with the most agreeing coordinates first."""
+        at, n = self.right, self.n
+        fit = 100 * np.minimum(n[k], n[at]) >= self.percent * np.maximum(n[k], n[at])
+        met = self.outside[at] & (self.ids[at] < self.ids[k])  # with the sides exchanged
+        apart = np.abs(self.near[at] - self.near[k]) > 1 - self.percent / 100 + 1e-9
+        at = at[fit & ~met & ~apart & (self.group[at] != self.group[k])]
+        at = at[(self.keys[at] == self.keys[k]).sum(1) >= T]
+        agree = (self.wide[at] == self.wide[k]).sum(1)
+        return at[np.argsort(-agree, kind="stable")[: int((agree >= WIDE_T).sum())]]
+
+
 def between_components(members: DataFrame, star: DataFrame, sides: DataFrame, texts: DataFrame, words: int, percent: int, tmp: Scratch) -> DataFrame:
     """Links (u, v) between members (hub, id, comp) of one list that lie in different components; enough to join all that have any.
 
-    Members outside the list's largest component are compared with all others, in blocks: a block reads the signatures and
-    texts of its two sides and gives a spanning forest of the links it finds, never pairs.
+    Members outside the list's largest component are compared with all others, in blocks: first by their signatures, which
+    tells who has a candidate at all; then those with their texts. A block gives a spanning forest of the links it finds, never pairs.
     """
     several = members.groupBy("hub", "comp").agg(F.count("*").alias("k")).groupBy("hub").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count("*").alias("comps"))
     several = tmp.save(several.filter("comps > 1").drop("comps"), "several")
     rows = members.join(several, "hub").join(star.select(F.col("u").alias("hub"), F.col("v").alias("id"), "similarity"), ["hub", "id"], "left")
-    rows = rows.join(sides.select("id", "n", "keys", F.array(*LONGS).alias("wide")), "id").join(texts, "id").withColumn("outside", F.col("comp") != F.col("main")).drop("main")
+    rows = rows.join(sides.select("id", "n", "keys", F.array(*LONGS).alias("wide")), "id").withColumn("outside", F.col("comp") != F.col("main")).drop("main")
     rows = tmp.save(rows, "members")
-    blocks = lambda test: F.ceil(F.greatest(F.count_if(test) / BLOCK, F.sum(F.when(test, F.octet_length("t"))) / BLOCK_BYTES)).cast("int")
-    sizes = tmp.save(rows.groupBy("hub").agg(blocks(F.col("outside")).alias("lefts"), blocks(F.lit(True)).alias("rights")), "sizes")
-    rows = rows.join(sizes, "hub")
-    place = lambda many: F.pmod(F.xxhash64("id"), many).cast("int")
-    every = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
-    own = ["id", "comp", "outside", "similarity", "n", "keys", "wide", "t"]
-    left = rows.filter("outside").select("hub", place(F.col("lefts")).alias("i"), every("rights").alias("j"), F.lit(True).alias("left"), *own)
-    right = rows.select("hub", every("lefts").alias("i"), place(F.col("rights")).alias("j"), F.lit(False).alias("left"), *own)
 
-    def compared(block: pd.DataFrame) -> pd.DataFrame:
+    def promising(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        block, some = _Block(rows, percent), set()
+        for k in block.left:
+            found = block.candidates(k)
+            if len(found):
+                some.update(block.ids[found].tolist(), [int(block.ids[k])])
+        return pd.DataFrame({"hub": np.full(len(some), key[0]), "id": np.array(sorted(some), np.int64)})
+
+    def compared(rows: pd.DataFrame) -> pd.DataFrame:
         """Links between the components of a block; those that are joined already are not compared any more."""
-        block = block.sort_values("id")
-        ids, comp, near, n = (block[c].to_numpy() for c in ("id", "comp", "similarity", "n"))
-        outside, side = block["outside"].to_numpy(bool), block["left"].to_numpy(bool)
-        keys, wide = np.stack(block["keys"].to_numpy()), np.stack(block["wide"].to_numpy()).astype(np.int64).view(np.uint8)
-        near = near.astype(float)  # nan: not known
-        at, sets, out = np.flatnonzero(~side), {}, []
-        _, group = np.unique(comp, return_inverse=True)
+        block, sets, out = _Block(rows, percent), {}, []
 
         def shingles(k: int) -> np.ndarray:
             if k not in sets:
-                sets[k] = shingle_set(bytes(block["t"].iloc[k]), words)
+                sets[k] = shingle_set(bytes(block.t[k]), words)
             return sets[k]
 
-        for k in np.flatnonzero(side):
-            sizes = 100 * np.minimum(n[k], n[at]) >= percent * np.maximum(n[k], n[at])
-            some = at[sizes & ~(outside[at] & (ids[at] < ids[k])) & ~(np.abs(near[at] - near[k]) > 1 - percent / 100 + 1e-9)]
-            some = some[(group[some] != group[k])]
-            some = some[(keys[some] == keys[k]).sum(1) >= T]
-            agree = (wide[some] == wide[k]).sum(1)
-            for x in some[np.argsort(-agree, kind="stable")][: int((agree >= WIDE_T).sum())]:
-                if group[x] == group[k]:
-                    continue
-                both = len(np.intersect1d(shingles(k), shingles(x), assume_unique=True))
-                if 100 * both >= percent * (n[k] + n[x] - both):
-                    out.append((min(ids[k], ids[x]), max(ids[k], ids[x])))
-                    group[group == group[x]] = group[k]
+        ids, n, group = block.ids, block.n, block.group
+        for k in block.left:
+            for x in block.candidates(k):
+                if group[x] != group[k]:
+                    both = len(np.intersect1d(shingles(k), shingles(x), assume_unique=True))
+                    if 100 * both >= percent * (n[k] + n[x] - both):
+                        out.append((min(ids[k], ids[x]), max(ids[k], ids[x])))
+                        group[group == group[x]] = group[k]
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    return left.union(right).groupBy("hub", "i", "j").applyInPandas(compared, "u long, v long").distinct()
+    some = _blocks(rows.withColumn("bytes", F.lit(1000)), tmp, "sizes").groupBy("hub", "i", "j").applyInPandas(promising, "hub long, id long")
+    some = tmp.save(some.distinct(), "promising")
+    rows = rows.join(some, ["hub", "id"]).join(texts, "id").withColumn("bytes", F.octet_length("t"))
+    return _blocks(tmp.save(rows, "with-texts"), tmp, "sizes-2").groupBy("hub", "i", "j").applyInPandas(compared, "u long, v long").distinct()
 
 
 def numbered(signed: DataFrame, texts: DataFrame, words: int, tmp: Scratch) -> tuple[DataFrame, DataFrame, DataFrame | None]:
