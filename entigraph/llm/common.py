@@ -46,6 +46,17 @@ def remove(spark: SparkSession, folder: str) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """The session's setting until the block ends."""
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
+
+
 class Scratch:
     """Parquet tables in the shared folder that live until the operator returns."""
 
@@ -54,8 +65,10 @@ class Scratch:
         self.root = f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
+        """`df` as a table. What was shuffled for it goes when it is written, not when the driver happens to collect garbage."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        with setting(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:

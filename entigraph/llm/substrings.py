@@ -248,6 +248,8 @@ def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFr
         own = sums.groupBy("sum").agg(F.min("id").alias("own"), F.count("*").alias("n")).filter("n > 1").drop("n")
         own = tmp.save(own, "own")  # read anew, as `often` below: a frequent key's rows can be split in the join
         copies = tmp.save(sums.join(own, "sum").filter("id <> own").select("id"), "copies")
+        tmp.drop("sums")
+        tmp.drop("own")
         found = tmp.save(texts.mapInArrow(find, "h long, id long, at int, total int"), "anchors")
         often = tmp.save(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h", (F.col("n") > hot).alias("often")), "often")
         places = found.join(often, "h").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "h", "often"))).alias("places"), F.max("total").alias("total"))
@@ -255,8 +257,8 @@ def repeated_spans(texts: DataFrame, width: int = 20, hot: int = 5000) -> DataFr
         places = tmp.save(places.join(copied, "id", "left").filter("copied is null").drop("copied"), "places")
         whole = found.select("id", "total").groupBy("id").agg(F.max("total").alias("total")).join(copies, "id")
         whole = tmp.save(whole.select("id", F.array(F.struct(F.lit(0).alias("a"), F.col("total").alias("b"))).alias("spans")), "whole")
-        for name in ("anchors", "often", "sums", "own"):
-            tmp.drop(name)
+        tmp.drop("anchors")
+        tmp.drop("often")
         near = texts.join(places.select("id", "places"), "id").select("id", "t", "places").mapInArrow(surroundings, "key long, seq binary, id long, start int, often boolean")
         distinct = near.groupBy("key", "seq", "often").agg(F.min("id").alias("id"), F.min_by("start", "id").alias("start"))
         dealt = distinct.repartition("key").sortWithinPartitions("key", "often")
