@@ -152,19 +152,22 @@ class _Block:
         rows = rows.sort_values("id")
         self.ids, self.n, self.near = rows["id"].to_numpy(), rows["n"].to_numpy(), rows["similarity"].to_numpy().astype(float)  # nan: not known
         self.outside, left = rows["outside"].to_numpy(bool), rows["left"].to_numpy(bool)
-        self.keys, self.wide = np.stack(rows["keys"].to_numpy()), np.stack(rows["wide"].to_numpy()).astype(np.int64).view(np.uint8)
+        self.keys = np.stack(rows["keys"].to_numpy())
+        self.wide = np.stack(rows["wide"].to_numpy()).astype(np.int64).view(np.uint8) if "wide" in rows else None
         self.left, self.right, self.percent = np.flatnonzero(left), np.flatnonzero(~left), percent
         self.group = np.unique(rows["comp"].to_numpy(), return_inverse=True)[1]
         self.t = rows["t"].to_numpy() if "t" in rows else None
 
     def candidates(self, k: int) -> np.ndarray:
-        """The right side's rows that may be linked with row k, those with the most agreeing coordinates first."""
+        """The right side's rows that may be linked with row k; with wide signatures, those with the most agreeing coordinates first."""
         at, n = self.right, self.n
         fit = 100 * np.minimum(n[k], n[at]) >= self.percent * np.maximum(n[k], n[at])
         met = self.outside[at] & (self.ids[at] < self.ids[k])  # with the sides exchanged
         apart = np.abs(self.near[at] - self.near[k]) > 1 - self.percent / 100 + 1e-9
         at = at[fit & ~met & ~apart & (self.group[at] != self.group[k])]
         at = at[(self.keys[at] == self.keys[k]).sum(1) >= T]
+        if self.wide is None:
+            return at
         agree = (self.wide[at] == self.wide[k]).sum(1)
         return at[np.argsort(-agree, kind="stable")[: int((agree >= WIDE_T).sum())]]
 
@@ -172,13 +175,13 @@ class _Block:
 def between_components(members: DataFrame, star: DataFrame, sides: DataFrame, texts: DataFrame, words: int, percent: int, tmp: Scratch) -> DataFrame:
     """Links (u, v) between members (hub, id, comp) of one list that lie in different components; enough to join all that have any.
 
-    Members outside the list's largest component are compared with all others, in blocks: first by their signatures, which
-    tells who has a candidate at all; then those with their texts. A block gives a spanning forest of the links it finds, never pairs.
+    Members outside the list's largest component are compared with all others, in blocks: first by their posted coordinates,
+    which tells who has a candidate at all; then those with their wide signatures and texts. A block gives a spanning forest of the links it finds, never pairs.
     """
     several = members.groupBy("hub", "comp").agg(F.count("*").alias("k")).groupBy("hub").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count("*").alias("comps"))
     several = tmp.save(several.filter("comps > 1").drop("comps"), "several")
     rows = members.join(several, "hub").join(star.select(F.col("u").alias("hub"), F.col("v").alias("id"), "similarity"), ["hub", "id"], "left")
-    rows = rows.join(sides.select("id", "n", "keys", F.array(*LONGS).alias("wide")), "id").withColumn("outside", F.col("comp") != F.col("main")).drop("main")
+    rows = rows.join(sides.select("id", "n", "keys"), "id").withColumn("outside", F.col("comp") != F.col("main")).drop("main")
     rows = tmp.save(rows, "members")
 
     def promising(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -208,9 +211,9 @@ def between_components(members: DataFrame, star: DataFrame, sides: DataFrame, te
                         group[group == group[x]] = group[k]
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    some = _blocks(rows.withColumn("bytes", F.lit(1000)), tmp, "sizes").groupBy("hub", "i", "j").applyInPandas(promising, "hub long, id long")
+    some = _blocks(rows.withColumn("bytes", F.lit(500)), tmp, "sizes").groupBy("hub", "i", "j").applyInPandas(promising, "hub long, id long")
     some = tmp.save(some.distinct(), "promising")
-    rows = rows.join(some, ["hub", "id"]).join(texts, "id").withColumn("bytes", F.octet_length("t"))
+    rows = rows.join(some, ["hub", "id"]).join(sides.select("id", F.array(*LONGS).alias("wide")), "id").join(texts, "id").withColumn("bytes", F.octet_length("t"))
     return _blocks(tmp.save(rows, "with-texts"), tmp, "sizes-2").groupBy("hub", "i", "j").applyInPandas(compared, "u long, v long").distinct()
 
 
