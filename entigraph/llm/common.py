@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import re
 import tempfile
@@ -86,6 +87,16 @@ def scratch(spark: SparkSession):
         s.drop()
 
 
+def kept_table(df: DataFrame) -> DataFrame:
+    """`df` as a table in the shared folder that a result goes on reading; it goes with the driver's process."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.option("compression", "zstd").parquet(path)
+    atexit.register(remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

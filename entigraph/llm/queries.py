@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_blocks, lines, neardup, packing, pieces, quality, substrings, toxicity, vecdup, vptree
+from . import html_blocks, lines, manifest, neardup, packing, pieces, quality, substrings, toxicity, vecdup, vptree
 from .common import table
 
 
@@ -74,7 +74,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_nearest_neighbours, op3_toxicity, op4_html_extraction, op5_best_fit_packing, op6_substring_dedup, op7_embedding_near_dedup, op8_quality, op9_sentencepiece, op10_line_dedup)}
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, manifest.leaf_digest(*fields, F.replace("text", F.lit("\n"), F.lit(""))))
+    out = manifest.manifest(table(spark, sf_dir, "documents"), carried={"tampered": tampered})
+    siblings = F.array_join(F.transform("proof", lambda step: F.concat(step["before"], step["after"])), "")
+    out = out.withColumn("proof_sha256", F.sha2(siblings, 256)).withColumn("folded_root", manifest.folded(F.coalesce("tampered", "leaf"), "proof"))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_nearest_neighbours, op3_toxicity, op4_html_extraction, op5_best_fit_packing, op6_substring_dedup, op7_embedding_near_dedup, op8_quality, op9_sentencepiece, op10_line_dedup, op13_merkle_manifest)}
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -126,3 +136,33 @@ c AS (SELECT x AS vec_id, min(y) AS component_id FROM r GROUP BY x),
 n AS (SELECT x AS vec_id, count(*) AS n_links FROM e GROUP BY x)
 SELECT c.vec_id, coalesce(n_links, 0) AS n_links, component_id, c.vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
 """
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+_FIELDS = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_CRC32 = """list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT), lambda crc, b: list_reduce(
+      [xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
+
+# t: nodes of the sources' trees, then u: of the tree over their roots; step: the siblings before and after a leaf's node.
+ORACLES["op13_merkle_manifest"] = f"""
+WITH RECURSIVE leaf AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+      FROM (SELECT doc_id, source, sha256({_FIELDS} || {_FIELD.format('text')}) AS leaf,
+            CASE WHEN xor({_CRC32}, 4294967295) % 2 = 0 THEN sha256({_FIELDS} || {_FIELD.format("replace(text, chr(10), '')")}) END AS tampered FROM documents)),
+t AS (SELECT source, 0 AS lvl, i, leaf AS h, n FROM leaf UNION ALL
+      SELECT source, lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM t WHERE n > 1 GROUP BY source, lvl, i // 3, n),
+sub AS (SELECT source, lvl AS depth, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS j, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS lvl, j AS i, subroot AS h, n FROM sub UNION ALL
+      SELECT lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM u WHERE n > 1 GROUP BY lvl, i // 3, n),
+step AS (SELECT doc_id, leaf.source, leaf.i, t.lvl AS k, coalesce(string_agg(t.h, '' ORDER BY t.i) FILTER (WHERE t.i < leaf.i // (3 ** t.lvl)::BIGINT), '') AS a,
+            coalesce(string_agg(t.h, '' ORDER BY t.i) FILTER (WHERE t.i > leaf.i // (3 ** t.lvl)::BIGINT), '') AS z
+      FROM leaf JOIN t ON leaf.source IS NOT DISTINCT FROM t.source AND t.n > 1 AND t.i // 3 = leaf.i // (3 ** (t.lvl + 1))::BIGINT GROUP BY ALL
+      UNION ALL SELECT doc_id, leaf.source, leaf.i, sub.depth + u.lvl, coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (WHERE u.i < sub.j // (3 ** u.lvl)::BIGINT), ''),
+            coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (WHERE u.i > sub.j // (3 ** u.lvl)::BIGINT), '')
+      FROM leaf JOIN sub ON leaf.source IS NOT DISTINCT FROM sub.source JOIN u ON u.n > 1 AND u.i // 3 = sub.j // (3 ** (u.lvl + 1))::BIGINT GROUP BY ALL),
+fold AS (SELECT source, i, 0 AS k, coalesce(tampered, leaf) AS h FROM leaf UNION ALL
+      SELECT fold.source, fold.i, fold.k + 1, sha256(a || h || z) FROM fold JOIN step ON fold.source IS NOT DISTINCT FROM step.source AND fold.i = step.i AND fold.k = step.k),
+proof AS (SELECT source, i, string_agg(a || z, '' ORDER BY k) AS p FROM step GROUP BY ALL)
+SELECT leaf.doc_id, leaf.leaf, sub.subroot, u.h AS root, sha256(coalesce(proof.p, '')) AS proof_sha256, last.h AS folded_root, last.h = u.h AS verified
+FROM leaf JOIN sub ON leaf.source IS NOT DISTINCT FROM sub.source JOIN u ON u.n = 1
+LEFT JOIN proof ON leaf.source IS NOT DISTINCT FROM proof.source AND leaf.i = proof.i
+JOIN (SELECT source, i, arg_max(h, k) AS h FROM fold GROUP BY ALL) last ON leaf.source IS NOT DISTINCT FROM last.source AND leaf.i = last.i
+"""
