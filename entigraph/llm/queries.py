@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_blocks, lines, manifest, neardup, packing, pieces, quality, substrings, toxicity, vecdup, vptree
+from . import bytebpe, html_blocks, lines, manifest, neardup, packing, pieces, quality, substrings, toxicity, vecdup, vptree
 from .common import table
 
 
@@ -74,6 +74,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = bytebpe.encode_ranked(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select(
+        "doc_id",
+        F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
     even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
@@ -84,7 +96,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_nearest_neighbours, op3_toxicity, op4_html_extraction, op5_best_fit_packing, op6_substring_dedup, op7_embedding_near_dedup, op8_quality, op9_sentencepiece, op10_line_dedup, op13_merkle_manifest)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_nearest_neighbours, op3_toxicity, op4_html_extraction, op5_best_fit_packing, op6_substring_dedup, op7_embedding_near_dedup, op8_quality, op9_sentencepiece, op10_line_dedup, op12_byte_bpe, op13_merkle_manifest)}
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
