@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytebpe, html_blocks, lines, manifest, neardup, packing, pieces, quality, substrings, toxicity, vecdup, vptree
+from . import bytebpe, html_blocks, lexical, lines, manifest, neardup, packing, pieces, quality, substrings, toxicity, vecdup, vptree
 from .common import table
 
 
@@ -74,6 +74,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -96,7 +100,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_nearest_neighbours, op3_toxicity, op4_html_extraction, op5_best_fit_packing, op6_substring_dedup, op7_embedding_near_dedup, op8_quality, op9_sentencepiece, op10_line_dedup, op12_byte_bpe, op13_merkle_manifest)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_nearest_neighbours, op3_toxicity, op4_html_extraction, op5_best_fit_packing, op6_substring_dedup, op7_embedding_near_dedup, op8_quality, op9_sentencepiece, op10_line_dedup, op11_ranked_search, op12_byte_bpe, op13_merkle_manifest)}
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -178,3 +182,17 @@ FROM leaf JOIN sub ON leaf.source IS NOT DISTINCT FROM sub.source JOIN u ON u.n
 LEFT JOIN proof ON leaf.source IS NOT DISTINCT FROM proof.source AND leaf.i = proof.i
 JOIN (SELECT source, i, arg_max(h, k) AS h FROM fold GROUP BY ALL) last ON leaf.source IS NOT DISTINCT FROM last.source AND leaf.i = last.i
 """
+
+_TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+ORACLES["op11_ranked_search"] = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_TERM}) AS ts FROM documents),
+s AS (SELECT count(*) AS docs, sum(len(ts))::BIGINT AS tokens FROM d WHERE len(ts) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_TERM})) AS t FROM benchmark),
+w AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY t, docs),
+x AS (SELECT item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(ts) * docs) // tokens))))::BIGINT AS score
+      FROM q JOIN w USING (t) JOIN tf USING (t) JOIN d USING (r), s GROUP BY item_id, doc_id, r),
+y AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM y WHERE rank <= 50
+"""
