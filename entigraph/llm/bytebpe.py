@@ -44,8 +44,8 @@ DECODE = "SELECT d, unhex(string_agg(hex, '' ORDER BY i)) AS part FROM ids JOIN
 
 
 @lru_cache(maxsize=1)
-def newer() -> regex.Pattern:
-    """Letters and numbers that the library's pattern engine, of an older Unicode version, doesn't know yet."""
+def newer() -> dict[int, str]:
+    """Letters and numbers that the library's pattern engine, of an older Unicode version, doesn't know yet, and what stands in for them."""
     out: list[str] = []
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     for kind in (r"\p{L}", r"\p{N}"):
@@ -53,12 +53,17 @@ def newer() -> regex.Pattern:
         here = regex.findall(kind, every)
         known = set(bytes(library.encode_ordinary("".join(here))).decode())
         out += [c for c in here if c not in known]
-    return regex.compile(f"[{''.join(out)}]" if out else "(?!)")
+    return str.maketrans(dict.fromkeys(out, "\uffff"))
+
+
+@lru_cache(maxsize=1)
+def newer_set() -> frozenset[str]:
+    return frozenset(map(chr, newer()))
 
 
 def split_again(text: str, words: regex.Pattern) -> list[str]:
     """The matches if newer characters count as unassigned ones."""
-    return [text[m.start() : m.end()] for m in words.finditer(newer().sub("\uffff", text))]
+    return [text[m.start() : m.end()] for m in words.finditer(text.translate(newer()))]
 
 
 class RankModel:
@@ -155,13 +160,13 @@ class RankModel:
         known = self.known
         split = [words.findall(t) for t in texts]
         new = {x for own in split for x in own if x not in known}
-        if odd := {x for x in new if newer().search(x)}:
+        if odd := {x for x in new if not newer_set().isdisjoint(x)}:
             split = [own if odd.isdisjoint(own) else split_again(t, words) for t, own in zip(texts, split, strict=True)]
             new = {x for own in split for x in own if x not in known}
         known.update(self.word_ids(new))
         out = [b"".join(map(known.__getitem__, own)) for own in split]
         for x in new:
-            if len(x) >= LONG or odd and newer().search(x):  # the latter have to be seen each time
+            if len(x) >= LONG or odd and not newer_set().isdisjoint(x):  # the latter have to be seen each time
                 del known[x]
         return out
 
