@@ -22,15 +22,17 @@ def structural_unit(df: DataFrame, loose_level: bool) -> Column:
     return F.when(is_opm & (dept != "") & unit, dept).otherwise(F.lit(""))
 
 
-def _named(name: Column) -> Column:
-    return F.struct(name.alias("name"), N.normalize_name(name).alias("norm"), N.moved_designator(name).alias("moved"), N.identity_keys(name).alias("keys"))
+def _disagreeing(asked: DataFrame) -> DataFrame:
+    """The roots of (root, asked: sorted distinct names) of which a name differs in substance from the first.
 
-
-def _disagree(named: Column) -> Column:
-    """Whether any name differs in substance from the first in order; `named` is a sorted array of _named structs."""
-    first = named[0]
+    Forms and keys are made once for each distinct name, however many roots have it.
+    """
+    some = reliable(asked.filter(F.size("asked") > 1).select("root", F.explode("asked").alias("name")))
+    forms = some.select("name").distinct().withColumns({"norm": N.normalize_name("name"), "moved": N.moved_designator("name"), "keys": N.identity_keys("name")})
+    named = some.join(forms, "name").groupBy("root").agg(F.sort_array(F.collect_list(F.struct("name", "norm", "moved", "keys"))).alias("named"))
+    first = F.col("named")[0]
     same = lambda n: (n["norm"] == first["norm"]) | (n["moved"] == first["moved"]) | F.arrays_overlap(n["keys"], first["keys"])
-    return (F.size(named) > 1) & F.exists(named, lambda n: ~same(n))
+    return named.filter(F.exists("named", lambda n: ~same(n))).select("root", F.lit(True).alias("differs"))
 
 
 def choose_names(records: DataFrame, preferred: DataFrame) -> DataFrame:
@@ -57,20 +59,22 @@ def choose_names(records: DataFrame, preferred: DataFrame) -> DataFrame:
         (~F.col("shown").contains(",")).cast("int"), F.length("shown"), F.lower("exact"), "rid", -F.col("rec_idx"),
     )
     best = rows.groupBy("root").agg(F.max_by(F.struct("source", "rid", "as_of", "tier", "unit", "exact", "shown"), order).alias("c"))
-    rows = reliable(rows.join(best, "root").withColumns({"e": _named(F.col("exact")), "s": _named(F.col("shown"))}))
+    rows = rows.join(best, "root")
     gov = F.col("tier") == "govinfo_govman"
     latest = gov & ((F.col("c.as_of") == "") | (F.col("as_of") == F.col("c.as_of")))
     shorter = (F.col("c.unit") != "") & (F.col("unit") == F.col("c.unit")) & (F.length("shown") < F.length("c.shown"))
     named = rows.groupBy("root").agg(
         F.first("c").alias("c"),
-        F.sort_array(F.collect_set(F.when(latest, F.col("e")))).alias("latest"),
-        F.sort_array(F.collect_set(F.when(~shorter, F.col("s")))).alias("compared"),
+        F.sort_array(F.collect_set(F.when(latest, F.col("exact")))).alias("latest"),
+        F.sort_array(F.collect_set(F.when(~shorter, F.col("shown")))).alias("compared"),
         F.sort_array(F.collect_set(F.when(F.col("shown") != "", F.col("shown")))).alias("all_names"),
     )
-    named = named.join(preferred, "root", "left")
+    named = reliable(named.join(preferred, "root", "left"))
     is_gov = F.col("c.tier") == "govinfo_govman"
     human = ~is_gov & (N.text("preferred_name") != "")
-    conflict = F.when(is_gov, _disagree(F.col("latest"))).when(human, F.lit(False)).otherwise(_disagree(F.col("compared")))
+    asked = named.filter(~human).select("root", F.when(is_gov, F.col("latest")).otherwise(F.col("compared")).alias("asked"))
+    named = named.join(_disagreeing(asked), "root", "left")
+    conflict = F.coalesce("differs", F.lit(False))
     pick = lambda g, h, other: F.when(is_gov, g).when(human, h).otherwise(other)
     return named.select(
         "root",
@@ -81,5 +85,5 @@ def choose_names(records: DataFrame, preferred: DataFrame) -> DataFrame:
         pick(F.lit("govinfo_govman"), F.lit("human_review"), F.col("c.tier")).alias("tier"),
         F.when(is_gov & conflict, "GovInfo conflict - naming review").when(is_gov, "GovInfo authoritative").when(human, "Reviewed fallback name").when(conflict, "Fallback provisional - naming review").otherwise("Fallback source hierarchy").alias("name_status"),
         conflict.alias("needs_review"),
-        F.when(is_gov, F.col("latest.name")).otherwise(F.col("all_names")).alias("variants"),
+        F.when(is_gov, F.col("latest")).otherwise(F.col("all_names")).alias("variants"),
     )

@@ -68,14 +68,35 @@ def override_matches(records: DataFrame, overrides: DataFrame) -> DataFrame:
     return asked.join(side("lk", "left_ids"), "o_idx").join(side("rk", "right_ids"), "o_idx").drop("lk", "rk")
 
 
-def score_pairs(pairs: DataFrame) -> DataFrame:
-    """Adds score and reasons to pairs of records a and b (structs of normalized records); for review, never for merging."""
+def ratio_bound(a: Column, b: Column) -> Column:
+    """At least the indel ratio of two texts: no common subsequence has more of a character than either text has."""
+    chars = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
+    of = lambda x, c: F.length(c) - F.length(F.replace(c, x))
+    both = F.aggregate(F.array_distinct(chars(a)), F.lit(0), lambda s, x: s + F.least(of(x, a), of(x, b)).cast("int"))
+    total = F.length(a) + F.length(b)
+    return F.when(total == 0, F.lit(100.0)).otherwise(200.0 * both / total)
+
+
+def score_pairs(pairs: DataFrame, threshold: float | None = None) -> DataFrame:
+    """Adds score and reasons to pairs of records a and b (structs of normalized records); for review, never for merging.
+
+    With a threshold only pairs that reach it come back. The score never falls when the ratio rises, so pairs that stay
+    below it with a bound of their ratio, found by expressions alone, are not measured.
+    """
+    if threshold is not None:
+        likely = _scored(pairs.withColumn("ratio", ratio_bound(F.col("a.normalized_name"), F.col("b.normalized_name")))).filter(F.col("score") >= threshold)
+        return score_pairs(likely.select(*pairs.columns)).filter(F.col("score") >= threshold)
+    return _scored(pairs.withColumn("ratio", indel_ratio("a.normalized_name", "b.normalized_name")))
+
+
+def _scored(df: DataFrame) -> DataFrame:
+    """`df` of a, b and ratio with score and reasons instead of the ratio."""
+    out = [c for c in df.columns if c != "ratio"]
     a, b = F.col("a"), F.col("b")
     tokens = lambda r: F.array_distinct(r["match_tokens"])
     blank = (a["normalized_name"] == "") | (b["normalized_name"] == "")
     either = F.size(F.array_union(a["match_tokens"], b["match_tokens"]))
     both = F.size(F.array_intersect(a["match_tokens"], b["match_tokens"]))
-    df = pairs.withColumn("ratio", indel_ratio(a["normalized_name"], b["normalized_name"]))
     df = df.withColumn("overlap", F.when((F.size(tokens(a)) > 0) & (F.size(tokens(b)) > 0), both / F.greatest(either, F.lit(1))).otherwise(F.lit(0.0)))
     df = df.withColumn("s0", F.greatest("ratio", F.col("overlap") * 100))
     same = lambda c: (a[c] != "") & (a[c] == b[c])
@@ -96,7 +117,7 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
         F.when(one, F.lit("same_source_separation_guard")),
     )
     reasons = F.when(blank, F.array().cast("array<string>")).otherwise(F.filter(reasons, lambda r: r.isNotNull()))
-    return df.select(*pairs.columns, score.alias("score"), reasons.alias("reasons"))
+    return df.select(*out, score.alias("score"), reasons.alias("reasons"))
 
 
 def token_blocks(records: DataFrame) -> DataFrame:
@@ -117,7 +138,7 @@ def review_pairs(records: DataFrame, roots: DataFrame, kept_apart: DataFrame, th
     df = df.filter((F.col("ra") != F.col("rb")) & ~conflict & (F.col("a.source") != F.col("b.source")))
     df = df.withColumn("lo", F.least("ra", "rb")).withColumn("hi", F.greatest("ra", "rb"))
     df = df.join(kept_apart.select(F.col("ra").alias("lo"), F.col("rb").alias("hi")), ["lo", "hi"], "left_anti")
-    return score_pairs(df.select("left", "right", "a", "b")).filter(F.col("score") >= threshold).select("left", "right", "score", "reasons")
+    return score_pairs(df.select("left", "right", "a", "b"), threshold).select("left", "right", "score", "reasons")
 
 
 def name_counts(choice: DataFrame) -> DataFrame:
@@ -226,9 +247,14 @@ def alias_rows(sources: DataFrame) -> DataFrame:
 
 
 def hierarchy(sources: DataFrame) -> DataFrame:
-    """Edges from the organizations that a record names as its parent; the first record's evidence is kept."""
+    """Edges from the organizations that a record names as its parent; the first record's evidence is kept.
+
+    Both sides are first brought down to one row for each name and organization, so that what is joined is in
+    proportion to the edges, however many records name one parent.
+    """
     child = sources.filter("normalized_parent_name <> ''").select(F.col("rec_idx").alias("ci"), F.col("canonical_external_id").alias("child_org_id"), F.col("normalized_parent_name").alias("k"), N.text("source").alias("source"), N.text("parent_source_name").alias("evidence"))
-    parent = sources.select(F.col("rec_idx").alias("pi"), F.col("canonical_external_id").alias("parent_org_id"), F.col("normalized_name").alias("k"))
+    child = first_by(child, ["k", "child_org_id"], F.col("ci"))
+    parent = sources.groupBy(F.col("normalized_name").alias("k"), F.col("canonical_external_id").alias("parent_org_id")).agg(F.min("rec_idx").alias("pi"))
     edges = first_by(child.join(parent, "k").filter("child_org_id <> parent_org_id"), ["parent_org_id", "child_org_id"], F.col("ci"), F.col("pi"))
     return edges.select("parent_org_id", "child_org_id", F.lit("parent/component").alias("relationship_type"), "source", F.lit("High").alias("confidence"), F.lit("Provisional").alias("review_status"), "evidence")
 

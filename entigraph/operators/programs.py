@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names as N
-from ..functions.similarity import token_set
 from .graph import connected_components, reliable
 from .ordered import first_by
+from .similar import name_form, similar_forms
 
 #: Which source names a program, lowest first; 999 for others.
 PRIORITY = {"sam_assistance": 10, "treasury_tax_expenditures": 20, "performance_fpi_archive": 30, "supplemental": 90}
@@ -98,9 +98,11 @@ def resolve(records: DataFrame, authorities: DataFrame, functions: DataFrame, or
     row = reliable(row)
     by_name = row.filter("norm <> '' and organization_id <> ''")
     star = by_name.groupBy("norm", "organization_id").agg(F.min("id").alias("a")).join(by_name.select("norm", "organization_id", F.col("id").alias("b")), ["norm", "organization_id"]).select("a", "b")
-    cited = row.filter("organization_id <> ''").join(usc, "key").select("organization_id", "usc", "id", "name").distinct()
-    other = cited.select("organization_id", "usc", F.col("id").alias("b"), F.col("name").alias("nb"))
-    close = cited.join(other, ["organization_id", "usc"]).filter("id < b").select(F.col("id").alias("a"), "b", "name", "nb").distinct().filter(token_set("name", "nb") >= 92).select("a", "b")
+    cited = row.filter("organization_id <> ''").join(usc, "key").select(F.concat_ws("|", "usc", "organization_id").alias("g"), "id", name_form("name").alias("form"))
+    by_form = reliable(cited.filter("form <> ''").groupBy("g", "form").agg(F.min("id").alias("a"), F.collect_set("id").alias("ids")))
+    one = lambda c: by_form.select("g", F.col("form").alias(c), F.col("a").alias(f"{c}_id"))
+    close = similar_forms(by_form, 92).join(one("a"), ["g", "a"]).join(one("b"), ["g", "b"]).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    close = close.union(by_form.select("a", F.explode("ids").alias("b")))
     group = reliable(connected_components(nodes.select("id"), star.union(close)))
     member = reliable(mapped.join(nodes, "key").join(group, "id"))
 
@@ -136,13 +138,19 @@ def resolve(records: DataFrame, authorities: DataFrame, functions: DataFrame, or
     last = first_by(member.select("key", "rec_idx", N.text("source_name").alias("name"), "organization_id", "root"), ["key"], -F.col("rec_idx")).join(key_id, "key")
     last = last.join(usc.groupBy("key").agg(F.sort_array(F.collect_set("usc")).alias("uscs")), "key", "left").withColumn("uscs", F.coalesce("uscs", F.array().cast("array<string>")))
     last = reliable(last)
-    shared = member.filter("organization_id <> ''").select(F.concat(F.lit("o:"), "organization_id").alias("g"), "key").union(member.select("key").join(usc, "key").select(F.concat(F.lit("u:"), "usc"), "key")).distinct()
-    pair = shared.select("g", F.col("key").alias("lk")).join(shared.select("g", F.col("key").alias("rk")), "g").filter("lk < rk").select("lk", "rk").distinct()
-    side = lambda k, p: last.select(F.col("key").alias(k), F.struct("name", "organization_id", "root", "program_id", "uscs").alias(p))
-    pair = pair.join(side("lk", "l"), "lk").join(side("rk", "r"), "rk").filter("l.root <> r.root")
-    same = (F.col("l.organization_id") != "") & (F.col("l.organization_id") == F.col("r.organization_id"))
-    both = F.array_intersect("l.uscs", "r.uscs")
-    pair = pair.withColumn("same_organization", same).withColumn("shared", both).filter("same_organization or size(shared) > 0").withColumn("name_similarity", token_set("l.name", "r.name")).filter("name_similarity >= 88")
+    placed_in = last.select(F.explode(F.concat(F.when(F.col("organization_id") != "", F.array(F.concat(F.lit("o:"), "organization_id"))).otherwise(F.array().cast("array<string>")), F.transform("uscs", lambda u: F.concat(F.lit("u:"), u)))).alias("g"), name_form("name").alias("form"), "root", "key")
+    placed_in = reliable(placed_in.filter("form <> ''"))
+    alike = similar_forms(placed_in, 88).union(placed_in.select("g", F.col("form").alias("a"), F.col("form").alias("b"), F.lit(100.0).alias("similarity")).distinct())
+    # first the programs, then the keys: rows of one program are never paired
+    of_root = placed_in.select("g", "form", "root").distinct()
+    side = lambda c, r: of_root.select("g", F.col("form").alias(c), F.col("root").alias(r))
+    pair = alike.join(side("a", "x"), ["g", "a"]).join(side("b", "y"), ["g", "b"]).filter("x <> y")
+    keys = lambda c, r, k: placed_in.select("g", F.col("form").alias(c), F.col("root").alias(r), F.col("key").alias(k))
+    pair = pair.join(keys("a", "x", "i"), ["g", "a", "x"]).join(keys("b", "y", "j"), ["g", "b", "y"])
+    pair = pair.groupBy(F.least("i", "j").alias("lk"), F.greatest("i", "j").alias("rk")).agg(F.first("similarity").alias("name_similarity"))
+    side = lambda k, p: last.select(F.col("key").alias(k), F.struct("name", "organization_id", "program_id", "uscs").alias(p))
+    pair = pair.join(side("lk", "l"), "lk").join(side("rk", "r"), "rk")
+    pair = pair.withColumn("same_organization", (F.col("l.organization_id") != "") & (F.col("l.organization_id") == F.col("r.organization_id"))).withColumn("shared", F.array_intersect("l.uscs", "r.uscs"))
     candidates = pair.select(F.col("l.program_id").alias("left_program_id"), F.col("r.program_id").alias("right_program_id"), F.col("l.name").alias("left_name"), F.col("r.name").alias("right_name"), "name_similarity", "same_organization", F.array_join(F.sort_array("shared"), "|").alias("shared_usc"), F.lit("review").alias("decision"))
 
     back = lambda df, key: df.withColumn("key", key).join(key_id, "key", "left").withColumn("program_id", N.text("program_id")).drop("key")
