@@ -207,15 +207,10 @@ def main(argv: list[str] | None = None, fetch=None) -> int:
     """Runs a command; fetch(url, max_bytes) reads addresses (the web, unless another one is given)."""
     args = parser().parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO)
-    root = None
-    if not (args.out and args.raw and args.config):
-        try:
-            root = config.find_root()
-        except RuntimeError:
-            root = None
+    root = config.project()
     place = str(root or os.getcwd())
     args.out, args.raw = args.out or f"{place}/data/processed", args.raw or (f"{args.out}/raw" if args.out else f"{place}/data/raw")
-    file = args.config or next((str(p) for p in [root and root / config.PLACE] if p and p.exists()), None)
+    file = args.config or (str(root / config.PLACE) if root and (root / config.PLACE).exists() else None)
     args.settings = config.load(file)
     if args.command == "doctor":
         return doctor(args)

@@ -55,15 +55,19 @@ def agency_index(spark, d):
 
 
 @query("""
-SELECT (r_regionkey + 1)::VARCHAR AS source_record_id, r_name AS source_name, 'https://www.federalregister.gov/agencies/' AS source_url, '' AS parent_source_name, 'agency' AS source_level FROM region
-UNION ALL SELECT 's' || n_nationkey, n_name, 'https://www.federalregister.gov/agencies/s' || n_nationkey, r_name, 'subagency' FROM nation JOIN region ON r_regionkey = n_regionkey
+SELECT (n_nationkey + 1)::VARCHAR AS source_record_id, n_name AS source_name, 'https://www.federalregister.gov/agencies/' AS source_url, '' AS parent_source_name, 'agency' AS source_level
+FROM (SELECT DISTINCT n_nationkey, n_name, s_suppkey // 100 FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+UNION ALL SELECT 's' || s_suppkey, s_name, 'https://www.federalregister.gov/agencies/s' || s_suppkey, n_name, 'subagency' FROM supplier JOIN nation ON s_nationkey = n_nationkey
+UNION ALL SELECT 'Unit ' || s_suppkey, 'Unit ' || s_suppkey, 'http://u', s_name, 'subagency' FROM supplier
 """)
 def agency_list(spark, d):
-    """Regions with their nations as a nested list."""
-    child = F.struct(made("s", "{n_nationkey}").alias("slug"), F.col("n_name").alias("raw_name"))
-    one = nations(spark, d).groupBy("r_regionkey", "r_name").agg(F.collect_list(child).alias("child_agencies"))
-    item = F.struct((F.col("r_regionkey") + 1).alias("id"), F.col("r_name").alias("name"), "child_agencies")
-    payload = one.agg(F.to_json(F.struct(F.collect_list(item).alias("results"))).alias("payload"))  # 5 regions
+    """Nations, their suppliers and a unit of each as nested lists of three levels, a hundred keys to a payload."""
+    unit = F.struct(made("Unit ", "{s_suppkey}").alias("raw_name"), F.lit("http://u").alias("url"), F.lit(0).alias("id"))
+    child = F.struct(made("s", "{s_suppkey}").alias("slug"), F.col("s_name").alias("raw_name"), F.array(unit).alias("children"))
+    s = t(spark, d, "supplier").join(F.broadcast(nations(spark, d)), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 rows
+    one = s.groupBy("n_nationkey", "n_name", F.expr("s_suppkey div 100").alias("part")).agg(F.collect_list(child).alias("child_agencies"))
+    item = F.struct((F.col("n_nationkey") + 1).alias("id"), F.col("n_name").alias("name"), "child_agencies")
+    payload = one.groupBy("part").agg(F.to_json(F.struct(F.collect_list(item).alias("results"))).alias("payload"))
     return D.agency_list(payload).select("source_record_id", "source_name", "source_url", "parent_source_name", "source_level")
 
 

@@ -6,15 +6,16 @@ import io
 import re
 import xml.etree.ElementTree as ET
 import zipfile
+from collections.abc import Iterator
 from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import strip, text
+from ..functions.names import collapse, strip, text
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -39,22 +40,32 @@ def page_links(page: str | bytes | None) -> list[tuple[str, str]]:
     return out
 
 
+#: Rows of a slice: what parsing gives is handed on so often, however much a value holds.
+SLICE_ROWS = 2000
+
+
 def exploded(df: DataFrame, column: str, schema: T.StructType, parse) -> DataFrame:
-    """The other columns of df beside each row (a tuple) that parse gives for the value in `column`."""
+    """The other columns of df beside each row (a tuple) that parse gives for the value in `column`, in slices."""
     at, keep = df.columns.index(column), [i for i, c in enumerate(df.columns) if c != column]
     names = [df.columns[i] for i in keep] + schema.fieldNames()
-    kinds = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.string() for f in schema.fields]
+    kinds = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.list_(pa.string()) if isinstance(f.dataType, T.ArrayType) else pa.string() for f in schema.fields]
+
+    def piece(batch, row, out):
+        take = pa.array(row, pa.int64())
+        new = [pa.array([r[j] for r in out], kinds[j]) for j in range(len(kinds))]
+        return pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in keep), *new], names)
 
     def run(batches):
         for batch in batches:
             row, out = [], []
-            for i, v in enumerate(batch.column(at).to_pylist()):
-                for r in parse(v):
+            for i, value in enumerate(batch.column(at)):
+                for r in parse(value.as_py()):
                     row.append(i)
                     out.append(r)
-            take = pa.array(row, pa.int64())
-            new = [pa.array([r[j] for r in out], kinds[j]) for j in range(len(kinds))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in keep), *new], names)
+                    if len(out) == SLICE_ROWS:
+                        yield piece(batch, row, out)
+                        row, out = [], []
+            yield piece(batch, row, out)
 
     return df.mapInArrow(run, T.StructType([*(df.schema.fields[i] for i in keep), *schema.fields]))
 
@@ -116,49 +127,97 @@ def clean_number(c: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(bare, r"(?i)^(sec\.?|section)", ""), r"^[. ]+|[. ]+$", "")
 
 
-def statute_sections(raw: bytes | str | None) -> list[tuple[str, str, str, int]]:
-    """(section, heading, all text, position) of each section of a statute file, in document order; namespaces are ignored."""
-    out = []
-    local = lambda e: e.tag.rsplit("}", 1)[-1]
-    for _, e in ET.iterparse(io.BytesIO(raw.encode() if isinstance(raw, str) else raw or b"<x/>")):
-        if local(e) == "section":
-            first = lambda name, gap, e=e: next((gap.join(x.itertext()) for x in e.iter() if local(x) == name), "")
-            number = re.sub(r"^(?:sec\.?|section)", "", re.sub(r"[\s§]", "", first("num", "")), flags=re.I).strip(". ")
-            out.append((number, " ".join(first("heading", " ").split()), " ".join(" ".join(e.itertext()).split()), len(out)))
-            e.clear()  # a title may have tens of thousands of sections
-    return out
+_TAG = r"""<(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
+_NAME = r"(?:[\w.-]{1,40}:)?"
+
+
+def _untagged(c: Column, gap: str) -> Column:
+    """The text of a piece of XML, with `gap` for each tag."""
+    bare = F.regexp_replace(c, _TAG, gap)
+    whole = F.xpath_string(F.concat(F.lit("<x>"), bare, F.lit("</x>")), F.lit("/x"))
+    return F.when(bare.contains("&"), whole).otherwise(bare)
 
 
-def statutes(df: DataFrame, xml: str = "xml") -> DataFrame:
-    return exploded(df, xml, T.StructType().add("section", "string").add("heading", "string").add("text", "string").add("position", "long"), statute_sections)
+def _first(c: Column, name: str, gap: str) -> Column:
+    return _untagged(F.regexp_extract(c, rf"(?s)<{_NAME}{name}(?:\s[^>]*)?>(.*?)</{_NAME}{name}\s*>", 1), gap)
 
 
-def sheet_rows(raw: bytes) -> list[tuple[str, int, list[str]]]:
-    """(sheet, row from 1, cells) of a spreadsheet, read with the standard library."""
+def section_pieces(df: DataFrame, xml: str = "xml") -> DataFrame:
+    """The other columns, section (its number), position and piece (its XML) of each section of statute files, one file a row.
+
+    A file is cut at the tags of sections by an expression. Nearly all pieces are whole sections and go on as they are; those
+    that are not belong to sections within sections and are put together from what lies at one depth. An inner section is no
+    part of the outer one's piece. Namespaces and comments don't matter.
+    """
+    bare = F.regexp_replace(F.regexp_replace(text(xml), r"(?s)<!--.*?-->", " "), r"<!\[CDATA\[|\]\]>", "")
+    cut = F.split(bare, rf"(?=<{_NAME}section[\s>])|(?<=</section>)|(?<=</[\w.-]{{1,40}}:section>)")
+    keep = [c for c in df.columns if c != xml]
+    pieces = df.withColumn("__file", F.monotonically_increasing_id()).select("__file", *keep, F.posexplode(cut).alias("__at", "piece"))
+    opens, ends = F.col("piece").rlike(rf"^<{_NAME}section[\s>]"), F.col("piece").rlike(rf"</{_NAME}section>$")
+    pieces = pieces.withColumns({"__opens": opens, "__ends": ends})
+    whole = pieces.filter("__opens and __ends").select(*keep, "__at", "piece")
+    so_far = Window.partitionBy("__file").orderBy("__at")
+    rest = pieces.filter("not (__opens and __ends)")
+    depth = F.sum(F.col("__opens").cast("int")).over(so_far) - F.coalesce(F.sum(F.col("__ends").cast("int")).over(so_far.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rest = rest.withColumn("__depth", depth).filter("__depth > 0")
+    rest = rest.withColumn("__own", F.last(F.when(F.col("__opens"), F.col("__at")), ignorenulls=True).over(Window.partitionBy("__file", "__depth").orderBy("__at")))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__at", "piece"))), lambda p: p["piece"]), " ")
+    rest = rest.groupBy("__file", *keep, "__own").agg(F.max("__at").alias("__at"), joined.alias("piece")).select(*keep, "__at", "piece")
+    return whole.union(rest).select(*keep, clean_number(_first(F.col("piece"), "num", "")).alias("section"), F.col("__at").cast("long").alias("position"), "piece")
+
+
+def section_texts(pieces: DataFrame) -> DataFrame:
+    """Pieces of sections as heading and text."""
+    return pieces.withColumns({"heading": collapse(_first(F.col("piece"), "heading", " ")), "text": collapse(_untagged(F.col("piece"), " "))}).drop("piece")
+
+
+def _place(reference: str, behind: int) -> int:
+    """The column (from 0) that a cell's reference such as "AB7" names; without one the next."""
+    letters = re.match("[A-Z]*", reference)[0]
+    number = 0
+    for letter in letters:
+        number = 26 * number + "ABCDEFGHIJKLMNOPQRSTUVWXYZ".index(letter) + 1
+    return number - 1 if letters else behind
+
+
+def sheet_rows(raw: bytes | None) -> Iterator[tuple[int, str, int, list[str]]]:
+    """(position, sheet, row from 1, cells) of a spreadsheet, read row by row with the standard library; besides the row
+    at hand only the file's shared texts are held."""
+    if not raw:
+        return
     m = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
     rel = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
-    out = []
+
+    def elements(z: zipfile.ZipFile, path: str, tag: str) -> Iterator[ET.Element]:
+        with z.open(path) as f:
+            for _, e in ET.iterparse(f):
+                if e.tag == f"{m}{tag}":
+                    yield e
+                    e.clear()
+
+    position = 0
     with zipfile.ZipFile(io.BytesIO(raw)) as z:
-        shared = []
-        if "xl/sharedStrings.xml" in z.namelist():
-            shared = ["".join(x.text or "" for x in si.iter(f"{m}t")) for si in ET.fromstring(z.read("xl/sharedStrings.xml"))]
+        have = "xl/sharedStrings.xml" in z.namelist()
+        shared = ["".join(t.text or "" for t in e.iter(f"{m}t")) for e in elements(z, "xl/sharedStrings.xml", "si")] if have else []
         target = {r.get("Id"): r.get("Target") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
         for sheet in ET.fromstring(z.read("xl/workbook.xml")).iter(f"{m}sheet"):
             path = target[sheet.get(rel)].lstrip("/")
-            path = path if path.startswith("xl/") else f"xl/{path}"
-            for i, row in enumerate(ET.fromstring(z.read(path)).iter(f"{m}row"), 1):
+            for number, row in enumerate(elements(z, path if path.startswith("xl/") else f"xl/{path}", "row"), 1):
                 cells: list[str] = []
                 for c in row.iter(f"{m}c"):
-                    letters = re.match("[A-Z]*", c.get("r", ""))[0]
-                    col = 0
-                    for ch in letters:
-                        col = col * 26 + ord(ch) - 64
-                    cells += [""] * (col - 1 - len(cells))
-                    v = c.find(f"{m}v")
-                    value = "".join(x.text or "" for x in c.iter(f"{m}t")) if c.get("t") == "inlineStr" else (v.text or "" if v is not None else "")
-                    cells.append(shared[int(value)] if c.get("t") == "s" and value else value)
-                out.append((sheet.get("name"), int(row.get("r", i)), cells))
-    return out
+                    cells += [""] * (_place(c.get("r", ""), len(cells)) - len(cells))
+                    if c.get("t") == "inlineStr":
+                        cells.append("".join(t.text or "" for t in c.iter(f"{m}t")))
+                    else:
+                        value = c.findtext(f"{m}v") or ""
+                        cells.append(shared[int(value)] if value and c.get("t") == "s" else value)
+                yield position, sheet.get("name"), int(row.get("r", number)), cells
+                position += 1
+
+
+def workbook_rows(df: DataFrame, content: str = "content") -> DataFrame:
+    """The other columns, rec_idx (order in the file), sheet, row and cells of each row of workbooks."""
+    return exploded(df, content, T.StructType().add("rec_idx", "long").add("sheet", "string").add("row", "long").add("cells", T.ArrayType(T.StringType())), sheet_rows)
 
 
 def parse_authorities(df: DataFrame, column: str) -> DataFrame:

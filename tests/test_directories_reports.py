@@ -22,6 +22,19 @@ def test_agency_list(spark):
     assert [(r.source_record_id, r.source_name, r.parent_source_name, r.source_level) for r in rows] == [("1", "A", "", "agency"), ("b", "B", "A", "subagency"), ("C", "C", "", "agency")]
 
 
+def test_agency_list_of_any_depth(spark):
+    deep = {"name": "L0", "slug": "l0", "children": []}
+    node = deep
+    for i in range(1, 40):
+        node["children"] = [{"raw_name": f"L{i}", "id": 0, "slug": f"l{i}", "url": f"u{i}", "child_agencies": []}, {"name": f"X{i}", "id": f"x{i}"}]
+        node = node["children"][0]
+    payloads = [(json.dumps([deep, {"name": "last", "children": None, "child_agencies": [{"name": "leaf"}]}]),), ("{}",), ("no json",), ("[3, null, []]",)]
+    rows = D.agency_list(spark.createDataFrame(payloads, "payload string").coalesce(1)).filter("source_name <> ''").orderBy("rec_idx").collect()
+    assert [r.source_name for r in rows] == [*[f"L{i}" for i in range(40)], *[f"X{i}" for i in range(39, 0, -1)], "last", "leaf"]
+    assert [r.parent_source_name for r in rows][1:4] == ["L0", "L1", "L2"] and rows[-1].parent_source_name == "last"
+    assert (rows[5].source_record_id, rows[5].source_url, rows[40].source_record_id) == ("l5", "u5", "x39")
+
+
 def test_manual(spark):
     df = spark.createDataFrame([('<a href="/app/details/P.1/P.1-7">x</a> P.1-9', "P.1"), ("P.1-2 and P.1-1, P.1-2", "P.1"), (None, "P.1")], "html string, package string")
     assert [r[0] for r in df.select(D.granules_from_page("html", "package")).collect()] == [["P.1-7"], ["P.1-1", "P.1-2"], []]
@@ -74,10 +87,10 @@ def test_commands(tmp_path, capsys):
     out = capsys.readouterr().out
     assert "opm_fwd: disabled (workforce_organization_hierarchy)" in out and "usagov: enabled (organization_directory)" in out
     settings = config.load(tmp_path / "s.json")
-    assert settings["resolution"] == {"auto_merge_threshold": 96, "review_threshold": 70, "hierarchy_threshold": 80} and config.load()["sources"]["opm_fwd"]["enabled"]
+    assert settings["resolution"] == {"review_threshold": 70} and config.load()["sources"]["opm_fwd"]["enabled"]
     (tmp_path / "pyproject.toml").touch()
     (deep := tmp_path / "a/b").mkdir(parents=True)
-    assert config.find_root(deep) == tmp_path.resolve()
+    assert config.project(deep) == config.project(tmp_path) == tmp_path.resolve()
     with pytest.raises(FileNotFoundError):
         config.load(tmp_path / "none.json")
     with pytest.raises(SystemExit):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from entigraph.sources import programs as S
+from entigraph.sources.parsers import section_pieces, section_texts, sheet_rows
 
 
 def test_agency_labels(spark):
@@ -78,6 +79,27 @@ def test_tax_expenditures(spark):
     assert [(r.source_record_id, r.source_name, r.function_raw) for r in rows] == [("FY2026:1", "Exclusion of benefits and allowances", "Energy"), ("FY2026:2", "Credit for wells", "Energy")]
 
 
+def test_workbook_is_read_row_by_row():
+    rows = sheet_rows(workbook([[str(i), i] for i in range(5000)]))
+    assert next(rows) == (0, "T1", 1, ["0", "0"]) and sum(1 for _ in rows) == 4999
+    assert list(sheet_rows(None)) == []
+
+
+def test_provisions(spark):
+    cases = [
+        (["12", " Exclusion  of pay "], ("12", "Exclusion of pay", "")), (["a", "b", "c", "Deduction", "7"], ("", "", "")), (["x", "7", "Deduction for it"], ("7", "Deduction for it", "")),
+        (["13) Credit for x"], ("13", "Credit for x", "")), (["Energy:"], ("", "", "Energy")), (["Fiscal Year 2026"], ("", "", "")), (["5", "Total:", "1,234"], ("", "", "")), ([], ("", "", "")),
+    ]
+    df = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "i int, cells array<string>")
+    assert [tuple(r.p) for r in df.select("i", S.provision(F.col("cells")).alias("p")).orderBy("i").collect()] == [w for _, w in cases]
+
+
+def test_sections_within_sections(spark):
+    xml = "<t><!-- <section> --><x:section id='a>b'><num>1</num><heading>A &amp; <b>B</b></heading>one <quoted><section><num>Sec. 2.</num>in<p>ner</p></section></quoted> two</x:section>tail<section><num>&#167; 3</num></section></t>"
+    out = section_texts(section_pieces(spark.createDataFrame([("7", xml), ("8", None), ("9", "<t/>")], "t string, xml string"))).orderBy("position").collect()
+    assert [(r.t, r.section, r.heading, r.text) for r in out] == [("7", "2", "", "Sec. 2. in ner"), ("7", "1", "A & B", "1 A & B one two"), ("7", "3", "", "§ 3")]
+
+
 def test_statute_enrichment(spark):
     xml = "<usc xmlns='n'><section><num>§ 1234</num><heading>Aid</heading><p>Some fact. It is the purpose of this to help; No more.</p></section><section><num>§ 9.</num></section></usc>"
     auth = spark.createDataFrame([(0, "7", "Sec. 1234"), (1, "7", "77"), (2, "", "")], "auth_idx long, usc_title string, usc_section string")
