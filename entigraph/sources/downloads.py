@@ -8,7 +8,6 @@ table. The driver sees counts, states and paths, never bodies, but for the few a
 from __future__ import annotations
 
 import io
-import json
 import re
 import zipfile
 from collections.abc import Callable, Iterable
@@ -26,6 +25,7 @@ from . import directories as D
 from . import programs as G
 from . import web
 from . import workforce as W
+from .paged import Paging, pages
 from .parsers import links
 from .web import Fetch, read_url
 
@@ -104,41 +104,31 @@ TOTALS = ("count", "totalCount", "total", "numberOfRecords")  # fixed value: whe
 MOST_GRANULES = 10_000
 
 
-def _total(payload: str) -> int:
-    data = json.loads(payload)
-    told = (str(data.get(k)) for k in TOTALS) if isinstance(data, dict) else ()
-    return next((int(x) for x in told if x.isdigit()), 0)
-
-
-def listed_granules(spark: SparkSession, package: str, api: str, key: str, raw: str, fetch: Fetch = read_url, page_size: int = 100) -> list[str]:
-    """Ids of a package from its paged list, in its order. The first page tells how many there are, and the others are
-    read as one table; where it does not, pages are read until a short one."""
-    at = lambda offset: f"{api.rstrip('/')}/packages/{quote(package)}/granules?{urlencode({'offset': offset, 'pageSize': page_size, 'api_key': key})}"
-    ids: dict[str, None] = {}
-
-    def read(name: str, offsets: list[int]) -> tuple[int, str]:
-        got = answers(asked(spark, map(at, offsets)), fetch, f"{raw}/granules-{name}").select("at", "outcome", "error", _text("body").alias("payload"))
-        if bad := failures(got.withColumn("url", F.lit(""))).first():
-            refused = re.search(r"\b(401|403|429)\b", bad["reason"])
-            raise DownloadError("the list of granules refused the key or the rate" if refused else f"the list of granules failed: {bad['reason']}")
-        found = D.granules_from_api(got.select("at", "payload")).orderBy("at", "position").select("granule_id").collect()  # ids of some pages
-        ids.update(dict.fromkeys(r[0] for r in found))
-        return len(found), got.orderBy("at").first()["payload"]
-
-    n, first = read("0", [0])
-    total = _total(first) if n else 0
-    if total > MOST_GRANULES:
-        raise DownloadError(f"{package} has more than {MOST_GRANULES} granules")
-    if total > n > 0:
-        read("rest", list(range(n, total, n)))
-    while not total and n and n % page_size == 0:
-        if n > MOST_GRANULES:
-            raise DownloadError(f"{package} has more than {MOST_GRANULES} granules")
-        more, _ = read(str(n), [n])
-        if not more:
-            break
-        n += more
-    return list(ids)
+def paged_list(spark: SparkSession, paging: Paging, folder: str, fetch: Fetch) -> DataFrame:
+    """(at, url, sha256, payload) of all pages, kept in the folder."""
+    got = pages(spark, paging, fetch).withColumn("sha256", F.sha2("body", 256))
+    return web.written(got, folder).select("at", "url", "sha256", _text("body").alias("payload"))
+
+
+def listed_granules(spark: SparkSession, package: str, api: str, key: str, raw: str, fetch: Fetch = read_url, page_size: int = 100) -> DataFrame:
+    """(at, granule_id) of a package from its paged list, in its order, each once."""
+    query = urlencode({"pageSize": page_size, "api_key": key}).replace("{", "{{").replace("}", "}}")
+    address = f"{api.rstrip('/')}/packages/{quote(package)}/granules?offset={{}}&{query}"
+    try:
+        listed = paged_list(spark, Paging(address, size=page_size, totals=TOTALS, most=MOST_GRANULES), f"{raw}/granules", fetch)
+    except Exception as e:  # whatever a page failed by
+        told = str(e)
+        if "more than" in told:
+            raise DownloadError(f"{package} has more than {MOST_GRANULES} granules") from e
+        raise DownloadError("the list of granules refused the key or the rate" if re.search(r"\b(401|403|429)\b", told) else f"the list of granules failed: {told[-500:]}") from e
+    found = D.granules_from_api(listed.select(F.col("at").alias("page"), "payload"))
+    first = found.groupBy("granule_id").agg(F.min(F.struct("page", "position")).alias("p"))
+    return web.written(numbered(first.select("p", "granule_id"), "p"), f"{raw}/granule-ids")
+
+
+def numbered(df: DataFrame, by: str) -> DataFrame:
+    """`df` with `at` instead of `by`: numbers in its order."""
+    return df.orderBy(by).withColumn("at", F.monotonically_increasing_id()).drop(by)
 
 
 def manual(spark: SparkSession, package: str, xml_url: str, published: str, raw: str, fetch: Fetch = read_url, api: str = "https://api.govinfo.gov", key: str = "DEMO_KEY", page_size: int = 100, workers: int = 12) -> tuple[DataFrame, DataFrame, DataFrame, dict]:
@@ -152,20 +142,24 @@ def manual(spark: SparkSession, package: str, xml_url: str, published: str, raw:
     if bad := failures(edition).first():
         raise DownloadError(f"{xml_url}: {bad['reason']}")
     digest, error = edition.first()["sha256"], ""
-    named = lambda got, by: [x for r in got.select(by(_text("body"), F.lit(package)).alias("ids")).collect() for x in r["ids"]]
-    method = "govinfo_api"
+    named = lambda got, by: numbered(got.select(F.posexplode(by(_text("body"), F.lit(package))).alias("p", "granule_id")), "p")
+    method, ids, n = "govinfo_api", None, 0
     try:
         ids = listed_granules(spark, package, api, key, raw, fetch, page_size)
-    except (DownloadError, ValueError) as e:
-        ids, error = [], str(e)
-    if not ids:
+        n = ids.count()
+    except DownloadError as e:
+        error = str(e)
+    if not n:
         method, ids = "package_xml_regex", named(edition, D.granules_from_xml)
-    if not ids:
+        n = ids.count()
+    if not n:
         method, ids = "context_html_fallback", named(answers(asked(spark, [f"{details}/context"]), fetch, f"{raw}/context"), D.granules_from_page)
-    found = {"package_id": package, "method": method, "granule_count": len(ids), "api_error": error}
-    if not ids:
+        n = ids.count()
+    found = {"package_id": package, "method": method, "granule_count": n, "api_error": error}
+    if not n:
         raise DownloadError(f"no granules of {package}: {found}")
-    requests = asked(spark, [f"{details}/{i}" for i in ids]).withColumn("granule_id", F.element_at(F.split("url", "/"), -1))
+    one = lambda kind: F.lit(None).cast(kind)
+    requests = ids.select("at", F.concat(F.lit(f"{details}/"), "granule_id").alias("url"), F.col("at").alias("site"), one("string").alias("policy"), one("long").alias("budget"), "granule_id")
     got = answers(requests, fetch, f"{raw}/details", workers=workers)
     pages = got.filter("outcome = 'read'").select("at", F.lit(package).alias("package_id"), "granule_id", F.lit(published).alias("publication_date"), _text("body").alias("html"))
     audit = D.manual_details(pages).withColumn("package_xml_sha256", F.lit(digest))
@@ -200,7 +194,6 @@ def utf8(body: bytes) -> bytes:
 def listings(spark: SparkSession, endpoint: str, raw: str, fetch: Fetch = read_url, bulk_url: str = "", key: str = "", status: str = "ALL", page_size: int = 100, max_pages: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(programs, authorities, functions): the bulk table, unless pages are limited; if it has no programs, the paged list.
 
-    The list's first page tells how many there are; the others are read as one table.
     """
     if bulk_url and max_pages is None and (paths := stored(spark, [(bulk_url, "listings.csv")], fetch, f"{raw}/sam_assistance", utf8)):
         found = G.listings_from_table(G.read_table(spark, paths["listings.csv"]), bulk_url)
@@ -208,16 +201,13 @@ def listings(spark: SparkSession, endpoint: str, raw: str, fetch: Fetch = read_u
             return found
     if not key:
         raise DownloadError("the bulk table of listings gave no programs, and the paged list needs a key")
-    at = lambda page: f"{endpoint}?{urlencode({'api_key': key, 'status': status, 'pageSize': page_size, 'pageNumber': page})}"
-    pages = answers(asked(spark, [at(1)]), fetch, f"{raw}/sam_assistance/page-1")
-    total = pages.select(F.get_json_object(_text("body"), "$.totalPages").cast("int")).first()[0] or 1
-    total = min(total, max_pages or total)
-    if total > 1:
-        pages = pages.union(answers(asked(spark, map(at, range(2, total + 1))).withColumn("at", F.col("at") + 1), fetch, f"{raw}/sam_assistance/pages"))
-    if bad := failures(pages).first():
-        raise DownloadError(f"a page of listings failed: {bad['reason']}")
+    address = f"{endpoint}?{urlencode({'api_key': key, 'status': status, 'pageSize': page_size})}".replace("{", "{{").replace("}", "}}") + "&pageNumber={}"
+    try:
+        listed = paged_list(spark, Paging(address, first=1, by_item=False, size=page_size, totals=("totalPages",), pages=max_pages), f"{raw}/sam_assistance/pages", fetch)
+    except Exception as e:  # whatever a page failed by
+        raise DownloadError(f"a page of listings failed: {str(e)[-500:]}") from e
     shown = F.regexp_replace("url", r"api_key=[^&]*&", "")
-    return G.listings_from_json(pages.orderBy("at").select(_text("body").alias("payload"), shown.alias("source_url")))
+    return G.listings_from_json(listed.orderBy("at").select("payload", shown.alias("source_url")))
 
 
 def tax_expenditures(spark: SparkSession, workbook_url: str, year: int, raw: str, fetch: Fetch = read_url) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from entigraph import cli
 from entigraph.sources import downloads as L
 from entigraph.sources import programs as S
+from entigraph.sources.paged import Paging, pages
 
 
 @pytest.fixture
@@ -66,7 +67,8 @@ def test_manual_by_its_list(spark, web, tmp_path):
 
 def test_manual_without_a_total(spark, web, tmp_path):
     fetch, calls = web({API.format(0): listed(1, 2), API.format(2): listed(3, 1), API.format(4): listed()})
-    assert L.listed_granules(spark, PACKAGE, "https://api.gov/", "K", f"file://{tmp_path}", fetch, 2) == ["GOV-1-1", "GOV-1-2", "GOV-1-3"] and len(calls()) == 3
+    ids = L.listed_granules(spark, PACKAGE, "https://api.gov/", "K", f"file://{tmp_path}", fetch, 2)
+    assert [r.granule_id for r in ids.orderBy("at").collect()] == ["GOV-1-1", "GOV-1-2", "GOV-1-3"] and len(calls()) == 3
     fetch, _ = web({API.format(0): listed(1, count=10_001)})
     with pytest.raises(L.DownloadError, match="10000"):
         L.listed_granules(spark, PACKAGE, "https://api.gov", "K", f"file://{tmp_path}", fetch, 2)
@@ -83,6 +85,42 @@ def test_manual_falls_back(spark, web, tmp_path):
         manual(spark, tmp_path, fetch)
 
 
+def test_pages_by_item_by_number_and_onward(spark, web, tmp_path):
+    body = lambda n, **more: json.dumps({"data": {"items": list(range(n))}, **more})
+    read = lambda paging, fetch, **o: sorted((r.at, r.url) for r in pages(spark, paging, fetch, **o).collect())
+    fetch, _ = web({"u0": body(2, count=5), "u2": body(2), "u4": body(1)})
+    by_item = Paging("u{}", size=2, totals=("count",))
+    assert read(by_item, fetch) == [(0, "u0"), (2, "u2"), (4, "u4")] and pages(spark, by_item, fetch).rdd.getNumPartitions() == 3
+    fetch, _ = web({"p1": body(3, totalPages=3), "p2": body(3), "p3": body(0)})
+    assert read(Paging("p{}", 1, False, 3, ("totalPages",)), fetch) == [(1, "p1"), (2, "p2"), (3, "p3")]
+    assert read(Paging("p{}", 1, False, 3, ("totalPages",), pages=2), fetch) == [(1, "p1"), (2, "p2")]
+    fetch, _ = web({"u0": "[1, 2]", "u2": "[3, 4]", "u4": "[5]"})
+    assert read(Paging("u{}", size=2), fetch) == [(0, "u0"), (2, "u2"), (4, "u4")] and read(Paging("u{}", size=3), fetch) == [(0, "u0")]
+    with pytest.raises(Exception, match="more than 3"):
+        read(Paging("u{}", size=2, most=3), fetch)
+
+
+def test_pages_are_tried_again(spark, tmp_path):
+    mark = str(tmp_path / "tried")
+
+    def fetch(url, max_bytes=0):
+        with open(mark, "a") as f:
+            f.write(url + "\n")
+        with open(mark) as f:
+            tries = f.read().split().count(url)
+        if url == "u1" and tries < 3 or url == "u0" and tries < 2:
+            raise OSError("busy")
+        if url == "u2":
+            raise HTTPError(url, 403, "no", {}, None)
+        return b'{"count": 2, "items": [1]}', "", url
+
+    assert pages(spark, Paging("u{}", size=1, totals=("count",)), fetch, wait=0.0).count() == 2
+    with pytest.raises(Exception, match="403"):
+        pages(spark, Paging("u{}", first=2, size=1), fetch, wait=0.0).count()
+    with open(mark) as f:
+        assert f.read().split().count("u2") == 1
+
+
 def test_newest_workforce_table(spark, web, tmp_path):
     raw = io.BytesIO()
     pd.DataFrame([{"Department": "D", "Agency": "A", "Agency Subelement": "AA01-Sub", "Agency Subelement Code": "AA01"}]).to_parquet(raw)
