@@ -7,8 +7,6 @@ the operator; its SQL states what must come out.
 from __future__ import annotations
 
 import uuid
-from urllib.error import HTTPError
-from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -242,50 +240,53 @@ def report_seeds(spark, d):
     return out.select("organization_id", F.when(F.col("organization_id") == "", F.col("organization_source_name")).alias("name"), "agency_website")
 
 
-def synthetic_site(url: str, max_bytes: int = 0) -> tuple[bytes, str, str]:
-    """A web of sites n0.gov, n1.gov, ...: by the number's remainder closed, failing, moved, without reports, or with some."""
-    place = urlsplit(url)
-    k = int(place.hostname[1:-4])
-    if place.path == "/robots.txt":
-        if k % 5 == 0:
-            raise HTTPError(url, 403, "closed", {}, None)
-        return b"User-agent: *\nDisallow: /private", "text/plain", url
-    if k % 5 == 1:
-        raise OSError("down")
-    if k % 5 == 2:
-        return b"<a href='/annual-report'>Annual Report</a>", "text/html", "https://elsewhere.com/"
-    if k % 5 == 3 and place.path in ("", "/"):
-        return b"<a href='/news'>News</a><a href='mailto:x'>Reports</a>", "text/html", url
-    pages = {
-        "": "<a href='/reports/'>Reports</a><a href='/budget-2020'>Budget 2020</a><a href='/budget-2024'>Budget</a><a href='/private/plans'>Plans</a><a href='/files/strategic-plan-2024.pdf'>Plan</a>",
-        "/reports/": "<a href='/files/apr_fy23.pdf#p2'>Annual <b>Performance</b> Report FY23</a><a href='https://x.com/annual-report'>Annual report</a><a href='/reports/deep'>About</a>",
-        "/reports/deep": "<a href='/reports/deeper'>About</a>",
-    }
-    return pages.get(place.path, "<p>nothing</p>").encode(), "text/html; charset=utf-8", url
+def archived_sites(spark, d):
+    """(seeds, archive): every page as the home of a site; by its number's remainder the site is closed, lost, moved, without
+    reports, or one whose page links further ones with reports."""
+    pages = t(spark, d, "pages").select("page_id", (F.col("page_id") % 5).alias("kind"), made("https://n", "{page_id}", ".gov").alias("home"), F.coalesce("html", F.lit("")).alias("html"))
+    seeds = pages.select(F.col("page_id").alias("rec_idx"), made("N", "{page_id}").alias("organization_id"), made("Site ", "{page_id}").alias("organization_source_name"), F.col("home").alias("agency_website"))
+    plain = F.regexp_replace("html", "(?i)<(/?)a(?=[\\s>/])", "<$1i")  # the pages' own links lead to nowhere
+
+    def have(kinds, path: str, body, kind: str = "text/html; charset=utf-8", final=None) -> DataFrame:
+        url = F.concat("home", F.lit(path))
+        return pages.filter(F.col("kind").isin(*kinds)).select(url.alias("url"), (url if final is None else F.lit(final)).alias("final"), F.lit(kind).alias("kind"), body.cast("binary").alias("body"))
+
+    links = "<a href='/reports/'>Reports</a><a href='/budget-2020'>Budget 2020</a><a href='/budget-2024'>Budget</a><a href='/files/strategic-plan-2024.pdf'>Plan</a>"
+    rows = [
+        have([0], "/robots.txt", F.lit("User-agent: *\nDisallow: /"), "text/plain"), have([0], "", plain), have([2], "", plain, final="https://elsewhere.com/"), have([3], "", made(plain, "<a href='/news'>News</a>")),
+        have([4], "", made(plain, links)), have([4], "/reports/", made("<a href='/files/apr_fy23.pdf#p2'>Annual <b>Performance</b> Report FY23</a><a href='https://x.com/annual-report'>Annual report</a><a href='/reports/deep'>About</a>", plain)),
+        have([4], "/budget-2024", plain), have([4], "/budget-2020", plain), have([4], "/reports/deep", F.lit("<a href='/reports/deeper'>About</a>")), have([4], "/files/apr_fy23.pdf", made("%PDF-1.7 ", "{page_id}"), "application/pdf"),
+    ]
+    archive = rows[0]
+    for more in rows[1:]:
+        archive = archive.union(more)
+    return seeds, archive
 
 
 @query("""
-SELECT 'N' || n_nationkey AS organization_id, n_nationkey % 5 AS kind, CASE n_nationkey % 5 WHEN 4 THEN 'report_candidates_found' WHEN 3 THEN 'no_candidate_in_bounded_search' ELSE 'website_unavailable_or_blocked' END AS status,
-       CASE n_nationkey % 5 WHEN 0 THEN 0 WHEN 4 THEN 4 ELSE 1 END AS pages_checked, CASE n_nationkey % 5 WHEN 4 THEN 2 ELSE 0 END AS report_candidates, n_nationkey % 5 = 4 AS search_limit_reached,
-       CASE n_nationkey % 5 WHEN 0 THEN 'robots_disallowed' WHEN 1 THEN 'fetch_failed' WHEN 2 THEN 'off_site_redirect' WHEN 3 THEN '' ELSE 'robots_disallowed' END AS error FROM nation
+SELECT 'N' || page_id AS organization_id, page_id % 5 AS kind, CASE page_id % 5 WHEN 4 THEN 'report_candidates_found' WHEN 3 THEN 'no_candidate_in_bounded_search' ELSE 'website_unavailable_or_blocked' END AS status,
+       CASE page_id % 5 WHEN 0 THEN 0 WHEN 4 THEN 4 ELSE 1 END AS pages_checked, CASE page_id % 5 WHEN 4 THEN 2 ELSE 0 END AS report_candidates, page_id % 5 = 4 AS search_limit_reached,
+       CASE page_id % 5 WHEN 0 THEN 'robots_disallowed' WHEN 1 THEN 'fetch_failed' WHEN 2 THEN 'off_site_redirect' ELSE '' END AS error FROM pages
 """)
 def site_crawl(spark, d):
-    """Nations as sites of a web that is a function."""
-    seeds = t(spark, d, "nation").select(F.col("n_nationkey").alias("rec_idx"), made("N", "{n_nationkey}").alias("organization_id"), F.col("n_name").alias("organization_source_name"), made("https://n", "{n_nationkey}", ".gov").alias("agency_website"))
-    found = R.crawl(seeds, graph.shared_folder(spark), synthetic_site, max_pages=4, max_depth=2, wait=0)
+    """Pages as sites, crawled in the table of their archive."""
+    seeds, archive = archived_sites(spark, d)
+    found = R.crawl(seeds, graph.shared_folder(spark), max_pages=4, max_depth=2, archive=archive)
     error = F.coalesce(F.regexp_extract(F.get_json_object("errors", "$[0]"), "^([a-z_]+):", 1), F.lit(""))
-    return found.coverage.select("organization_id", (F.substring("organization_id", 2, 9).cast("int") % 5).alias("kind"), "status", "pages_checked", "report_candidates", "search_limit_reached", error.alias("error"))
+    return found.coverage.select("organization_id", (F.substring("organization_id", 2, 18).cast("long") % 5).alias("kind"), "status", "pages_checked", "report_candidates", "search_limit_reached", error.alias("error"))
 
 
 @query("""
-SELECT 'N' || n_nationkey AS organization_id, i AS report, ['strategic_plan', 'annual_performance_report'][i] AS report_type, ['Plan', 'Annual Performance Report FY23'][i] AS report_title, ['2024', '2023'][i] AS years,
-       'https://n' || n_nationkey || '.gov/files/' || ['strategic-plan-2024.pdf', 'apr_fy23.pdf'][i] AS report_url, 'downloaded' AS download_status FROM nation, unnest([1, 2]) u(i) WHERE n_nationkey % 5 = 4
+SELECT 'N' || page_id AS organization_id, i AS report, ['strategic_plan', 'annual_performance_report'][i] AS report_type, ['Plan', 'Annual Performance Report FY23'][i] AS report_title, ['2024', '2023'][i] AS years,
+       'https://n' || page_id || '.gov/files/' || ['strategic-plan-2024.pdf', 'apr_fy23.pdf'][i] AS report_url, CASE i WHEN 1 THEN 'failed:KeyError' ELSE 'downloaded' END AS download_status,
+       CASE i WHEN 1 THEN '' ELSE sha256('%PDF-1.7 ' || page_id) END AS sha256 FROM pages, unnest([1, 2]) u(i) WHERE page_id % 5 = 4
 """)
 def site_reports(spark, d):
-    """The reports on those sites, downloaded into the store."""
-    seeds = t(spark, d, "nation").select(F.col("n_nationkey").alias("rec_idx"), made("N", "{n_nationkey}").alias("organization_id"), F.col("n_name").alias("organization_source_name"), made("https://n", "{n_nationkey}", ".gov").alias("agency_website"))
-    found = R.crawl(seeds, graph.shared_folder(spark), synthetic_site, max_depth=2, download=True, wait=0).reports
-    return found.select("organization_id", F.when(F.col("report_type") == "strategic_plan", 1).otherwise(2).alias("report"), "report_type", "report_title", F.col("fiscal_year_candidates").alias("years"), "report_url", "download_status")
+    """The reports on those sites, taken from the archive into the store; one of two is not in it."""
+    seeds, archive = archived_sites(spark, d)
+    found = R.crawl(seeds, graph.shared_folder(spark), max_depth=2, download=True, archive=archive).reports
+    status = F.regexp_extract("download_status", "^(failed:[A-Za-z]+|[a-z]+)", 1)
+    return found.select("organization_id", F.when(F.col("report_type") == "strategic_plan", 1).otherwise(2).alias("report"), "report_type", "report_title", F.col("fiscal_year_candidates").alias("years"), "report_url", status.alias("download_status"), "sha256")
 
 
 @query("SELECT n_name AS post_title, lower(replace(n_name, ' ', '-')) AS post_slug, 'a|\"b\"' AS aliases, 'N' || n_nationkey AS external_id FROM nation")

@@ -16,7 +16,7 @@ from urllib.request import Request, build_opener
 from urllib.robotparser import RobotFileParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,6 +112,25 @@ def fetched(requests: DataFrame, fetch: Fetch = read_url, max_bytes: int = PAGE_
     return requests.mapInArrow(run, T.StructType([*requests.schema.fields, *T.StructType.fromDDL(ANSWER).fields]))
 
 
+def replayed(requests: DataFrame, archive: DataFrame) -> DataFrame:
+    """What `fetched` would give if the web were `archive`: (url, final, kind, body), one row for each address it has.
+
+    An address without a row fails; a site whose robots file is not in the archive allows everything, one that has it in
+    there with a line "Disallow: /" nothing. The join reads the archive once, however large it is.
+    """
+    names = requests.columns
+    at = Window.partitionBy("site").orderBy("place")
+    robots = archive.filter("url like '%/robots.txt' and cast(body as string) rlike '(?im)^Disallow: */ *$'").select(F.regexp_replace("url", "/robots[.]txt$", "").alias("__closed"))
+    home = F.regexp_extract(F.coalesce("policy", F.lit("")), "^[^:]*://[^/?#]*", 0)
+    rows = requests.join(robots, home == F.col("__closed"), "left").withColumn("__open", F.col("__closed").isNull())
+    rows = rows.withColumn("__done", F.sum(F.col("__open").cast("int")).over(at)).withColumn("__left", F.coalesce(F.col("__done") > F.col("budget"), F.lit(False)))
+    known = archive.select(F.col("url").alias("__url"), F.col("final").alias("__final"), F.col("kind").alias("__kind"), F.col("body").alias("__body"))
+    rows = rows.join(known, F.col("__open") & ~F.col("__left") & (F.col("url") == F.col("__url")), "left")
+    outcome = F.when(~F.col("__open"), "robots").when(F.col("__left"), "left").when(F.col("__url").isNull(), "failed").otherwise("read")
+    error = F.when(outcome == "failed", F.concat(F.lit("KeyError:"), "url"))
+    return rows.select(*names, outcome.alias("outcome"), error.alias("error"), F.col("__final").alias("final"), F.col("__kind").alias("kind"), F.col("__body").alias("body"))
+
+
 def written(df: DataFrame, folder: str) -> DataFrame:
     """`df` as a Parquet table in the folder, read from there: what was fetched once is not fetched again."""
     df.write.mode("overwrite").parquet(folder)
