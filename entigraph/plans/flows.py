@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import sinks
@@ -419,3 +419,89 @@ def pairs_left(spark, d):
     """Rows of one table that another one lacks, by two keys."""
     s = t(spark, d, "supplier").select("s_suppkey", "s_name", made("S", (F.col("s_suppkey") % 3).cast("string")).alias("source"))
     return ordered.missing_from(s, s.filter("s_suppkey % 2 = 1"), ["s_suppkey", "source"])
+
+
+def cited_programs(spark, d) -> dict[str, DataFrame]:
+    """Parts as programs, twenty to a supplier, seven to a cited section, their names alike but for a word or a letter."""
+    k = F.col("p_partkey")
+    orgs = t(spark, d, "supplier").select(made("S", "{s_suppkey}").alias("external_id"), F.col("s_name").alias("canonical_name"))
+    sources = t(spark, d, "supplier").select(made("S", "{s_suppkey}").alias("canonical_external_id"), F.col("s_name").alias("source_name"), F.lit("").alias("parent_source_name"))
+    parts = t(spark, d, "part").join(t(spark, d, "supplier"), F.expr("p_partkey div 20") == F.col("s_suppkey"), "left")
+    blank = [F.lit("").alias(c) for c in ("office_source_name", "department_source_name", "agency_stated_purpose", "source_status", "popular_long_name", "popular_short_name")]
+    name = made("Assistance with ", "{p_name}", F.when(F.col("p_size") % 3 == 0, "s").otherwise(""))
+    records = parts.select(k.alias("rec_idx"), F.lit("supplemental").alias("source_key"), k.cast("string").alias("source_record_id"), name.alias("source_name"), N.text("s_name").alias("agency_source_name"), *blank)
+    authorities = parts.select(k.alias("auth_idx"), F.lit("supplemental").alias("source_key"), k.cast("string").alias("program_source_record_id"), F.lit("1").alias("usc_title"), F.expr("p_partkey div 7").cast("string").alias("usc_section"), F.lit("").alias("statutory_purpose_text"))
+    functions = spark.createDataFrame([], "source_key string, program_source_record_id string, function_code string, function_name string")
+    return K.resolve(records, authorities, functions, orgs, spark.createDataFrame([], "organization_id string, alias string"), sources)
+
+
+CITED = """
+WITH RECURSIVE p AS (SELECT p_partkey AS k, 'supplemental::' || p_partkey AS key, 'Assistance with ' || p_name || CASE WHEN p_size % 3 = 0 THEN 's' ELSE '' END AS name, coalesce('S' || s_suppkey, '') AS org, '1:' || (p_partkey // 7) AS usc
+      FROM part LEFT JOIN supplier ON s_suppkey = p_partkey // 20),
+c AS (SELECT a.k AS x, b.k AS y, a.name AS n, b.name AS m, a.org <> '' AND a.org = b.org AS same_org, a.usc = b.usc AS same_usc FROM p a JOIN p b ON a.k < b.k AND (a.org = b.org AND a.org <> '' OR a.usc = b.usc)),
+w AS (SELECT DISTINCT name, list_sort(list_distinct(string_split(name, ' '))) AS ws FROM p),
+d AS (SELECT n, m, array_to_string([i FOR i IN a.ws IF list_contains(b.ws, i)], ' ') AS s, array_to_string([i FOR i IN a.ws IF NOT list_contains(b.ws, i)], ' ') AS l, array_to_string([i FOR i IN b.ws IF NOT list_contains(a.ws, i)], ' ') AS r
+      FROM (SELECT DISTINCT n, m FROM c) JOIN w a ON a.name = n JOIN w b ON b.name = m),
+lcs(n, m, s, l, r, i, best) AS (SELECT n, m, s, l, r, 0, [0 FOR j IN range(length(r) + 1)] FROM d
+      UNION ALL SELECT n, m, s, l, r, i + 1, [0] || [greatest(best[j + 1], coalesce(list_max([best[q] + 1 FOR q IN range(1, j + 1) IF r[q] = l[i + 1]]), 0)) FOR j IN range(1, length(r) + 1)] FROM lcs WHERE i < length(l)),
+f AS (SELECT n, m, CASE WHEN l = '' OR r = '' THEN 100.0::DOUBLE ELSE greatest(100.0::DOUBLE * (1 - (length(l) + length(r) - 2 * best[-1])::DOUBLE / (2 * length(s) + 2 + length(l) + length(r))),
+        100.0::DOUBLE * (1 - (1 + length(l))::DOUBLE / (2 * length(s) + 1 + length(l))), 100.0::DOUBLE * (1 - (1 + length(r))::DOUBLE / (2 * length(s) + 1 + length(r)))) END AS sim FROM lcs WHERE i = length(l)),
+e AS (SELECT x, y FROM c JOIN f USING (n, m) WHERE same_org AND (n = m OR same_usc AND sim >= 92)),
+u AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+z(x, y) AS (SELECT k, k FROM p UNION SELECT z.x, u.y FROM z JOIN u ON z.y = u.x),
+g AS (SELECT x AS k, min(y) AS root FROM z GROUP BY x),
+o AS (SELECT g.root, 'PRG' || upper(left(sha1(min(key)), 10)) AS program_id, arg_min(name, key) AS name, count(*) AS n, string_agg(DISTINCT name, '|' ORDER BY name) AS aliases FROM p JOIN g USING (k) GROUP BY g.root)
+"""
+
+
+@query(CITED + "SELECT program_id, name AS canonical_name, n AS source_count, aliases FROM o")
+def program_merges(spark, d):
+    """Programs of one organization that cite the same section under nearly the same name are one."""
+    found = cited_programs(spark, d)
+    aliases = found["program_aliases"].groupBy("program_id").agg(F.array_join(F.array_sort(F.collect_list("alias")), "|").alias("aliases"))
+    return found["programs"].join(aliases, "program_id").select("program_id", "canonical_name", "source_count", "aliases")
+
+
+@query(CITED + """
+SELECT a.program_id AS left_program_id, b.program_id AS right_program_id, x.name AS left_name, y.name AS right_name, round(sim, 6) AS name_similarity, same_org AS same_organization, CASE WHEN same_usc THEN x.usc ELSE '' END AS shared_usc
+FROM (SELECT CASE WHEN 'supplemental::' || c.x < 'supplemental::' || c.y THEN c.x ELSE c.y END AS i, CASE WHEN 'supplemental::' || c.x < 'supplemental::' || c.y THEN c.y ELSE c.x END AS j, sim, same_org, same_usc FROM c JOIN f USING (n, m) WHERE sim >= 88)
+JOIN p x ON x.k = i JOIN p y ON y.k = j JOIN g ga ON ga.k = i JOIN g gb ON gb.k = j JOIN o a ON a.root = ga.root JOIN o b ON b.root = gb.root WHERE ga.root <> gb.root
+""")
+def program_reviews(spark, d):
+    """Pairs of programs with an organization or a section in common whose names are similar."""
+    return cited_programs(spark, d)["program_match_candidates"].drop("decision").withColumn("name_similarity", F.round("name_similarity", 6))
+
+
+def as_workbook(rows):
+    """(book, content) of the rows (book, at, cells) of one book: a workbook of one sheet, written with the standard library."""
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape
+
+    import pandas as pd
+
+    main, office = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml", f"<workbook xmlns='{main}' xmlns:r='{office}'><sheets><sheet name='Estimates' r:id='a'/></sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels", "<x><Relationship Id='a' Target='worksheets/one.xml'/></x>")
+        lines = ("<row>" + "".join(f"<c t='inlineStr'><is><t>{escape(v)}</t></is></c>" for v in cells) + "</row>" for cells in rows.sort_values("at")["cells"])
+        z.writestr("xl/worksheets/one.xml", f"<worksheet xmlns='{main}'><sheetData>{''.join(lines)}</sheetData></worksheet>")
+    return pd.DataFrame({"book": [rows["book"].iloc[0]], "content": [out.getvalue()]})
+
+
+@query("""
+SELECT 'FY' || (2000 + s_nationkey) || ':' || (r % 1000) AS source_record_id, arg_max('Credit of ' || s_name || CASE WHEN r % 2 = 0 THEN ' and others' ELSE '' END, (CASE WHEN r % 2 = 0 THEN 1 ELSE 0 END, -r)) AS source_name,
+       arg_max('Group ' || ((r - 1) // 3), (CASE WHEN r % 2 = 0 THEN 1 ELSE 0 END, -r)) AS function_raw
+FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS r FROM supplier) GROUP BY s_nationkey, r % 1000
+""")
+def workbook_provisions(spark, d):
+    """Each nation's suppliers as a workbook of numbered provisions, three to a category; of one number the longest name stays."""
+    r = F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey"))
+    s = t(spark, d, "supplier").select("s_nationkey", "s_suppkey", "s_name").withColumn("r", r)
+    name = made("Credit  of ", "{s_name}", F.when(F.col("r") % 2 == 0, " and others").otherwise(""))
+    line = F.struct((F.col("r") * 2).alias("at"), F.array(F.lit(""), (F.col("r") % 1000).cast("string"), name, F.lit("1,200")).alias("cells"))
+    title = F.struct((F.col("r") * 2 - 1).alias("at"), F.array(made("Group ", F.expr("(r - 1) div 3").cast("string"), ":")).alias("cells"))
+    rows = s.select(F.col("s_nationkey").alias("book"), F.explode(F.when(F.col("r") % 3 == 1, F.array(title, line)).otherwise(F.array(line))).alias("l")).select("book", "l.at", "l.cells")
+    books = rows.groupBy("book").applyInPandas(as_workbook, "book long, content binary")
+    return G.tax_expenditures(books.select((F.col("book") + 2000).alias("fiscal_year"), F.lit("u").alias("source_url"), "content")).select("source_record_id", "source_name", "function_raw")
