@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from entigraph.functions.similarity import lcs_length, ratio, token_set_ratio
-from entigraph.plans.queries import QUERIES, SQL
+from entigraph.plans.flows import QUERIES, SQL  # those of plans.queries, too
 from entigraph.sources import parsers
 
 SF = "/root/testdata/sf0.001"
