@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # File names of the tables, and the names of their row counts in the summaries.
@@ -22,11 +22,17 @@ PROGRAM_TABLES = [
 ]
 
 
-def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Writes df with a header, lists joined by "|", as a folder of part files (or `files` of them)."""
+def write_csv(df: DataFrame, path: str, files: int | None = None) -> int:
+    """Writes df with a header, lists joined by "|", as a folder of part files (or `files` of them); returns the rows.
+
+    They are counted by the tasks that write them. The job takes each of these tasks into account once, however often it
+    had to be tried, so that the count is that of the files.
+    """
     flat = [F.array_join(c.name, "|").alias(c.name) if c.dataType.typeName() == "array" else F.col(c.name) for c in df.schema.fields]
     out = df.select(*flat) if files is None else df.select(*flat).coalesce(files)
-    out.write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
+    seen = Observation()
+    out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
+    return seen.get["rows"]
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -38,31 +44,21 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def written_counts(spark: SparkSession, folder: str, names: list[str]) -> dict[str, int]:
-    """Rows of the written tables: a lost executor's tasks may be counted twice by a metric, but not by the files."""
-    read = lambda n: spark.read.csv(f"{folder}/{n}.csv", header=True, multiLine=True, escape='"')
-    return {r["name"]: r["rows"] for r in row_counts({n: read(n) for n in names}).collect()}  # a row per table
-
-
 def write_json(spark: SparkSession, value: dict, path: str) -> None:
     spark.createDataFrame([(json.dumps(value, indent=2, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def export_organizations(tables: dict[str, DataFrame], folder: str, metrics: dict | None = None, files: int | None = None) -> dict:
-    for key, name, _ in ORGANIZATION_TABLES:
-        write_csv(tables[key], f"{folder}/{name}.csv", files)
+    counts = {name: write_csv(tables[key], f"{folder}/{name}.csv", files) for key, name, _ in ORGANIZATION_TABLES}
     spark = tables["organizations"].sparkSession
-    counts = written_counts(spark, folder, [name for _, name, _ in ORGANIZATION_TABLES])
     summary = (metrics or {}) | {count: counts[name] for _, name, count in ORGANIZATION_TABLES}
     write_json(spark, summary, f"{folder}/pipeline_summary.json")
     return summary
 
 
 def export_programs(tables: dict[str, DataFrame], folder: str, metrics: dict | None = None, files: int | None = None) -> dict:
-    for name, df in tables.items():
-        write_csv(df, f"{folder}/{name}.csv", files)
+    counts = {name: write_csv(df, f"{folder}/{name}.csv", files) for name, df in tables.items()}
     spark = tables["programs"].sparkSession
-    counts = written_counts(spark, folder, list(tables))
     summary = (metrics or {}) | {count: counts.get(name, 0) for name, count in PROGRAM_TABLES}
     write_json(spark, summary, f"{folder}/program_pipeline_summary.json")
     return summary

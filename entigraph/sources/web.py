@@ -6,6 +6,7 @@ plain columns afterwards.
 
 from __future__ import annotations
 
+import contextlib
 import time
 import uuid
 from collections.abc import Callable
@@ -153,9 +154,15 @@ class Folder:
 
         system, path = fs.FileSystem.from_uri(self.place) if "://" in self.place else (fs.LocalFileSystem(), self.place)
         system.create_dir(path, recursive=True)
-        with system.open_output_stream(part := f"{path}/.{uuid.uuid4().hex}") as out:
-            out.write(body)
-        system.move(part, f"{path}/{name}")  # whole or not at all, whichever task writes it
+        part = f"{path}/.{uuid.uuid4().hex}"
+        try:
+            with system.open_output_stream(part) as out:
+                out.write(body)
+            system.move(part, f"{path}/{name}")  # whole or not at all, whichever task writes it
+        except BaseException:
+            with contextlib.suppress(Exception):
+                system.delete_file(part)
+            raise
         return f"{self.place}/{name}"
 
 

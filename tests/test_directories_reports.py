@@ -5,6 +5,7 @@ import pytest
 from entigraph import cli, config, sinks
 from entigraph.registry import SourceRegistry, default_sources
 from entigraph.sources import directories as D
+from entigraph.sources import web
 
 
 def test_agency_index(spark):
@@ -72,14 +73,22 @@ def test_registry():
 
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, ["a", "b"], 'x "y"\nz'), (2, [], None)], "i int, l array<string>, t string")
-    sinks.write_csv(df, f"file://{tmp_path}/t.csv", 1)
-    assert sinks.written_counts(spark, f"file://{tmp_path}", ["t"]) == {"t": 2}
+    assert sinks.write_csv(df, f"file://{tmp_path}/t.csv", 1) == 2
+    assert sinks.write_csv(df.orderBy("i").repartition(3), f"file://{tmp_path}/t3.csv") == 2 and sinks.write_csv(df.filter("false"), f"file://{tmp_path}/none.csv") == 0
     back = spark.read.csv(f"file://{tmp_path}/t.csv", header=True, multiLine=True, escape='"').orderBy("i").collect()
     assert (back[0].l, back[0].t) == ("a|b", 'x "y"\nz')
     posts = sinks.post_table(spark.createDataFrame([("Access Board", "access board")], "canonical_name string, normalized_name string"))
     assert posts.columns[:2] == ["post_title", "post_slug"] and posts.first().post_slug == "access-board"
 
 
+def test_a_failed_body_leaves_no_file(tmp_path):
+    save = web.Folder(f"file://{tmp_path}/s")
+    assert save("a", b"x") == f"file://{tmp_path}/s/a"
+    with pytest.raises(TypeError):
+        save("b", 3)
+    assert [f.name for f in (tmp_path / "s").iterdir()] == ["a"]
+
+
 def test_commands(tmp_path, capsys):
     assert cli.main(["--out", str(tmp_path), "doctor"]) == 0
     (tmp_path / "s.json").write_text('{"sources": {"opm_fwd": {"enabled": false}}, "resolution": {"review_threshold": 70}}')
