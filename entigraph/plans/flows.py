@@ -505,3 +505,20 @@ def workbook_provisions(spark, d):
     rows = s.select(F.col("s_nationkey").alias("book"), F.explode(F.when(F.col("r") % 3 == 1, F.array(title, line)).otherwise(F.array(line))).alias("l")).select("book", "l.at", "l.cells")
     books = rows.groupBy("book").applyInPandas(as_workbook, "book long, content binary")
     return G.tax_expenditures(books.select((F.col("book") + 2000).alias("fiscal_year"), F.lit("u").alias("source_url"), "content")).select("source_record_id", "source_name", "function_raw")
+
+
+@query("""
+WITH m AS (SELECT a.s_suppkey AS k, a.s_name AS name, b.s_suppkey IS NOT NULL AS has_next, c.s_suppkey IS NOT NULL AS has_last FROM supplier a LEFT JOIN supplier b ON b.s_suppkey = a.s_suppkey + 1 LEFT JOIN supplier c ON c.s_suppkey = a.s_suppkey - 1)
+SELECT CASE WHEN k % 8 = 0 THEN 'Later ' ELSE 'Joint ' END || k AS canonical_name, 2 AS source_record_count, 'Reviewed merge' AS resolution_status, 'human_review' AS tier, 'Reviewed fallback name' AS name_status FROM m WHERE k % 4 = 0 AND has_next
+UNION ALL SELECT name, 1, CASE WHEN k % 4 = 2 AND has_next OR k % 4 = 3 AND has_last THEN 'Reviewed separate' ELSE 'Single-source provisional' END, 'usagov', 'Fallback source hierarchy' FROM m WHERE NOT (k % 4 = 0 AND has_next OR k % 4 = 1 AND has_last)
+""")
+def reviewed_organizations(spark, d):
+    """Suppliers two by two under decisions of reviewers: merged under the last preferred name, or kept apart."""
+    s, k = t(spark, d, "supplier"), F.col("s_suppkey")
+    records = s.select(k.alias("rec_idx"), F.lit("USA.gov").alias("source"), k.cast("string").alias("source_record_id"), F.col("s_name").alias("source_name"), F.lit("").alias("website"), F.lit("").alias("parent_source_name"), F.lit("").alias("source_level"))
+    after = s.select((k - 1).alias("s_suppkey"), F.col("s_name").alias("right_name"))
+    pair = s.filter(k % 2 == 0).join(after, "s_suppkey").withColumnRenamed("s_name", "left_name")
+    asked = lambda df, at, decision, name: df.select((k * 2 + at).alias("o_idx"), "left_name", "right_name", F.lit(decision).alias("decision"), name.alias("preferred_name"))
+    overrides = asked(pair.filter(k % 4 == 0), 0, " Merge", made("Joint ", "{s_suppkey}")).union(asked(pair.filter(k % 8 == 0), 1, "historical_alias", made("Later ", "{s_suppkey}"))).union(asked(pair.filter(k % 4 == 2), 0, "keep_separate", F.lit("")))
+    found = O.resolve(records, overrides)["organizations"]
+    return found.select("canonical_name", "source_record_count", "resolution_status", F.col("canonical_name_authority_tier").alias("tier"), F.col("canonical_name_status").alias("name_status"))
