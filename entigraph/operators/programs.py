@@ -13,6 +13,8 @@ from .similar import name_form, similar_forms
 #: Which source names a program, lowest first; 999 for others.
 PRIORITY = {"sam_assistance": 10, "treasury_tax_expenditures": 20, "performance_fpi_archive": 30, "supplemental": 90}
 LEVELS = ("office", "agency", "department")
+#: What tells which organization a record means: a name, its place among LEVELS, the normalised department.
+ASKED = ["level", "name", "dept"]
 
 
 def organization_index(orgs: DataFrame, aliases: DataFrame, sources: DataFrame) -> dict[str, DataFrame]:
@@ -30,44 +32,47 @@ def organization_index(orgs: DataFrame, aliases: DataFrame, sources: DataFrame)
     }
 
 
-def _with_parents(level_ids: DataFrame, index: dict[str, DataFrame], out: str) -> DataFrame:
-    """(rec_idx, level, out: sorted structs of id and parents) for (rec_idx, level, id) rows."""
-    rows = level_ids.join(index["parents"].withColumnRenamed("org_id", "id"), "id", "left")
+def _with_parents(rows: DataFrame, by: str, index: dict[str, DataFrame], out: str) -> DataFrame:
+    """(by, out: sorted structs of id and parents) for (by, id) rows."""
+    rows = rows.join(index["parents"].withColumnRenamed("org_id", "id"), "id", "left")
     one = F.struct("id", F.coalesce("parents", F.array().cast("array<string>")).alias("parents"))
-    return rows.groupBy("rec_idx", "level").agg(F.sort_array(F.collect_set(one)).alias(out))
+    return rows.groupBy(by).agg(F.sort_array(F.collect_set(one)).alias(out))
 
 
 def map_organizations(records: DataFrame, index: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """The records with their administering organization, and the review rows of those without one.
 
     Office, agency and department are tried in turn. The department that a record names settles which of several
-    organizations of one name is meant, and finds variants of a name beneath it.
+    organizations of one name is meant, and finds variants of a name beneath it. What a name means is told by itself, its
+    level and the department, so it is looked up once for all records that have these: only the answer goes to each.
     """
     at = F.posexplode(F.array(*[N.text(f"{x}_source_name") for x in LEVELS])).alias("level", "name")
     levels = records.select("rec_idx", N.normalize_name("department_source_name").alias("dept"), at)
-    levels = reliable(levels.withColumn("key", N.normalize_name("name")))
-    named = levels.filter("key <> ''")
-    base = _with_parents(named.join(index["names"], "key").select("rec_idx", "level", F.explode("ids").alias("id")), index, "base")
-    like = named.filter("level < 2 and dept <> ''").select("rec_idx", "level", F.explode(N.identity_keys("name")).alias("key")).join(index["variants"], "key")
-    like = _with_parents(like.select("rec_idx", "level", F.explode("ids").alias("id")).distinct(), index, "like")
+    levels = reliable(levels.filter("name <> ''"))
+    asked = reliable(levels.select(*ASKED).distinct().withColumn("key", N.normalize_name("name")).filter("key <> ''"))
+    base = _with_parents(asked.select("key").distinct().join(index["names"], "key").select("key", F.explode("ids").alias("id")), "key", index, "base")
+    like = asked.filter("level < 2 and dept <> ''").select("name").distinct().select("name", F.explode(N.identity_keys("name")).alias("key")).join(index["variants"], "key")
+    like = _with_parents(like.select("name", F.explode("ids").alias("id")).distinct(), "name", index, "like")
     empty = F.array().cast("array<struct<id:string,parents:array<string>>>")
-    df = levels.join(base, ["rec_idx", "level"], "left").join(like, ["rec_idx", "level"], "left").withColumn("base", F.coalesce("base", empty)).withColumn("like", F.coalesce("like", empty))
+    df = asked.join(base, "key", "left").join(like, "name", "left").withColumn("base", F.coalesce("base", empty)).withColumn("like", F.coalesce("like", empty))
     under = lambda c: F.filter(c, lambda o: F.array_contains(o["parents"], F.col("dept")))
     lower = (F.col("level") < 2) & (F.col("dept") != "")
     df = df.withColumn("ids", F.when((F.size("base") > 1) & lower & (F.size(under("base")) > 0), under("base")).otherwise(F.col("base")))
     known = F.size(F.col("ids")[0]["parents"]) > 0
     need = F.when(F.size("ids") == 0, True).when(F.size("ids") > 1, F.size(under("ids")) == 0).otherwise(known & (F.size(under("ids")) == 0))
     better = (F.size(under("like")) == 1) | (F.size("ids") != 1) & (F.size(under("like")) > 0)
-    df = reliable(df.withColumn("ids", F.when(need & lower & better, under("like")).otherwise(F.col("ids"))))
+    df = df.withColumn("ids", F.when(need & lower & better, under("like")).otherwise(F.col("ids")))
     level_name = F.element_at(F.array(*map(F.lit, LEVELS)), F.col("level") + 1)
     exact = (F.size("base") == 1) & (F.col("base")[0]["id"] == F.col("ids")[0]["id"])
-    hit = df.filter(F.size("ids") == 1).select(
-        "rec_idx", "level", F.col("ids")[0]["id"].alias("organization_id"),
-        F.when(exact, F.concat(F.lit("exact_"), level_name, F.lit("_name_or_alias"))).otherwise(F.concat(level_name, F.lit("_name_or_alias_with_parent"))).alias("organization_mapping_method"),
-        F.col("name").alias("organization_source_name_used"), level_name.alias("organization_source_level_used"),
+    method = F.when(exact, F.concat(F.lit("exact_"), level_name, F.lit("_name_or_alias"))).otherwise(F.concat(level_name, F.lit("_name_or_alias_with_parent")))
+    meant = reliable(df.filter("size(ids) > 0").select(*ASKED, F.size("ids").alias("n"), F.col("ids")[0]["id"].alias("organization_id"), method.alias("organization_mapping_method"), F.when(F.size("ids") > 1, F.array_join("ids.id", "|")).alias("cand")))
+    hit = levels.join(meant.filter("n = 1"), ASKED).select(
+        "rec_idx", "level", "organization_id", "organization_mapping_method", F.col("name").alias("organization_source_name_used"), level_name.alias("organization_source_level_used"),
     )
     hit = first_by(hit, ["rec_idx"], F.col("level")).drop("level")
-    open_ = first_by(df.filter(F.size("ids") > 1).select("rec_idx", "level", "name", level_name.alias("level_name"), F.array_join("ids.id", "|").alias("cand")), ["rec_idx"], F.col("level"))
+    several = meant.filter("n > 1").select(*ASKED, "cand")
+    open_ = first_by(levels.join(several.drop("cand"), ASKED).select("rec_idx", *ASKED), ["rec_idx"], F.col("level"))
+    open_ = open_.join(several, ASKED).select("rec_idx", "level", "name", level_name.alias("level_name"), "cand")
     out = records.join(hit, "rec_idx", "left").join(index["canonical"], "organization_id", "left")
     for c in ("organization_id", "organization_canonical_name", "organization_mapping_method", "organization_source_name_used", "organization_source_level_used"):
         out = out.withColumn(c, N.text(c))

@@ -1,4 +1,4 @@
-"""Pairs of names of one group whose token set ratio reaches a threshold, without comparing all pairs of the group.
+"""Pairs of names of one group whose token set ratio reaches a threshold, without comparing all pairs of a large group.
 
 The ratio is the best of three, and each of the first two cases below leaves few partners for a name:
 
@@ -21,6 +21,8 @@ from .graph import reliable
 
 #: Added to what may differ, against rounding.
 SLACK = 1e-9
+#: Forms of a group that is compared pair by pair: half as many pairs for each form, where postings are 100 and more.
+PAIRED = 64
 
 
 def name_form(name: Column | str) -> Column:
@@ -87,14 +89,35 @@ def _nearly_alike(forms: DataFrame, of: DataFrame, least: float) -> DataFrame:
     return pairs.filter((edits >= y - x) & (F.size(F.array_intersect("g_x", "g_y")) >= x + 1 - lost)).select("g", "x", "y")
 
 
+def _posted(of: DataFrame, least: float) -> DataFrame:
+    """(g, a, b), a < b: the pairs of a group that one of the two cases leaves."""
+    forms = of.select("form").distinct()
+    found = _nearly_contained(forms, of, least).union(_nearly_alike(forms, of, least))
+    return found.select("g", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _paired(of: DataFrame) -> DataFrame:
+    """(g, a, b), a < b: all pairs of a group."""
+    groups = of.groupBy("g").agg(F.sort_array(F.collect_list("form")).alias("forms"))
+    first = groups.select("g", "forms", F.posexplode("forms").alias("at", "a"))
+    return first.select("g", "a", F.explode(F.slice("forms", F.col("at") + 2, F.size("forms"))).alias("b"))
+
+
 def similar_forms(rows: DataFrame, threshold: float) -> DataFrame:
     """(g, a, b, similarity), a < b, of all pairs of forms of one group with a token set ratio of `threshold` (75 at least) or
-    more. rows: (g, form), see name_form; empty forms are like none, and repeated rows count once."""
+    more. rows: (g, form), see name_form; empty forms are like none, and repeated rows count once.
+
+    A group of up to PAIRED forms has fewer pairs than postings, so it goes without these. What is left is measured once
+    for two forms, in however many groups they meet.
+    """
     if threshold < 75:
         raise ValueError("the bounds hold for thresholds of 75 and more")
     least = 1 - threshold / 100
     of = reliable(rows.filter("g is not null and form <> ''").select("g", "form").distinct())
-    forms = of.select("form").distinct()
-    found = _nearly_contained(forms, of, least).union(_nearly_alike(forms, of, least))
-    found = found.select("g", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return found.withColumn("similarity", token_set("a", "b")).filter(F.col("similarity") >= threshold)
+    large = reliable(of.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") > PAIRED).select("g"))
+    found = _paired(of.join(large, "g", "left_anti"))
+    if not large.isEmpty():
+        found = found.union(reliable(_posted(of.join(large, "g", "left_semi"), least)))
+    two = reliable(found.select("a", "b").distinct())  # a table, or Spark would measure before it drops repeats
+    measured = reliable(two.withColumn("similarity", token_set("a", "b")).filter(F.col("similarity") >= threshold))
+    return found.join(measured, ["a", "b"]).select("g", "a", "b", "similarity")

@@ -2,9 +2,12 @@
 
 import random
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from entigraph.functions.similarity import token_set_ratio
+from entigraph.operators import similar
 from entigraph.operators.similar import name_form, similar_forms
 
 WORDS = ["education", "grants", "to", "states", "for", "health", "services", "the", "aid", "rural", "energy", "program", "of", "research", "a", "housing", "ñandú", "x1"]
@@ -39,6 +42,27 @@ def test_same_pairs_as_brute_force(spark, threshold, seed):
     assert want
 
 
+@pytest.mark.parametrize(("threshold", "seed", "paired"), [(88, 1, 0), (92, 2, 0), (75, 3, 0), (100, 5, 0), (88, 6, 30)])
+def test_same_pairs_by_postings(spark, monkeypatch, threshold, seed, paired):
+    monkeypatch.setattr(similar, "PAIRED", paired)
+    test_same_pairs_as_brute_force(spark, threshold, seed)
+
+
+def test_two_forms_are_measured_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def counting(a: pd.Series, b: pd.Series) -> pd.Series:
+        seen.add(len(a))
+        return pd.Series([token_set_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+
+    monkeypatch.setattr(similar, "token_set", counting)
+    rows = [(f"g{i}", f"aid to states{end}") for i in range(40) for end in ("", "s", " x", " y")]
+    got = similar_forms(spark.createDataFrame(rows, "g string, name string").select("g", name_form("name").alias("form")), 88)
+    assert got.groupBy("g").count().select("count").distinct().count() == 1 and got.select("g").distinct().count() == 40
+    assert 0 < seen.value <= 12  # of six pairs, each told and filtered
+
+
 def test_low_thresholds_are_refused(spark):
     with pytest.raises(ValueError, match="75"):
         similar_forms(spark.createDataFrame([], "g string, form string"), 60)
